@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelane.functions.time import duration_us, from_micros
-from tidelane.operators.chunks import ChunkPlan, Extent, extents, order_key, plan_chunks
+from tidelane.operators.chunks import ChunkPlan, Extent, extents, newest_per_chunk, order_key, plan_chunks
 from tidelane.operators.grid import range_grid, time_bounds, time_grid
 
 CHUNK, ORDER, SIDE, ROW = "__chunk", "__order", "__side", "__row"
@@ -57,7 +57,7 @@ def _carried(i: int, rows: DataFrame, keys: Sequence[str], plan: ChunkPlan, tole
     """
     payload, tie = f"__f{i}", f"__t{i}"
     near = rows.where(plan.end(F.col(CHUNK)) - 1 - F.col(ORDER) <= tolerance)
-    edges = near.groupBy(*keys, CHUNK).agg(F.max_by(payload, F.struct(ORDER, tie)).alias(payload))
+    edges = newest_per_chunk(near, payload, keys, CHUNK, ORDER, tie)
     per_key = Window.partitionBy(*keys, F.lit(i)).orderBy(CHUNK)
     edges = edges.withColumn("__next", F.lead(CHUNK).over(per_key))
     reach = plan.chunk(F.col(f"{payload}.{ORDER}") + F.lit(tolerance))

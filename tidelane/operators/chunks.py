@@ -154,3 +154,20 @@ def plan_chunks(
     return ChunkPlan(
         tuple(int(o) for o in pairs[:, 0]), tuple(int(t) for t in pairs[:, 1]), copies=copies
     )
+
+
+def newest_per_chunk(
+    rows: DataFrame, payload: str, keys: Sequence[str], chunk: str, order: str, tie: str
+) -> DataFrame:
+    """``payload`` of the last row of every chunk (of every key).
+
+    The last time of each chunk is found first, with a hash aggregate over two longs; only the rows at
+    those times are then compared by tie. Without keys the first result has at most ``MAX_CHUNKS`` rows.
+    """
+    ends = rows.groupBy(*keys, chunk).agg(F.max(order).alias("__end"))
+    ends = ends.select(*[F.col(c).alias(f"__end_{c}") for c in (*keys, chunk)], "__end")
+    same = F.col(order) == F.col("__end")
+    for c in (*keys, chunk):
+        same = same & F.col(c).eqNullSafe(F.col(f"__end_{c}"))
+    last = rows.join(ends if keys else F.broadcast(ends), same, "left_semi")
+    return last.groupBy(*keys, chunk).agg(F.max_by(payload, tie).alias(payload))

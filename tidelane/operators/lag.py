@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidelane.functions.time import MICROS, duration_us, from_micros, total_seconds
-from tidelane.operators.chunks import order_key, plan_chunks, tie_key
+from tidelane.operators.chunks import newest_per_chunk, order_key, plan_chunks, tie_key
 from tidelane.operators.copies import expand_copies, fold_copies
 from tidelane.operators.quantiles import exact_median
 
@@ -44,7 +44,7 @@ def with_previous(
     ordered = fold_copies(ordered, plan.copies, ORDER, TIE)
     rows = ordered.withColumn("__real", F.lit(True))
     if not plan.single:
-        edges = ordered.groupBy(*keys, CHUNK).agg(F.max_by(ROW, F.struct(ORDER, TIE)).alias(ROW))
+        edges = newest_per_chunk(ordered, ROW, keys, CHUNK, ORDER, TIE)
         carried = _into_next_chunk(edges, keys).withColumn("__real", F.lit(False))
         carried = carried.withColumns({ORDER: F.lit(None).cast("long"), TIE: F.lit(None).cast("long")})
         rows = rows.unionByName(carried, allowMissingColumns=True)
@@ -75,22 +75,26 @@ def lag_diff(
 def instants(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
     """Distinct times with their number of rows ``n``, each with the distinct time before it.
 
-    Rows of equal time are folded map-side first, so a crowded instant is one row here; the other rows of
-    an instant follow at a distance of zero, which is all the gap reports need to know about them.
+    The other rows of an instant follow at a distance of zero, which is all the gap reports need to know
+    about them. One shuffle by chunk serves both the folding of equal times and the window; only where an
+    instant is so crowded that it fills chunks are equal times folded map-side before it.
     """
     keys = list(keys)
     o = order_key(df, ts)
     plan = plan_chunks(df.sparkSession, [df.select(o.alias("o"))])
     times = df.where(F.col(ts).isNotNull()).select(*keys, o.alias(ORDER))
-    points = times.groupBy(*keys, ORDER).agg(F.count("*").alias("n"))
+    points = times.withColumn("n", F.lit(1).cast("long"))
+    if plan.hot:
+        points = times.groupBy(*keys, ORDER).agg(F.count("*").alias("n"))
     points = points.withColumn(CHUNK, plan.chunk(F.col(ORDER)))
     if not plan.single:
-        edges = times.withColumn(CHUNK, plan.chunk(F.col(ORDER))).groupBy(*keys, CHUNK).agg(F.max(ORDER).alias(ORDER))
-        points = points.unionByName(_into_next_chunk(edges, keys), allowMissingColumns=True)
+        ends = times.withColumn(CHUNK, plan.chunk(F.col(ORDER))).groupBy(*keys, CHUNK).agg(F.max(ORDER).alias(ORDER))
+        points = points.unionByName(_into_next_chunk(ends, keys).withColumn("n", F.lit(0).cast("long")))
+    points = points.repartition(*keys, CHUNK).groupBy(*keys, CHUNK, ORDER).agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys, CHUNK).orderBy(ORDER)
     return (
         points.withColumn("__prev", F.lag(ORDER).over(by))
-        .where("n is not null")
+        .where("n > 0")
         .select(
             *keys,
             from_micros("__prev").alias("prev_ts"),

@@ -658,13 +658,13 @@ def rolling_outliers(spark, d):
 @query(
     """select l_orderkey, l_linenumber, round(avg(l_quantity) over w, 6) as mean_q,
          round(stddev_samp(l_quantity) over w, 6) as std_q from lineitem
-       window w as (order by l_shipdate, l_orderkey, l_linenumber rows between 3 preceding and 3 following)"""
+       window w as (order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice rows between 3 preceding and 3 following)"""
 )
 def rolling_deviation(spark, d):
     df = table(spark, d, "lineitem").select(
-        F.col("l_shipdate").alias(TS), "l_orderkey", "l_linenumber", F.col("l_quantity").alias("q")
+        F.col("l_shipdate").alias(TS), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.col("l_quantity").alias("q")
     )
-    out = op.rolling_deviation(df, ["q"], TS, 7, tie=["l_orderkey", "l_linenumber"])
+    out = op.rolling_deviation(df, ["q"], TS, 7, tie=["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"])
     return out.select("l_orderkey", "l_linenumber", r6("q_mean").alias("mean_q"), r6("q_std").alias("std_q"))
 
 
@@ -966,18 +966,19 @@ def log_lines(spark: SparkSession, d: str) -> DataFrame:
     hms = F.when(every(29), F.concat(F.date_format(TS, "HHmm"), F.lit("60"))).otherwise(F.date_format(TS, "HHmmss"))
     dmy = F.when(every(17), F.concat(F.date_format(TS, "ddMM"), F.lit("2$*"))).otherwise(F.date_format(TS, "ddMMyy"))
     south = F.when(every(2), F.lit(" S")).otherwise(F.lit(" N"))
-    lat = F.concat(F.col("user_id") % 90, F.lit(" "), F.round(F.col("value") / 10, 2), south)
+    lat = F.concat(F.col("user_id") % 90, F.lit(" "), F.col("value").cast("string"), south)
     lat = F.when(every(23), (F.col("user_id") % 90).cast("string")).otherwise(lat)
     fields = [
-        ("t1", F.when(every(19), F.lit("1.2.3")).otherwise(F.col("value").cast("string"))),
-        ("c1", F.col("user_id")),
-        ("s", F.when(~every(13), F.col("value") + 1)),
-        ("t2", F.col("event_id")),
-        ("lat", lat),
-        ("hms", F.when(~every(5), hms)),
-        ("dmy", dmy),
+        ("t1= ", F.when(every(19), F.lit("1.2.3")).otherwise(F.col("value").cast("string"))),
+        ("c1= ", F.col("user_id")),
+        ("s= ", F.when(~every(13), F.col("value") + 1)),
+        ("t2= ", F.col("event_id")),
+        ("lat= ", lat),
+        ("hms=", F.when(~every(5), hms)),
+        ("dmy=", dmy),
     ]
-    return events(spark, d).select("event_id", src.log.concat_lines(fields).alias("line"))
+    line = F.concat_ws("  ", *[F.concat(F.lit(k), v.cast("string")) for k, v in fields])
+    return events(spark, d).select("event_id", line.alias("line"))
 
 
 _LOG = """k as (select *, event_id % 19 = 0 as bad_t1, event_id % 13 = 0 as no_s, event_id % 23 = 0 as no_hemi from events),
@@ -992,7 +993,7 @@ _LOG = """k as (select *, event_id % 19 = 0 as bad_t1, event_id % 13 = 0 as no_s
 
 @query(
     f"""with {_LOG} select event_id, value as t1, user_id::double as c1, value + 1 as s, event_id::double as t2,
-        round((user_id % 90 + round(value / 10, 2) / 60) * case when event_id % 2 = 0 then -1 else 1 end, 6) as latitude,
+        round((user_id % 90 + value / 60) * case when event_id % 2 = 0 then -1 else 1 end, 6) as latitude,
         dt as datetime, adt + interval '2 seconds' * (rn - arn) as ts from a"""
 )
 def log_rows(spark, d):
@@ -1145,10 +1146,15 @@ _MEANS = ["latitude", "longitude", "temperature", "salinity", "vrse", "rho_ppb",
 
 
 def _means_sql(where: str, extra: str = "") -> str:
-    cols = ", ".join(f"round(avg({c}), 6) as {c}" for c in _MEANS)
+    cols = ", ".join(f"round(avg({c}), {9 if c == 'vrse' else 6}) as {c}" for c in _MEANS)
     return f"select time_bucket(interval '50 minutes', datetime_utc, timestamp '1970-01-01') as datetime_utc, {cols}{extra} from prod {where} group by 1"
 
 
+def _rounded_means(df: DataFrame, *cols: str) -> DataFrame:
+    """Voltages differ in the seventh digit, so their means are compared to nine."""
+    return df.withColumns({c: F.round(c, 9 if c == "vrse" else 6) for c in cols})
+
+
 def _product(spark, d):
     made = plans.process_underway(
         **cruise(spark, d), interval=2 * SCALE, scale=SCALE, check=False, feed_dir=new_shared_path(spark, "feeds")
@@ -1164,13 +1170,13 @@ def _product(spark, d):
 )
 def clean_means(spark, d):
     clean, _ = plans.clean_and_raw_means(_product(spark, d), 10 * SCALE)
-    return rounded(clean.select(TS, *_MEANS, "ph_flag"), *_MEANS, "ph_flag")
+    return _rounded_means(clean.select(TS, *_MEANS, "ph_flag"), *_MEANS, "ph_flag")
 
 
 @query(with_sql(*CRUISE, *COMBINE, final=_means_sql("")))
 def raw_means(spark, d):
     _, raw = plans.clean_and_raw_means(_product(spark, d), 10 * SCALE)
-    return rounded(raw.select(TS, *_MEANS), *_MEANS)
+    return _rounded_means(raw.select(TS, *_MEANS), *_MEANS)
 
 
 @query()

@@ -1,4 +1,3 @@
-from tidelane.sources import log
 from tidelane.sources.log import fill_time_by_increment, ingest_keyvalue_log, parse_keyvalue_lines
 from tidelane.sources.sinks import write_csv_series, write_parquet_series, write_products
 from tidelane.sources.tables import (

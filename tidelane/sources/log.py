@@ -16,6 +16,7 @@ KEY_VALUE = r"(?U)(\w+)=\s*([-\d.]+(?:\s+[-\d.]+\s+[NSEW])?)"
 MEASURES = ("t1", "c1", "s", "t2")
 REQUIRED = ("t1", "c1", "s")
 COORDINATES = {"lat": "latitude", "lon": "longitude"}
+NO_HEMISPHERE = "no hemisphere in "
 
 PART, RN, ANCHOR = "__part", "__rn", "__anchor"
 
@@ -27,35 +28,49 @@ def repair_date_token(line: Column) -> Column:
 
 
 def extract_pairs(line: Column) -> Column:
-    """All key-value pairs of a line as an array of ``(k, v)``, in order."""
-    part = lambda group: F.regexp_extract_all(line, F.lit(KEY_VALUE), F.lit(group))
-    return F.zip_with(part(1), part(2), lambda k, v: F.struct(k.alias("k"), v.alias("v")))
+    """All key-value pairs of a line, in order, as an array of ``(k, v, number, problem)``.
 
-
-def _tokens(value: Column) -> Column:
-    return F.split(value, r"(?U)\s+")
+    ``number`` is the value of a measurement or a coordinate in decimal degrees; ``problem`` says why a
+    measurement or coordinate could not be read.
+    """
+    matches = F.regexp_extract_all(line, F.lit(KEY_VALUE), F.lit(0))
+    cut = lambda m: F.struct(
+        F.substring_index(m, "=", 1).alias("k"),
+        F.regexp_replace(F.substr(m, F.instr(m, "=") + 1), r"(?U)^\s+", "").alias("v"),
+    )
+    return F.transform(F.transform(matches, cut), _read_pair)
 
 
-def _degmin(value: Column) -> Column:
-    """Decimal degrees of ``degrees minutes hemisphere``, negative for S and W; null if unreadable."""
-    t = _tokens(value)
-    size = F.get(t, 0).try_cast("double") + F.get(t, 1).try_cast("double") / F.lit(60.0)
-    return F.when(F.get(t, 2).isin("S", "W"), -size).when(F.get(t, 2).isNotNull(), size)
+def _read_pair(pair: Column) -> Column:
+    key, value = pair["k"], pair["v"]
+    # A one-element array binds the tokens, so that the value is split once.
+    place = F.get(F.transform(F.array(F.split(value, r"(?U)\s+")), _read_place), 0)
+    unreadable = F.concat(F.lit("unreadable value for "), key)
+    number = F.when(key.isin(*MEASURES), value.try_cast("double")).when(key.isin(*COORDINATES), place)
+    bare = ~F.regexp_like(value, F.lit(r"(?U)\s")) & value.try_cast("double").isNotNull()
+    problem = F.when(key.isin(*COORDINATES) & bare, F.concat(F.lit(NO_HEMISPHERE), key)).when(
+        key.isin(*MEASURES, *COORDINATES), unreadable
+    )
+    bound = lambda n: F.struct(
+        key.alias("k"), value.alias("v"), n.alias("number"), F.when(n.isNull(), problem).alias("problem")
+    )
+    return F.get(F.transform(F.array(number), bound), 0)
 
 
-def _last(pairs: Column, key: str, read) -> Column:
-    """Last readable value of a key."""
-    mine = F.filter(pairs, lambda p: p["k"] == key)
-    values = F.filter(F.transform(mine, lambda p: read(p["v"])), lambda v: v.isNotNull())
-    return F.try_element_at(values, F.lit(-1))
+def _read_place(tokens: Column) -> Column:
+    """Decimal degrees of ``[degrees, minutes, hemisphere]``, negative for S and W; null if unreadable."""
+    size = F.get(tokens, 0).try_cast("double") + F.get(tokens, 1).try_cast("double") / F.lit(60.0)
+    return F.when(F.get(tokens, 2).isin("S", "W"), -size).when(F.get(tokens, 2).isNotNull(), size)
 
 
-def parse_measurement(pairs: Column, key: str) -> Column:
-    return _last(pairs, key, lambda v: v.try_cast("double"))
+def parse_number(pairs: Column, key: str) -> Column:
+    """Last readable measurement or coordinate of a key."""
+    good = F.filter(pairs, lambda p: (p["k"] == key) & p["number"].isNotNull())
+    return F.try_element_at(good, F.lit(-1))["number"]
 
 
-def parse_degmin(pairs: Column, key: str) -> Column:
-    return _last(pairs, key, _degmin)
+def _last_text(pairs: Column, key: str) -> Column:
+    return F.trim(F.try_element_at(F.filter(pairs, lambda p: p["k"] == key), F.lit(-1))["v"])
 
 
 def parse_hms_dmy(hms: Column, dmy: Column) -> Column:
@@ -73,52 +88,42 @@ def parse_hms_dmy(hms: Column, dmy: Column) -> Column:
     return F.when(rolls, base + F.expr("interval 1 minute")).otherwise(base)
 
 
-def _problem(pair: Column) -> Column:
-    """What is wrong with one pair, or null."""
-    key, value = pair["k"], pair["v"]
-    tokens = _tokens(value)
-    number = F.get(tokens, 0).try_cast("double")
-    unreadable = F.concat(F.lit("unreadable value for "), key)
-    place = (
-        F.when(number.isNull(), unreadable)
-        .when(F.size(tokens) < 3, F.concat(F.lit("no hemisphere in "), key))
-        .when(_degmin(value).isNull(), unreadable)
-    )
-    return F.when(key.isin(*MEASURES) & value.try_cast("double").isNull(), unreadable).when(
-        key.isin(*COORDINATES), place
-    )
-
-
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Add the parsed values, ``kept`` and ``reject_reason`` (the first thing wrong) to every line.
 
-    Lines without any pair are dropped silently. A line is not kept if a coordinate lacks its hemisphere
+    Lines without any pair are neither kept nor reported. A line is not kept if a coordinate lacks its hemisphere
     or a required measurement is missing; other problems leave a null.
     """
-    text = lambda key: F.trim(_last(F.col("__pairs"), key, lambda v: v))
-    df = lines.withColumn("__pairs", extract_pairs(repair_date_token(F.col(line)))).where(F.size("__pairs") > 0)
+    pairs = F.col("__pairs")
+    df = lines.withColumn("__pairs", extract_pairs(repair_date_token(F.col(line))))
     df = df.withColumns(
         {
-            **{m: parse_measurement(F.col("__pairs"), m) for m in MEASURES},
-            **{name: parse_degmin(F.col("__pairs"), key) for key, name in COORDINATES.items()},
-            "__hms": text("hms"),
-            "__dmy": text("dmy"),
-            "__problems": F.filter(F.transform("__pairs", _problem), lambda r: r.isNotNull()),
+            **{m: parse_number(pairs, m) for m in MEASURES},
+            **{name: parse_number(pairs, key) for key, name in COORDINATES.items()},
+            "__hms": _last_text(pairs, "hms"),
+            "__dmy": _last_text(pairs, "dmy"),
+            "__problems": F.filter(F.transform(pairs, lambda p: p["problem"]), lambda r: r.isNotNull()),
+            "__any": F.size(pairs) > 0,
         }
     )
     df = df.withColumn("datetime", parse_hms_dmy(F.col("__hms"), F.col("__dmy")))
     bad_time = F.col("__hms").isNotNull() & F.col("__dmy").isNotNull() & F.col("datetime").isNull()
-    absent = F.filter(
-        F.array(*[F.when(F.col(m).isNull(), F.lit(m)) for m in REQUIRED]), lambda m: m.isNotNull()
-    )
-    broken = F.exists("__problems", lambda r: r.startswith("no hemisphere"))
+    absent = F.concat_ws(", ", *[F.when(F.col(m).isNull(), F.lit(m)) for m in REQUIRED])
+    broken = F.exists("__problems", lambda r: r.startswith(NO_HEMISPHERE))
     reason = (
-        F.when(F.size("__problems") > 0, F.get("__problems", 0))
+        F.when(~F.col("__any"), F.lit(None))
+        .when(F.size("__problems") > 0, F.get("__problems", 0))
         .when(bad_time, F.lit("invalid date or time"))
-        .when(F.size(absent) > 0, F.concat(F.lit("missing "), F.array_join(absent, ", ")))
+        .when(absent != "", F.concat(F.lit("missing "), absent))
     )
-    kept = ~broken & (F.size(absent) == 0)
-    return df.withColumns({"kept": kept, "reject_reason": reason}).drop("__pairs", "__hms", "__dmy", "__problems")
+    parsed = F.struct(
+        *[F.col(c) for c in (*lines.columns, *MEASURES, *COORDINATES.values(), "datetime")],
+        (~broken & (absent == "")).alias("kept"),
+        reason.alias("reject_reason"),
+    )
+    # The one-element explode keeps later filters on the parsed columns from being pushed below the
+    # parsing, where every expression would be evaluated a second time.
+    return df.select(F.explode_outer(F.array(parsed)).alias("p")).select("p.*")
 
 
 def fill_time_by_increment(
@@ -197,8 +202,3 @@ def ingest_keyvalue_log(
     )
     return parse_keyvalue_lines(lines, "line", "position", step, keys=["file"], part="block")
 
-
-def concat_lines(fields: Sequence[tuple[str, Column]]) -> Column:
-    """One log line of ``key= value`` fields; a null value leaves its field out."""
-    parts = [F.concat(F.lit(f"{k}= "), v.cast("string")) for k, v in fields]
-    return F.concat_ws("  ", *parts)
