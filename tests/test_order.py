@@ -160,7 +160,7 @@ def test_order_statistics_are_exact(spark):
     out = order_statistics(df, [nearest_rank(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)])
     assert [v[0] for v in out["x"]] == [sorted(values)[int(499 * q + 0.5)] for q in (0.0, 0.25, 0.5, 0.75, 1.0)]
     assert out["one"] == [[2.0]] * 5
-    assert exact_median(spark.createDataFrame([(1, 2), (4, 2)], "value long, weight long")) == 2.5
+    assert exact_median(spark.createDataFrame([("x", 1, 2), ("x", 4, 2)], "item string, value long, weight long")) == 2.5
 
 
 def test_chunks_are_even_and_split_a_crowded_instant(spark, chunked):

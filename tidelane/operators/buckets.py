@@ -39,7 +39,7 @@ def _by_bucket(df: DataFrame, every: str | int | float, ts: str, keys: Sequence[
 
 def _first(c: str, ts: str, tie: Sequence[str]) -> Column:
     """Value of the earliest row, null included."""
-    return F.min_by(F.col(c), F.struct(ts, *tie))
+    return F.min_by(F.col(c), F.struct(ts, *tie) if tie else F.col(ts))
 
 
 def bucket_first(

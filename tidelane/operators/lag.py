@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidelane.functions.time import MICROS, duration_us, from_micros, total_seconds
 from tidelane.operators.chunks import newest_per_chunk, order_key, plan_chunks, tie_key
 from tidelane.operators.copies import expand_copies, fold_copies
-from tidelane.operators.quantiles import exact_median
+from tidelane.operators.quantiles import exact_median, fold_values
 
 CHUNK, ORDER, TIE, ROW = "__chunk", "__order", "__tie", "__row"
 
@@ -117,78 +117,70 @@ def non_monotonic(df: DataFrame, arrival: str, ts: str = "datetime_utc", keys: S
     return with_previous(df, arrival, {"prev_ts": ts}, keys).where(F.col(ts) < F.col("prev_ts"))
 
 
-def interval_stats(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Number, mean, sample standard deviation, least and greatest of all steps, in seconds.
-
-    ``points`` comes from ``instants``: steps between instants are spread out, and the zero steps inside
-    them are merged in by the pairwise formula for means and squared deviations.
-    """
-    gap = F.col("gap") / F.lit(float(MICROS))
-    part = points.groupBy(*keys).agg(
-        F.count("gap").alias("a"),
-        F.sum(F.col("n") - 1).alias("z"),
-        F.avg(gap).alias("m"),
-        F.var_pop(gap).alias("v"),
-        F.min(gap).alias("least"),
-        F.max(gap).alias("most"),
-        F.sum("n").alias("rows"),
-    )
-    a, z, m = F.col("a"), F.col("z"), F.coalesce(F.col("m"), F.lit(0.0))
-    n = a + z
-    squares = a * F.coalesce(F.col("v"), F.lit(0.0)) + m * m * a * z / n
-    return part.where(n > 0).select(
-        *keys,
-        F.col("rows"),
-        n.alias("intervals"),
-        (m * a / n).alias("mean_s"),
-        F.when(n > 1, F.sqrt(squares / (n - 1))).alias("std_s"),
-        F.when(z > 0, F.lit(0.0)).otherwise(F.col("least")).alias("min_s"),
-        F.coalesce(F.col("most"), F.lit(0.0)).alias("max_s"),
-        z.alias("duplicates"),
-    )
-
-
 def _steps(points: DataFrame) -> DataFrame:
-    """Steps with their multiplicity: one per instant after the first, and zeros inside instants."""
-    return points.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("gap").alias("value"), F.lit(1).cast("long").alias("weight")),
-                F.struct(F.lit(0).cast("long").alias("value"), (F.col("n") - 1).alias("weight")),
-            )
-        ).alias("s")
-    ).select("s.value", "s.weight").where("value is not null and weight > 0")
-
-
-def _irregular(points: DataFrame, stds: float) -> DataFrame:
-    stats = interval_stats(points)
-    mean, std = stats.select("mean_s").scalar(), stats.select("std_s").scalar()
-    step = F.array(
-        F.struct(F.col("prev_ts").alias("start_ts"), F.col("curr_ts").alias("end_ts"),
-                 (F.col("gap") / F.lit(float(MICROS))).alias("seconds"), F.lit(1).cast("long").alias("n")),
-        F.struct(F.col("curr_ts").alias("start_ts"), F.col("curr_ts").alias("end_ts"),
-                 F.lit(0.0).alias("seconds"), (F.col("n") - 1).alias("n")),
+    """Steps of ``instants`` with their multiplicity: one per instant after the first, zeros inside them."""
+    pair = lambda v, w: F.struct(v.cast("long").alias("value"), w.cast("long").alias("weight"))
+    both = F.array(pair(F.col("gap"), F.lit(1)), pair(F.lit(0), F.col("n") - 1))
+    rows = points.select(F.explode(both).alias("s")).select(F.lit("step").alias("item"), "s.value", "s.weight")
+    return rows.where("value is not null and weight > 0")
+
+
+def _moments(steps: DataFrame) -> DataFrame:
+    """One row: number, mean and sample standard deviation (microseconds) of weighted steps."""
+    value, weight = F.col("value").cast("double"), F.col("weight")
+    total = steps.agg(F.sum("weight").alias("n"), (F.sum(value * weight) / F.sum("weight")).alias("mean"))
+    away = value - total.select("mean").scalar()
+    spread = steps.agg(F.sum("weight").alias("n"), F.sum(away * away * weight).alias("squares"))
+    return spread.select(
+        "n",
+        total.select("mean").scalar().alias("mean"),
+        F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1))).alias("std"),
     )
-    rows = points.select(F.explode(step).alias("s")).select("s.*").where("seconds is not null and n > 0")
-    return rows.where(F.abs(F.col("seconds") - mean) > F.lit(stds) * std)
 
 
 def irregular_intervals(df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0) -> DataFrame:
     """Steps further than ``stds`` standard deviations from the mean step; ``n`` counts equal ones."""
-    return _irregular(instants(df, ts), stds)
+    points = instants(df, ts)
+    found = _moments(fold_values(_steps(points))).first()  # one row of three numbers
+    if not found.n or found.std is None:
+        return points.limit(0).select(
+            F.col("prev_ts").alias("start_ts"), F.col("curr_ts").alias("end_ts"), F.lit(0.0).alias("seconds"), "n"
+        )
+    step = lambda start, us, n: F.struct(
+        F.col(start).alias("start_ts"), F.col("curr_ts").alias("end_ts"),
+        (us / F.lit(float(MICROS))).alias("seconds"), n.cast("long").alias("n"), us.alias("us"),
+    )
+    both = F.array(step("prev_ts", F.col("gap"), F.lit(1)), step("curr_ts", F.lit(0).cast("long"), F.col("n") - 1))
+    rows = points.select(F.explode(both).alias("s")).select("s.*").where("us is not null and n > 0")
+    return rows.where(F.abs(F.col("us") - found.mean) > stds * found.std).drop("us")
 
 
 def regularity_report(df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0) -> DataFrame:
-    """One row on the spacing of a series: step statistics, duplicates, share of irregular steps."""
-    points = instants(df, ts)
-    odd = _irregular(points, stds).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    median = exact_median(_steps(points))
-    return interval_stats(points).select(
-        "rows", "intervals", "mean_s",
-        F.lit(None if median is None else median / MICROS).cast("double").alias("median_s"),
-        "std_s", "min_s", "max_s", "duplicates",
-        odd.scalar().alias("irregular"),
-        (F.lit(100.0) * odd.scalar() / F.col("intervals")).alias("irregular_pct"),
+    """One row on the spacing of a series: step statistics, duplicates, share of irregular steps.
+
+    The series is put in order once; everything here comes from the checkpointed table of its distinct
+    steps.
+    """
+    steps = fold_values(_steps(instants(df, ts)))
+    found, median = _moments(steps).first(), exact_median(steps)
+    mean, std = F.lit(found.mean).cast("double"), F.lit(found.std).cast("double")
+    weight_of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("weight"))), F.lit(0))
+    value, second = F.col("value"), F.lit(float(MICROS))
+    one = steps.agg(
+        F.sum("weight").alias("n"),
+        (F.min(value) / second).alias("min_s"),
+        (F.max(value) / second).alias("max_s"),
+        weight_of(value == 0).alias("duplicates"),
+        weight_of(F.abs(value - mean) > F.lit(stds) * std).alias("irregular"),
+    )
+    return one.where("n > 0").select(
+        (F.col("n") + 1).alias("rows"),
+        F.col("n").alias("intervals"),
+        (mean / second).alias("mean_s"),
+        (F.lit(median).cast("double") / second).alias("median_s"),
+        (std / second).alias("std_s"),
+        "min_s", "max_s", "duplicates", "irregular",
+        (F.lit(100.0) * F.col("irregular") / F.col("n")).alias("irregular_pct"),
     )
 
 
@@ -203,21 +195,18 @@ def sampling_interval(
         raise ValueError("sampling_interval reports on one series")
     prior = with_previous(df, ts, {"__prev": ts}, keys, tie).dropna("any")
     step = order_key(prior, ts) - order_key(prior, "__prev")
-    whole = prior.select(F.expr("cast(1 as bigint)").alias("weight"), (step / F.lit(MICROS)).cast("long").alias("value"))
-    median = exact_median(whole)
+    whole = prior.select(F.lit("step").alias("item"), (step / F.lit(MICROS)).cast("long").alias("value"), F.lit(1).alias("weight"))
+    median = exact_median(fold_values(whole))
     return df.sparkSession.range(1).select(F.lit(median).cast("double").alias("median_s"))
 
 
 def series_completeness(df: DataFrame, ts: str = "datetime_utc") -> DataFrame:
     """Rows present against rows expected at the median step, and steps over five times the median."""
-    points = instants(df, ts)
-    median = exact_median(_steps(points))
-    if not median or median <= 0:
-        median = None
-    med = F.lit(median).cast("double")
-    wide = F.count_if(F.col("gap") > F.lit(5.0) * med)
-    span = F.unix_micros(F.max("curr_ts").cast("timestamp")) - F.unix_micros(F.min("curr_ts").cast("timestamp"))
-    one = points.agg(span.alias("span"), wide.alias("large_gaps"))
+    steps = fold_values(_steps(instants(df, ts)))
+    median = exact_median(steps)
+    med = F.lit(median if median and median > 0 else None).cast("double")
+    wide = F.coalesce(F.sum(F.when(F.col("value") > F.lit(5.0) * med, F.col("weight"))), F.lit(0))
+    one = steps.agg(F.sum(F.col("value") * F.col("weight")).alias("span"), wide.alias("large_gaps"))
     total = df.agg(F.count("*").alias("n"))
     expected = F.col("span") / med
     return one.where(med.isNotNull()).select(

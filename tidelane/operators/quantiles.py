@@ -1,8 +1,8 @@
 """Exact order statistics of any number of rows, by narrowing value ranges.
 
-Values are first folded to distinct ones with counts and cut from their lineage by a checkpoint. Each pass
-then counts the values of the still open ranges in even bins (at most ``BINS`` rows per range come back)
-and keeps the bin that holds the wanted rank, until it holds a single value.
+Each pass counts the values of the still open ranges in even bins (at most ``BINS`` rows per range come
+back) and keeps the bin that holds the wanted rank, until it holds a single value. Values that are costly to
+compute are first folded to distinct ones and cut from their lineage by a checkpoint.
 """
 
 from __future__ import annotations
@@ -24,21 +24,30 @@ def middle_ranks(n: int) -> list[int]:
     return [(n - 1) // 2, n // 2]
 
 
-def order_statistics(values: DataFrame, ranks: Sequence[Callable[[int], list[int]]]) -> dict[str, list[list[float]]]:
+def fold_values(values: DataFrame) -> DataFrame:
+    """Distinct ``(item, value)`` with their total ``weight``, checkpointed; null and NaN are left out."""
+    shared_folder(values.sparkSession)
+    return (
+        _usable(values).groupBy("item", "value").agg(F.sum("weight").cast("long").alias("weight")).checkpoint()
+    )
+
+
+def _usable(values: DataFrame) -> DataFrame:
+    return values.select("item", F.col("value").cast("double").alias("value"), "weight").where(
+        "value is not null and not isnan(value)"
+    )
+
+
+def order_statistics(
+    values: DataFrame, ranks: Sequence[Callable[[int], list[int]]]
+) -> dict[str, list[list[float]]]:
     """Values at wanted ranks, per item.
 
-    ``values`` has ``item`` (string), ``value`` (numeric) and ``weight`` (how often it occurs). Each entry
-    of ``ranks`` maps the number of values of an item to the 0-based ranks it wants.
+    ``values`` has ``item`` (string), ``value`` (numeric) and ``weight`` (how often it occurs); it is read
+    once per pass, so fold it first unless it is a plain scan. Each entry of ``ranks`` maps the number of
+    values of an item to the 0-based ranks it wants.
     """
-    spark = values.sparkSession
-    shared_folder(spark)
-    folded = (
-        values.select("item", F.col("value").cast("double").alias("value"), "weight")
-        .where("value is not null and not isnan(value)")
-        .groupBy("item", "value")
-        .agg(F.sum("weight").alias("weight"))
-        .checkpoint()
-    )
+    spark, folded = values.sparkSession, _usable(values)
     totals = folded.groupBy("item").agg(
         F.sum("weight").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
     ).collect()
@@ -81,10 +90,10 @@ def order_statistics(values: DataFrame, ranks: Sequence[Callable[[int], list[int
     return {item: [[found[item, k] for k in ks] for ks in wanted] for item, wanted in want.items()}
 
 
-def exact_median(values: DataFrame) -> float | None:
-    """Median of ``value`` taken ``weight`` times (the mean of the middle two for an even number)."""
-    out = order_statistics(values.withColumn("item", F.lit("x")), [middle_ranks])
-    if "x" not in out:
+def exact_median(folded: DataFrame) -> float | None:
+    """Median of the values of one item (the mean of the middle two for an even number)."""
+    found = list(order_statistics(folded, [middle_ranks]).values())
+    if not found:
         return None
-    low, high = out["x"][0]
+    low, high = found[0][0]
     return (low + high) / 2

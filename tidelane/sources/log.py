@@ -13,6 +13,7 @@ from tidelane.operators.chunks import order_key, plan_chunks
 DAMAGED_DATE = r"(?U)dmy=(\d{5})\$\*?.*$"
 REPAIRED_DATE = "dmy=$15"  # the five digits, then a 5 for the unreadable last one
 KEY_VALUE = r"(?U)(\w+)=\s*([-\d.]+(?:\s+[-\d.]+\s+[NSEW])?)"
+NUMBER = r"-?(?:\d+\.?\d*|\.\d+)"
 MEASURES = ("t1", "c1", "s", "t2")
 REQUIRED = ("t1", "c1", "s")
 COORDINATES = {"lat": "latitude", "lon": "longitude"}
@@ -20,6 +21,13 @@ NO_HEMISPHERE = "no hemisphere in "
 
 PART, RN, ANCHOR = "__part", "__rn", "__anchor"
 
+# Control characters that mark a pair in a marked line: before the key, before the value, after it.
+KEY_AT, VALUE_AT, END_AT, OTHER = "\u0001", "\u0002", "\u0003", "\u0004"
+UNREADABLE = (
+    f"{KEY_AT}(?:{'|'.join(MEASURES)}){VALUE_AT}(?!{NUMBER}{END_AT})"
+    f"|{KEY_AT}(?:{'|'.join(COORDINATES)}){VALUE_AT}(?!{NUMBER}\\s+{NUMBER}\\s+[NSEW]{END_AT})"
+)
+
 
 def repair_date_token(line: Column) -> Column:
     """Restore a date whose last digit was overwritten by ``$``; whatever follows it is dropped."""
@@ -63,14 +71,36 @@ def _read_place(tokens: Column) -> Column:
     return F.when(F.get(tokens, 2).isin("S", "W"), -size).when(F.get(tokens, 2).isNotNull(), size)
 
 
-def parse_number(pairs: Column, key: str) -> Column:
-    """Last readable measurement or coordinate of a key."""
-    good = F.filter(pairs, lambda p: (p["k"] == key) & p["number"].isNotNull())
-    return F.try_element_at(good, F.lit(-1))["number"]
+def mark_pairs(line: Column) -> Column:
+    """The line with every key-value pair set off by control characters (any of its own are masked)."""
+    masked = F.translate(line, KEY_AT + VALUE_AT + END_AT, OTHER * 3)
+    return F.regexp_replace(masked, KEY_VALUE, f"{KEY_AT}$1{VALUE_AT}$2{END_AT}")
+
+
+def _last_marked(marked: Column, key: str) -> Column:
+    """Last value of a key in a marked line, or null; plain substring search."""
+    head = f"{KEY_AT}{key}{VALUE_AT}"
+    return F.when(
+        marked.contains(head), F.substring_index(F.substring_index(marked, head, -1), END_AT, 1)
+    )
+
 
+def _marked_place(marked: Column, key: str) -> Column:
+    value = _last_marked(marked, key)
+    degrees = F.regexp_extract(value, r"^(\S+)\s", 1).try_cast("double")
+    minutes = F.regexp_extract(value, r"\s(\S+)\s", 1).try_cast("double")
+    size = degrees + minutes / F.lit(60.0)
+    return F.when(F.right(value, F.lit(1)).isin("S", "W"), -size).otherwise(size)
 
-def _last_text(pairs: Column, key: str) -> Column:
-    return F.trim(F.try_element_at(F.filter(pairs, lambda p: p["k"] == key), F.lit(-1))["v"])
+
+def parse_number(marked: Column, pairs: Column, key: str) -> Column:
+    """Last readable measurement or coordinate of a key.
+
+    Where every value of the line is readable (``pairs`` is null) that is simply the last one.
+    """
+    good = F.filter(pairs, lambda p: (p["k"] == key) & p["number"].isNotNull())
+    plain = _marked_place(marked, key) if key in COORDINATES else _last_marked(marked, key).try_cast("double")
+    return F.when(pairs.isNotNull(), F.try_element_at(good, F.lit(-1))["number"]).otherwise(plain)
 
 
 def parse_hms_dmy(hms: Column, dmy: Column) -> Column:
@@ -94,36 +124,38 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     Lines without any pair are neither kept nor reported. A line is not kept if a coordinate lacks its hemisphere
     or a required measurement is missing; other problems leave a null.
     """
-    pairs = F.col("__pairs")
-    df = lines.withColumn("__pairs", extract_pairs(repair_date_token(F.col(line))))
+    marked, pairs = F.col("__marked"), F.col("__pairs")
+    fixed = repair_date_token(F.col(line))
+    df = lines.withColumn("__marked", mark_pairs(fixed))
+    # Few lines hold an unreadable value; only those are taken apart pair by pair.
+    df = df.withColumn("__pairs", F.when(marked.rlike(UNREADABLE), extract_pairs(fixed)))
     df = df.withColumns(
         {
-            **{m: parse_number(pairs, m) for m in MEASURES},
-            **{name: parse_number(pairs, key) for key, name in COORDINATES.items()},
-            "__hms": _last_text(pairs, "hms"),
-            "__dmy": _last_text(pairs, "dmy"),
-            "__problems": F.filter(F.transform(pairs, lambda p: p["problem"]), lambda r: r.isNotNull()),
-            "__any": F.size(pairs) > 0,
+            **{m: parse_number(marked, pairs, m) for m in MEASURES},
+            **{name: parse_number(marked, pairs, key) for key, name in COORDINATES.items()},
+            "__hms": F.trim(_last_marked(marked, "hms")),
+            "__dmy": F.trim(_last_marked(marked, "dmy")),
+            "__problems": F.when(
+                pairs.isNotNull(), F.filter(F.transform(pairs, lambda p: p["problem"]), lambda r: r.isNotNull())
+            ),
+            "__any": marked.contains(END_AT),
         }
     )
     df = df.withColumn("datetime", parse_hms_dmy(F.col("__hms"), F.col("__dmy")))
     bad_time = F.col("__hms").isNotNull() & F.col("__dmy").isNotNull() & F.col("datetime").isNull()
     absent = F.concat_ws(", ", *[F.when(F.col(m).isNull(), F.lit(m)) for m in REQUIRED])
-    broken = F.exists("__problems", lambda r: r.startswith(NO_HEMISPHERE))
+    broken = F.coalesce(F.exists("__problems", lambda r: r.startswith(NO_HEMISPHERE)), F.lit(False))
     reason = (
         F.when(~F.col("__any"), F.lit(None))
         .when(F.size("__problems") > 0, F.get("__problems", 0))
         .when(bad_time, F.lit("invalid date or time"))
         .when(absent != "", F.concat(F.lit("missing "), absent))
     )
-    parsed = F.struct(
-        *[F.col(c) for c in (*lines.columns, *MEASURES, *COORDINATES.values(), "datetime")],
-        (~broken & (absent == "")).alias("kept"),
-        reason.alias("reject_reason"),
-    )
+    df = df.withColumns({"kept": ~broken & (absent == ""), "reject_reason": reason})
+    names = [*lines.columns, *MEASURES, *COORDINATES.values(), "datetime", "kept", "reject_reason"]
     # The one-element explode keeps later filters on the parsed columns from being pushed below the
     # parsing, where every expression would be evaluated a second time.
-    return df.select(F.explode_outer(F.array(parsed)).alias("p")).select("p.*")
+    return df.select(F.explode_outer(F.array(F.struct(*names))).alias("p")).select("p.*")
 
 
 def fill_time_by_increment(
