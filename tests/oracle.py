@@ -38,8 +38,18 @@ def rows(names, data):
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "tinyint": "TINYINT", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+    "string": "VARCHAR", "boolean": "BOOLEAN",
+}
+
+
 def compare(df, con, sql) -> str | None:
-    """None if equal, else what differs."""
+    """None if equal in names, types and values, else what differs."""
+    types = {c[0]: str(c[1]) for c in con.execute(f"describe {sql}").fetchall()}
+    odd = {c: (t, types.get(c)) for c, t in df.dtypes if TYPES.get(t) != types.get(c)}
+    if odd:
+        return f"types {odd}"
     got = rows(df.columns, df.collect())
     cur = con.execute(sql)
     names = [c[0] for c in cur.description]

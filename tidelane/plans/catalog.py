@@ -20,12 +20,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None):
+def query(sql: str | None = None, name: str | None = None, flags: str = "", **types: str):
+    """Register a query with its SQL; ``flags`` names one-byte columns, other keywords give a column's type."""
+    types = {**{f: "tinyint" for f in flags.split()}, **types}
+
     def register(fn: Query) -> Query:
         key = name or fn.__name__
         QUERIES[key] = fn
         if sql is not None:
-            ORACLES[key] = sql
+            casts = ", ".join(f"cast({c} as {t}) as {c}" for c, t in types.items())
+            ORACLES[key] = f"select * replace ({casts}) from ({sql})" if casts else sql
         return fn
 
     return register
@@ -234,7 +238,7 @@ def grid_left_join(spark, d):
 # Flags, projections and filters
 
 
-@query("select event_id, value, case when value > 90 then 4 else 2 end as value_flag, 2 as time_flag from events")
+@query("select event_id, value, case when value > 90 then 4 else 2 end as value_flag, 2 as time_flag from events", flags="value_flag time_flag")
 def threshold_flags(spark, d):
     df = op.threshold_flag(events(spark, d).select("event_id", "value"), "value", ">", 90.0, "value_flag")
     return op.default_flag(df, "time_flag")
@@ -242,7 +246,8 @@ def threshold_flags(spark, d):
 
 @query(
     """select l_orderkey, l_linenumber, l_discount * 400 as temperature, l_quantity as salinity, 2 as temperature_flag,
-       case when l_quantity < 30 then 4 else 2 end as salinity_flag from lineitem"""
+       case when l_quantity < 30 then 4 else 2 end as salinity_flag from lineitem""",
+    flags="temperature_flag salinity_flag",
 )
 def flag_tsg(spark, d):
     df = table(spark, d, "lineitem").select(
@@ -254,7 +259,8 @@ def flag_tsg(spark, d):
 @query(
     """select event_id, case when event_id % 5 <> 0 then value end as v,
          case when event_id % 5 = 0 then null when value > 90 then 4 else 2 end as v_flag
-       from events"""
+       from events""",
+    flags="v_flag",
 )
 def null_flags(spark, d):
     df = op.threshold_flag(events(spark, d), "value", ">", 90.0, "v_flag")
@@ -264,7 +270,8 @@ def null_flags(spark, d):
 
 @query(
     """select event_id, case when event_id % 6 = 0 then null when value > 90 then 4 else 2 end as v_flag
-       from events"""
+       from events""",
+    flags="v_flag",
 )
 def nan_flags(spark, d):
     nan = F.lit(float("nan"))
@@ -430,10 +437,10 @@ def _flagged(spark, d, closed, limit):
 
 
 CLOSED, OPEN = "lo <= ts and ts <= hi", "lo < ts and ts < hi"
-query(flags_sql(CLOSED), "flag_intervals_closed")(lambda spark, d: _flagged(spark, d, "both", 10_000))
-query(flags_sql(OPEN), "flag_intervals_open")(lambda spark, d: _flagged(spark, d, "neither", 10_000))
-query(flags_sql(CLOSED), "flag_intervals_closed_swept")(lambda spark, d: _flagged(spark, d, "both", 0))
-query(flags_sql(OPEN), "flag_intervals_open_swept")(lambda spark, d: _flagged(spark, d, "neither", 0))
+query(flags_sql(CLOSED), "flag_intervals_closed", flags="flag")(lambda spark, d: _flagged(spark, d, "both", 10_000))
+query(flags_sql(OPEN), "flag_intervals_open", flags="flag")(lambda spark, d: _flagged(spark, d, "neither", 10_000))
+query(flags_sql(CLOSED), "flag_intervals_closed_swept", flags="flag")(lambda spark, d: _flagged(spark, d, "both", 0))
+query(flags_sql(OPEN), "flag_intervals_open_swept", flags="flag")(lambda spark, d: _flagged(spark, d, "neither", 0))
 
 EXTRACTS = with_sql(
     periods_sql(120, 30),
@@ -691,7 +698,7 @@ def gap_context(spark, d):
 # Reports
 
 
-@query("select value_flag, count(*) as count from (select case when value > 90 then 4 else 2 end as value_flag from events) group by 1")
+@query("select value_flag, count(*) as count from (select case when value > 90 then 4 else 2 end as value_flag from events) group by 1", flags="value_flag")
 def flag_counts(spark, d):
     return op.flag_counts(op.threshold_flag(events(spark, d), "value", ">", 90.0, "value_flag"), "value_flag")
 
@@ -744,7 +751,8 @@ def missing_report(spark, d):
        t as (select count(*) as n, sum((l_discount is null)::int + (l_tax is null)::int + (l_returnflag is null)::int + (q is null)::int) as m from f),
        u as (select count(*) as k from (select distinct * from f))
        select n as rows, 4 * n as total_cells, m as missing_cells, n - k as duplicate_rows,
-         round(100.0 * (4 * n - m) / (4 * n), 6) as completeness, round(100.0 * k / n, 6) as uniqueness from t, u"""
+         round(100.0 * (4 * n - m) / (4 * n), 6) as completeness, round(100.0 * k / n, 6) as uniqueness from t, u""",
+    missing_cells="bigint",
 )
 def quality_scores(spark, d):
     df = table(spark, d, "lineitem").select(
@@ -827,7 +835,8 @@ def validate_ranges(spark, d):
        select 'temperature' as "column", 10.0 as lo, 25.0 as hi, count(*) filter (temperature < 10 or temperature > 25) as out_of_range,
          min(temperature) as min_value, max(temperature) as max_value from f
        union all select 'Salinity', 25.0, 37.0, count(*) filter (salinity < 25 or salinity > 37), min(salinity), max(salinity) from f
-       union all select 'ph', 7.5, 9.5, count(*) filter (ph < 7.5 or ph > 9.5), min(ph), max(ph) from f"""
+       union all select 'ph', 7.5, 9.5, count(*) filter (ph < 7.5 or ph > 9.5), min(ph), max(ph) from f""",
+    lo="double", hi="double",
 )
 def range_report(spark, d):
     df = table(spark, d, "lineitem").select(
@@ -1095,7 +1104,8 @@ def patch_gps(spark, d):
         *CRUISE,
         final="""select datetime_utc, round(temperature, 6) as temperature, round(cond, 6) as cond, round(salinity, 6) as salinity, source,
                  temperature_flag, salinity_flag from tsg""",
-    )
+    ),
+    flags="temperature_flag salinity_flag",
 )
 def patch_tsg(spark, d):
     c = cruise(spark, d)
@@ -1103,13 +1113,13 @@ def patch_tsg(spark, d):
     return rounded(out, "temperature", "cond", "salinity")
 
 
-@query(with_sql(*CRUISE, final="select datetime_utc, round(vrse, 6) as vrse, round(ph_total, 6) as ph_total, ph_flag from ph"))
+@query(with_sql(*CRUISE, final="select datetime_utc, round(vrse, 6) as vrse, round(ph_total, 6) as ph_total, ph_flag from ph"), flags="ph_flag")
 def flag_ph(spark, d):
     c = cruise(spark, d)
     return rounded(plans.flag_ph(c["ph"].drop("timestamp"), c["ph_intervals"]), "vrse", "ph_total")
 
 
-@query(with_sql(*CRUISE, *COMBINE, final=_PRODUCT + "prod"))
+@query(with_sql(*CRUISE, *COMBINE, final=_PRODUCT + "prod"), flags="temperature_flag salinity_flag ph_flag rho_flag")
 def process_underway(spark, d):
     product = plans.process_underway(
         **cruise(spark, d), interval=2 * SCALE, scale=SCALE, check=False, feed_dir=new_shared_path(spark, "feeds")
@@ -1117,7 +1127,7 @@ def process_underway(spark, d):
     return rounded(product["combined"], *_PRODUCT_REAL)
 
 
-@query(with_sql(*CRUISE, *COMBINE, final=_PRODUCT + "comb"))
+@query(with_sql(*CRUISE, *COMBINE, final=_PRODUCT + "comb"), flags="temperature_flag salinity_flag ph_flag rho_flag")
 def combine_underway(spark, d):
     c = cruise(spark, d)
     feeds = {
@@ -1179,10 +1189,67 @@ def raw_means(spark, d):
     return _rounded_means(raw.select(TS, *_MEANS), *_MEANS)
 
 
-@query()
+AUDIT_COLUMNS = ["datetime_utc", "event_id", "temperature", "salinity", "conductivity", "latitude", "longitude"]
+AUDITED = """audited as (select ts as datetime_utc, event_id, value / 20 as temperature, 25 + value / 40 as salinity,
+  value / 10 as conductivity, 41 + value / 100 as latitude, -user_id / 10.0::double as longitude from events)"""
+
+
+def long_sql(check: str, item: str, metrics: dict[str, str], source: str) -> str:
+    entries = ", ".join(f"{{'m': '{m}', 'v': cast({e} as double)}}" for m, e in metrics.items())
+    return f"select '{check}' as \"check\", {item} as item, unnest([{entries}]) as e from {source}"
+
+
+def audit_sql() -> str:
+    from tidelane.operators.validate import PRODUCT_RANGES
+
+    same = lambda *names: {n: n for n in names}
+    jump = """(select sqrt(pow(latitude - lag(latitude) over (order by datetime_utc), 2)
+      + pow(longitude - lag(longitude) over (order by datetime_utc), 2)) * 111 as km from audited)"""
+    parts = [
+        long_sql("missing", f"'{c}'", {"missing": f"count(*) - count({c})", "percent": f"100.0 * (count(*) - count({c})) / count(*)"}, "audited")
+        for c in AUDIT_COLUMNS
+    ]
+    parts.append(
+        long_sql("non_monotonic", "null", {"rows": "count(*)"},
+                 "(select datetime_utc as t, lag(datetime_utc) over (order by event_id) as p from audited) where t < p")
+    )
+    regular = ["rows", "intervals", "mean_s", "median_s", "std_s", "min_s", "max_s", "duplicates", "irregular", "irregular_pct"]
+    parts.append(long_sql("regularity", "null", same(*regular), f"({regularity_sql('datetime_utc', 'audited')})"))
+    for c in AUDIT_COLUMNS:
+        if c in PRODUCT_RANGES:
+            lo, hi = PRODUCT_RANGES[c]
+            bad = f"count(*) filter ({c} < {lo} or {c} > {hi})"
+            parts.append(
+                long_sql("ranges", f"'{c}'", {"lo": str(lo), "hi": str(hi), "out_of_range": bad, "min_value": f"min({c})", "max_value": f"max({c})"}, "audited")
+            )
+    pearson = "corr(salinity, conductivity)"
+    parts.append(long_sql("correlation", "null", {"n": "count(*)", "correlation": pearson, "low": f"{pearson} < 0.5"}, "audited where temperature is not null"))
+    parts.append(long_sql("jumps", "null", {"jumps": "count(*)"}, f"{jump} where km > 10"))
+    for c in AUDIT_COLUMNS[1:]:
+        rolled = f"""(select {c} as x, avg({c}) over w as m, stddev_samp({c}) over w as s from audited
+          window w as (order by datetime_utc rows between 2 preceding and 2 following))"""
+        odd = "count(*) filter (abs(x - m) > 1.5 * nullif(s, 0))"
+        parts.append(long_sql("outliers", f"'{c}'", {"outliers": odd, "percent": f"100.0 * {odd} / count(*)"}, rolled))
+    complete = ["time_range_s", "median_s", "expected_points", "actual_points", "completeness_pct", "large_gaps"]
+    parts.append(long_sql("completeness", "null", same(*complete), f"({completeness_sql('datetime_utc', 'audited')})"))
+    blanks = " + ".join(f"(count(*) - count({c}))" for c in AUDIT_COLUMNS)
+    n = len(AUDIT_COLUMNS)
+    distinct = "(select count(*) from (select distinct * from audited))"
+    parts.append(
+        long_sql("quality", "null", {
+            "rows": "count(*)", "total_cells": f"{n} * count(*)", "missing_cells": blanks, "duplicate_rows": f"count(*) - {distinct}",
+            "completeness": f"100.0 * ({n} * count(*) - ({blanks})) / ({n} * count(*))", "uniqueness": f"100.0 * {distinct} / count(*)",
+        }, "audited")
+    )
+    every = " union all ".join(f"select * from ({p})" for p in parts)
+    return f'with {AUDITED} select "check", item, e.m as metric, round(e.v, 5) as value from ({every})'
+
+
+@query(audit_sql())
 def audit_series(spark, d):
     df = events(spark, d).select(
         TS, "event_id", (F.col("value") / 20).alias("temperature"), (F.lit(25) + F.col("value") / 40).alias("salinity"),
         (F.col("value") / 10).alias("conductivity"), (F.lit(41) + F.col("value") / 100).alias("latitude"), (-F.col("user_id") / 10.0).alias("longitude"),
     )
-    return op.collect_audit(op.audit_series(df, TS, arrival="event_id", k=1.5))
+    out = op.collect_audit(op.audit_series(df, TS, arrival="event_id", k=1.5))
+    return out.withColumn("value", F.round("value", 5))
