@@ -93,7 +93,8 @@ def test_against_brute_force_whatever_the_chunks(spark, chunked, rows_per_chunk,
 def test_by_key(spark, chunked, rows_per_chunk):
     chunked(rows_per_chunk)
     rnd = random.Random(5)
-    make = lambda: [(rnd.choice("abc"), BASE + timedelta(microseconds=rnd.randrange(300_000_000)), i) for i in range(200)]
+    when = lambda: 150_000_000 if rnd.random() < 0.4 else rnd.randrange(300_000_000)
+    make = lambda: [(rnd.choice(["a", "b", None]), BASE + timedelta(microseconds=when()), i) for i in range(200)]
     left, right = make(), make()
     got = op.asof_join(
         spark.createDataFrame(left, f"k string, {TS} timestamp_ntz, i int"),
@@ -101,7 +102,7 @@ def test_by_key(spark, chunked, rows_per_chunk):
         TS, "9s", keys=["k"], tie=["v"],
     )
     got = {r.i: r.v for r in got.collect()}
-    for key in "abc":
+    for key in ("a", "b", None):
         mine = [(t, i) for k, t, i in left if k == key]
         want = brute(mine, [(t, v) for k, t, v in right if k == key], timedelta(seconds=9))
         assert {i: got[i] for _, i in mine} == {mine[j][1]: v for j, v in want.items()}

@@ -152,7 +152,12 @@ def latest_within(
         held = union_all([c.where(~cold) for c in carried]).groupBy(*keys, CHUNK).agg(
             *[F.first(p, ignorenulls=True).alias(p) for p in payloads]
         )
-        parts.append(finish(probes.where(~cold).join(held, [*keys, CHUNK], "left")))
+        names_held = {c: f"__held_{c}" for c in (*keys, CHUNK)}
+        same = [F.col(c).eqNullSafe(F.col(h)) for c, h in names_held.items()]
+        held = held.withColumnsRenamed(names_held)
+        if not keys:
+            held = F.broadcast(held)  # one row per hot instant, so fewer than there are chunks
+        parts.append(finish(probes.where(~cold).join(held, same, "left")))
     if null_times:
         blank = [
             F.lit(None).cast(f.df.schema[s].dataType).alias(n)

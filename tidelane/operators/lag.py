@@ -27,16 +27,17 @@ def with_previous(
     previous: Mapping[str, str],
     keys: Sequence[str] = (),
     tie: Sequence[str] = (),
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``{new name: column}`` taken from the previous row in the order of ``order`` (then ``tie``).
 
     ``order`` is a time or an integer. Rows of equal order follow ``tie`` (an integer or time column), or
-    a hash of the whole row when none is given. Rows with a null order get nulls.
+    a hash of the whole row when none is given. Rows with a null order get nulls. ``like`` may be a cheaper
+    frame of the same columns and about the same density, to place the cuts by.
     """
     keys = list(keys)
     o, t = order_key(df, order), tie_key(df, tie)
-    spark = df.sparkSession
-    plan = plan_chunks(spark, [df.select(o.alias("o"), t.alias("t"))])
+    plan = plan_chunks(df.sparkSession, [(df if like is None else like).select(o.alias("o"), t.alias("t"))])
     base = df.select(*keys, o.alias(ORDER), t.alias(TIE), F.struct(*[F.col(c) for c in df.columns]).alias(ROW))
     chunk = F.coalesce(plan.chunk(F.col(ORDER), F.col(TIE)), F.lit(0))
     ordered = base.where(F.col(ORDER).isNotNull()).withColumn(CHUNK, chunk)
@@ -236,8 +237,9 @@ def position_jumps(
     for c in (lat, lon):
         if fixes.schema[c].dataType.typeName() in ("double", "float"):
             fixes = fixes.withColumn(c, F.when(~F.isnan(c), F.col(c)))
-    fixes = fixes.dropna("any").dropDuplicates()
-    prior = with_previous(fixes, ts, {"prev_ts": ts, "__lat": lat, "__lon": lon}, keys)
+    raw = fixes.dropna("any")
+    fixes = raw.dropDuplicates()
+    prior = with_previous(fixes, ts, {"prev_ts": ts, "__lat": lat, "__lon": lon}, keys, like=raw)
     dlat, dlon = F.col(lat) - F.col("__lat"), F.col(lon) - F.col("__lon")
     far = F.sqrt(dlat * dlat + dlon * dlon) * F.lit(km_per_degree)
     return prior.withColumn("distance_km", far).where(F.col("distance_km") > km).select(
