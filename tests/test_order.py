@@ -131,9 +131,9 @@ def test_gap_context(spark):
 def test_rolling_window(spark, chunked, rows_per_chunk, window):
     chunked(rows_per_chunk)
     seconds, ids = random_rows(3, 90)
-    df = times(spark, seconds, ids)
+    df = times(spark, [*seconds, *[None] * 30], [*ids, *range(1000, 1030)])  # no time: last, by tie
     got = {r.x: (r.x_mean, r.x_std) for r in op.rolling_deviation(df, ["x"], TS, window, tie=["x"]).collect()}
-    order = [i for _, i in sorted(zip(seconds, ids))]
+    order = [i for _, i in sorted(zip(seconds, ids))] + list(range(1000, 1030))
     for i, x in enumerate(order):
         part = order[max(0, i - window // 2) : i + (window - 1) // 2 + 1]
         mean = sum(part) / len(part)

@@ -54,7 +54,8 @@ def _mark_by_sweep(df: DataFrame, ts: str, spans: DataFrame, closed: str) -> Dat
     """
     spark, order = df.sparkSession, order_key(df, ts)
     plan = plan_chunks(spark, [df.select(order.alias("o")), spans.select(F.col("lo").alias("o"))])
-    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"), order.alias(ORDER))
+    timed = df.where(F.col(ts).isNotNull())
+    rows = timed.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"), order.alias(ORDER))
     rows = rows.withColumns({CHUNK: plan.chunk(F.col(ORDER)), SIDE: F.lit(1)})
     # An open interval does not hold its own start, so its start is sorted behind rows of that time.
     starts = spans.select(
@@ -83,7 +84,8 @@ def _mark_by_sweep(df: DataFrame, ts: str, spans: DataFrame, closed: str) -> Dat
         held = carried.where(~cold).groupBy(CHUNK).agg(F.max("__reach").alias("__reach"))
         crowd = rows.where(~cold).join(F.broadcast(held), CHUNK, "left")  # one row per hot instant at most
         done = done.unionByName(crowd)
-    return done.select("__row.*", F.coalesce(late, F.lit(False)).alias("__inside"))
+    marked = done.select("__row.*", F.coalesce(late, F.lit(False)).alias("__inside"))
+    return marked.unionByName(df.where(F.col(ts).isNull()).withColumn("__inside", F.lit(False)))
 
 
 def flag_intervals(

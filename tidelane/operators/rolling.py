@@ -6,17 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidelane.operators.chunks import order_key, plan_chunks, rows_per_chunk, tie_key
+from tidelane.operators.chunks import BEYOND, order_key, plan_chunks, rows_per_chunk, tie_key
 from tidelane.operators.copies import expand_copies, fold_copies
 
 CHUNK, ORDER, TIE = "__chunk", "__order", "__tie"
 
 
 def with_row_number(df: DataFrame, order: str, tie: Sequence[str] = (), out: str = "__rn") -> DataFrame:
-    """Number the rows 0, 1, 2, ... over the whole order: one start row per chunk carries its offset."""
-    plan = plan_chunks(df.sparkSession, [df.select(order_key(df, order).alias("o"), tie_key(df, tie).alias("t"))])
-    rows = df.withColumns({ORDER: order_key(df, order), TIE: tie_key(df, tie)})
-    rows = rows.withColumn(CHUNK, F.coalesce(plan.chunk(F.col(ORDER), F.col(TIE)), F.lit(0)))
+    """Number the rows 0, 1, 2, ... over the whole order: one start row per chunk carries its offset.
+
+    Rows without an order value come last, as one crowded instant beyond every other.
+    """
+    o, t = F.coalesce(order_key(df, order), F.lit(BEYOND)), tie_key(df, tie)
+    plan = plan_chunks(df.sparkSession, [df.select(o.alias("o"), t.alias("t"))])
+    rows = df.withColumns({ORDER: o, TIE: t})
+    rows = rows.withColumn(CHUNK, plan.chunk(F.col(ORDER), F.col(TIE)))
     rows = fold_copies(rows, plan.copies, ORDER, TIE).withColumn("__step", F.col("__n"))
     if not plan.single:
         before = Window.partitionBy(F.lit(0)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -28,7 +32,7 @@ def with_row_number(df: DataFrame, order: str, tie: Sequence[str] = (), out: str
     else:
         rows = rows.withColumn("__real", F.lit(1))
     by = Window.partitionBy(CHUNK).orderBy(
-        "__real", F.col(ORDER).asc_nulls_last(), TIE, *list(tie[1:])
+        "__real", ORDER, TIE, *list(tie[1:])
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = rows.withColumn(out, F.sum("__step").over(by) - F.col("__step")).where("__real = 1")
     if plan.copies:
