@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelane import operators as op
-from tidelane.functions import add_corrected_ph, duration_us, isfet_ph, normalize_time, time_shift
+from tidelane.functions import add_corrected_ph, duration_us, normalize_time, time_shift
 
 BASE = datetime(2025, 8, 13)
 TS = "datetime_utc"

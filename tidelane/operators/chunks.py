@@ -26,7 +26,7 @@ from tidelane.functions.time import is_time, micros
 from tidelane.session import require_utc
 
 ROWS_PER_CHUNK = "tidelane.rowsPerChunk"
-DEFAULT_ROWS_PER_CHUNK = 100_000
+DEFAULT_ROWS_PER_CHUNK = 500_000
 MAX_CHUNKS = 20_000
 SAMPLES_PER_CHUNK = 100
 BEYOND = 1 << 62

@@ -728,9 +728,6 @@ def correlation(spark, d):
     return rounded(out, "correlation")
 
 
-_MISSING = ["event_id", "v", "w"]
-
-
 @query(
     """with f as (select event_id, case when event_id % 7 <> 0 then value end as v, case when event_id % 3 = 0 then event_type end as w
          from events), n as (select count(*) as n from f)
