@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelane.llm import decontaminate, licenses
+from tidelane.llm import decontaminate, licenses, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,13 @@ def op2_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
 @query
 def op7_benchmark_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
