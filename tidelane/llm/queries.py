@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelane.llm import decontaminate, licenses, quality
+from tidelane.llm import decontaminate, licenses, quality, secrets
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,16 @@ def op2_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind, *_ in secrets.BASE],
+        F.sha2(secrets.span_text("base_spans"), 256).alias("base_sha256"), secrets.span_text("spans").alias("spans"),
+    )
+
+
 @query
 def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents")).select(
