@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelane.llm import decontaminate, licenses, quality, secrets
+from tidelane.llm import decontaminate, langid, licenses, quality, secrets
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,14 @@ def op7_benchmark_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify_languages(docs, keep=["doc_id"]).select(
+        "doc_id", F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 SPLIT = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
     r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
