@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelane.llm import decontaminate, langid, licenses, quality, secrets
+from tidelane.llm import decontaminate, langid, licenses, main_text, quality, secrets
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query
 def op7_benchmark_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
