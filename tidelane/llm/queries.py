@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelane.llm import decontaminate, langid, licenses, main_text, quality, secrets
+from tidelane.llm import decontaminate, langid, licenses, main_text, quality, secrets, warc
+from tidelane.session import new_shared_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    page_id = lambda c: F.regexp_extract(c, r"^<urn:page:(.*)>$", 1).try_cast("long")
+    return warc.read_archives(spark, path).where("kind = 'record'").select(
+        page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page_id(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 @query
 def op2_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
