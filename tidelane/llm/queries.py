@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelane.llm import decontaminate, langid, licenses, main_text, quality, secrets, warc
+from tidelane.llm import decontaminate, langid, licenses, main_text, pieces, quality, secrets, warc
 from tidelane.session import new_shared_path
 
 QUERIES: dict = {}
@@ -75,6 +77,15 @@ def op8_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Path of the public vocabulary file, outside the repository.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query
+def op10_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECE_MODEL, keep=["doc_id"])
+
+
 SPLIT = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
     r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
