@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelane.llm import decontaminate, langid, licenses, main_text, pieces, quality, secrets, warc
+from tidelane.llm import decontaminate, langid, licenses, main_text, ngram_join, pieces, quality, secrets, warc
 from tidelane.session import new_shared_path
 
 QUERIES: dict = {}
@@ -38,6 +38,11 @@ def op2_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_similar(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
