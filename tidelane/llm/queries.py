@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelane.llm import decontaminate, langid, licenses, main_text, ngram_join, pieces, quality, secrets, warc
+from tidelane.llm import decontaminate, langid, licenses, main_text, ngram_join, pieces, quality, secrets, substrings, warc
 from tidelane.session import new_shared_path
 
 QUERIES: dict = {}
@@ -82,6 +82,11 @@ def op8_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 #: Path of the public vocabulary file, outside the repository.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
