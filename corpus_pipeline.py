@@ -17,10 +17,18 @@ from tidelane.session import new_shared_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no operator uses, and the new name of each column."""
+    names = {c: f"column{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter go. A missing ``lang`` becomes the predicted one."""
-    told = langid.identify_languages(docs).where(F.col("lang_pred") != "und")
-    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    plain, n = _plain(docs)
+    told = langid.identify_languages(plain, n["text"], n["lang"], n["doc_id"]).where(F.col("lang_pred") != "und")
+    told = told.withColumn(n["lang"], F.coalesce(n["lang"], "lang_pred"))
+    return told.select(*n.values()).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +46,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty lies in a benchmark window."""
-    marked = decontaminate.mark_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return decontaminate.contamination(marked).where(~F.col("contaminated")).select(docs.columns)
+    plain, n = _plain(docs)
+    marked = decontaminate.mark_benchmark(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n["text"])
+    kept = decontaminate.contamination(marked).where(~F.col("contaminated"))
+    return kept.select(*n.values()).toDF(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a sign; ``n_chars`` follows a changed text."""
-    scanned = secrets.scan_secrets(docs)
-    changed = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return secrets.redact(scanned).withColumn("n_chars", changed).select(docs.columns)
+    plain, n = _plain(docs)
+    clean = secrets.redact(secrets.scan_secrets(plain, n["text"]), n["text"])
+    changed = F.when(F.size("spans") > 0, F.length(n["text"]).cast("long")).otherwise(F.col(n["n_chars"]))
+    return clean.withColumn(n["n_chars"], changed).select(*n.values()).toDF(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
