@@ -205,13 +205,17 @@ def held_out(key: Column) -> Column:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
         per_language: int = PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> tuple[list[str], Network | None]:
-    """Languages and a network from ``per_language`` labelled rows of each (those of least key hash that are not
-    held out) and a slice of ``chars`` characters of each, from a hashed place. That bounds what is collected.
+    """Languages and a network from ``per_language`` labelled rows of each that are not held out, picked by key hash,
+    and a slice of ``chars`` characters of each, from a hashed place. That bounds what is collected: the hash first
+    thins a language to about four times the rows wanted, so that no task orders all rows of a frequent one.
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~F.coalesce(held_out(F.col(key)), F.lit(False)))
+    rows = labelled.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(key, lang).alias("h"))
+    share = rows.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count(F.lit(1))).alias("share"))
+    spread = F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    some = rows.join(share, "lang").where(spread < F.col("share")).select("key", "lang", "h").distinct()
     first = Window.partitionBy("lang").orderBy("h", "key")
-    picked = labelled.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(key, lang).alias("h")).distinct()
-    picked = picked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
+    picked = some.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
     place = F.pmod(F.col("h"), F.greatest(F.length("text") - chars, F.lit(1))).cast("int") + 1
     rows = labelled.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(
         F.broadcast(picked), ["key", "lang"]
