@@ -314,7 +314,8 @@ def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: in
     path = new_shared_path(spark, "candidates")
     listed.write.parquet(path)
 
-    once = source.join(spark.read.parquet(path), F.col("doc_id") == F.col("rep")).select("rep", "text", "buckets")
+    # Always a sorted join: the texts are shuffled once at every size, so that a small run shows what a large one needs.
+    once = source.join(spark.read.parquet(path).hint("merge"), F.col("doc_id") == F.col("rep")).select("rep", "text", "buckets")
     units = once.mapInArrow(_members(n), _UNIT)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = units.repartition(parts, "unit").sortWithinPartitions("unit", "rep").mapInArrow(
