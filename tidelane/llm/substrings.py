@@ -310,13 +310,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
 
     anchors = stored(source.where(F.octet_length("text") >= size).select("text", "t1", "t2").mapInArrow(
         _anchors(size), "h long, t1 long, t2 long, a long, dl int, dr int, s long"), "anchors")
-    often = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # Counts by anchor are written before they are joined: a join that is not also an aggregate can be split at a hot one.
+    often = stored(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     repeated = stored(anchors.join(often, "h"), "repeated")
     same = repeated.groupBy("h", "dl", "dr", "s").agg(
         F.count(F.lit(1)).alias("c"), F.min(F.struct("t1", "t2", "a")).alias("one"))
     same = stored(same, "spans")
-    kinds = same.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1")
-    open_ = same.join(kinds.select("h", "m"), "h").select(
+    kinds = same.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("least"))
+    kinds = stored(kinds.where("m > 1 and least = 1").select("h", "m"), "kinds")
+    open_ = same.join(kinds, "h").select(
         F.col("one.t1").alias("t1"), F.col("one.t2").alias("t2"), "h", F.col("one.a").alias("a"), "dl", "dr", "c", "m")
     whole = repeated.join(same.where("c > 1").select("h", "dl", "dr", "s"), ["h", "dl", "dr", "s"]).select(
         "t1", "t2", (F.col("a") - F.col("dl")).alias("lo"), (F.col("a") + F.col("dr") + size).alias("hi")).distinct()
