@@ -22,12 +22,11 @@ def frames(spark, seconds, periods):
     return df, iv
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_ends_overlaps_and_empty_periods(spark, limit):
+def test_ends_overlaps_and_empty_periods(spark):
     seconds = [0, 10, 15, 20, 25, 30, 40, None]
     df, iv = frames(spark, seconds, [(10, 20), (20, 30), (12, 14), (40, 40), (50, 45)])
     flags = lambda closed: [
-        r.flag for r in op.flag_intervals(df, iv, ["flag"], closed, literal_limit=limit).orderBy("i").collect()
+        r.flag for r in op.flag_intervals(df, iv, ["flag"], closed).orderBy("i").collect()
     ]
     assert flags("both") == [2, 4, 4, 4, 4, 4, 4, 2]
     assert flags("neither") == [2, 2, 4, 2, 4, 2, 2, 2]
@@ -48,7 +47,7 @@ def test_no_periods(spark):
 
 @pytest.mark.parametrize("rows_per_chunk", [10**6, 25])
 @pytest.mark.parametrize("closed", ["both", "neither"])
-def test_literal_and_swept_agree_with_brute_force(spark, chunked, rows_per_chunk, closed):
+def test_flags_agree_with_brute_force(spark, chunked, rows_per_chunk, closed):
     chunked(rows_per_chunk)
     rnd = random.Random(rows_per_chunk)
     seconds = [rnd.choice([500, rnd.randrange(1000)]) for _ in range(200)]
@@ -56,18 +55,33 @@ def test_literal_and_swept_agree_with_brute_force(spark, chunked, rows_per_chunk
     df, iv = frames(spark, seconds, periods)
     inside = lambda s: any(a <= s <= b if closed == "both" else a < s < b for a, b in periods)
     want = [4 if inside(s) else 2 for s in seconds]
-    for limit in (10_000, 0):
-        out = op.flag_intervals(df, iv, ["flag"], closed, literal_limit=limit).orderBy("i").collect()
-        assert [r.flag for r in out] == want
+    out = op.flag_intervals(df, iv, ["flag"], closed).orderBy("i").collect()
+    assert [r.flag for r in out] == want
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_extracts_repeat_rows_of_overlapping_periods(spark, limit):
+@pytest.mark.parametrize("rows_per_chunk", [10**6, 25])
+def test_extracts_repeat_rows_of_overlapping_periods(spark, chunked, rows_per_chunk):
+    chunked(rows_per_chunk)
     rnd = random.Random(8)
     seconds = [rnd.randrange(4000) for _ in range(150)]
-    periods = [(s, s + rnd.choice([0, 3, 400, 2500])) for s in rnd.sample(range(4000), 15)]
+    periods = [(s, s + rnd.choice([0, 3, 400, 2500])) for s in rnd.sample(range(4000), 15)] + [(-9000, 9000)]
     df, iv = frames(spark, seconds, periods)
-    out = op.period_extracts(df, iv, "20s", literal_limit=limit).collect()
+    out = op.period_extracts(df, iv, "20s").collect()
     numbered = list(enumerate(sorted(periods), 1))
     want = {(i, n) for i, s in enumerate(seconds) for n, (a, b) in numbered if a - 20 <= s <= b + 20}
     assert len(out) == len(want) and {(r.i, r.period_no) for r in out} == want
+
+
+def test_extracts_numbered_as_listed_with_comment(spark):
+    df, iv = frames(spark, [0, 50, 100], [(90, 110), (0, 10)])
+    listed = iv.withColumn("no", F.when(F.col("start_time") > at(50), 1).otherwise(2)).withColumn("comment", F.concat(F.lit("c"), "no"))
+    out = op.period_extracts(df, listed, 0, order_by="no", carry=["comment"]).orderBy("i").collect()
+    assert [(r.i, r.period_no, r.comment) for r in out] == [(0, 2, "c2"), (2, 1, "c1")]
+
+
+def test_one_long_period_over_thousands_of_short_ones(spark, chunked):
+    chunked(500)
+    df, iv = frames(spark, list(range(0, 8000, 4)), [(-5, 9000), *((s, s + 1) for s in range(0, 8000, 2))])
+    out = op.period_extracts(df, iv, 0)
+    assert out.count() == 2000 * 2 and out.where("period_no = 1").count() == 2000
+    assert op.flag_intervals(df, iv, ["flag"]).where("flag = 4").count() == 2000

@@ -14,7 +14,7 @@ ZERO_CELSIUS = 273.15
 def isfet_ph(vrse: Column, temp: Column, salt: Column, k0: float, k2: float) -> Column:
     """pH (total scale) from electrode voltage, temperature (C) and salinity; pressure is zero.
 
-    Null where an input is null or where the salinity leaves no chloride to take the logarithm of.
+    Null where an input is null or the salinity is zero, which leaves no chloride; NaN where it is negative.
     """
     kelvin = temp + F.lit(ZERO_CELSIUS)
     root = lambda c: F.sqrt(c)
@@ -42,7 +42,8 @@ def isfet_ph(vrse: Column, temp: Column, salt: Column, k0: float, k2: float) ->
         - F.log10(dilution)
     )
     ph_total = ph_free - F.log10(F.lit(1.0) + sulfate / ks)
-    return F.when(vrse.isNotNull() & temp.isNotNull() & salt.isNotNull() & (salt > 0), ph_total)
+    known = vrse.isNotNull() & temp.isNotNull() & salt.isNotNull()
+    return F.when(known & (salt > 0), ph_total).when(known & (salt < 0), F.lit(float("nan")))
 
 
 def add_corrected_ph(

@@ -9,8 +9,10 @@ from pyspark.sql import Column, functions as F
 
 
 def constant_longs(values: Sequence[int]) -> Column:
-    """One array literal (a single plan node, however long the array is)."""
-    return F.lit(np.asarray(values, dtype="int64"))
+    """One array literal, folded by the optimizer from a single text: values do not cross to the JVM one by one."""
+    if len(values) == 0:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, np.asarray(values, dtype="int64").tolist()))), ",").cast("array<bigint>")
 
 
 def count_at_or_below(

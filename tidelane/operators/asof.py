@@ -185,7 +185,7 @@ def _on_grid(
     keys: Sequence[str], known: Sequence[Extent],
 ) -> DataFrame:
     spark = feeds[0].df.sparkSession
-    lo, hi = min(e.lo for e in known), max(e.hi for e in known)
+    lo, hi = min(e.lo for e in known if e.rows), max(e.hi for e in known if e.rows)
     step_us = duration_us(step)
     if not keys:
         grid, points = range_grid(spark, lo, hi, step_us, ts)
@@ -245,14 +245,14 @@ def align_series(
 ) -> DataFrame:
     """All feeds on one grid from their common first to their common last time, in the order given.
 
-    A feed without rows adds no columns. The tolerance does not follow the interval.
+    A feed without rows adds no columns; one whose rows all lack a time adds its columns as nulls. The tolerance does not follow the interval.
     """
     named = list(feeds.items()) if isinstance(feeds, Mapping) else list(feeds)
     if not named:
         raise ValueError("no feeds to align")
     spark = named[0][1].sparkSession
     known = extents(spark, [df.select(order_key(df, ts)) for _, df in named])
-    kept = [(Feed(df, (ties or {}).get(name, ())), e) for (name, df), e in zip(named, known) if e.rows]
-    if not kept:
+    kept = [(Feed(df, (ties or {}).get(name, ())), e) for (name, df), e in zip(named, known) if e.rows or e.nulls]
+    if not any(e.rows for _, e in kept):
         return named[0][1].select(*keys, F.col(ts).cast("timestamp_ntz").alias(ts)).limit(0)
     return _on_grid([f for f, _ in kept], ts, interval, tolerance, keys, [e for _, e in kept])

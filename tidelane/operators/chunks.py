@@ -6,8 +6,8 @@ runs per chunk, and the little state that crosses a cut is carried in by one ext
 
 Cut points come from two narrow aggregate jobs over the ordering column only: count/min/max, and (only
 when more than one chunk is needed) a sample. The sample places the cuts and nothing else: every row goes
-through the operator whatever the cuts are, and the result does not depend on them. What reaches the
-driver is bounded by ``MAX_CHUNKS``, not by the data. Because cuts follow the row density, a burst that
+through the operator whatever the cuts are, and the result does not depend on them. The driver holds the cut
+points and their sample, some longs for each chunk. Because cuts follow the row density, a burst that
 holds a third of all rows gets a third of the chunks. One instant that alone fills several chunks is
 reported in ``hot``, for the operator to treat apart.
 """
@@ -27,8 +27,8 @@ from tidelane.session import require_utc
 
 ROWS_PER_CHUNK = "tidelane.rowsPerChunk"
 DEFAULT_ROWS_PER_CHUNK = 500_000
-MAX_CHUNKS = 20_000
 SAMPLES_PER_CHUNK = 100
+SAMPLES = 20_000_000
 BEYOND = 1 << 62
 
 
@@ -44,12 +44,35 @@ def order_key(df: DataFrame, col: str) -> Column:
 
 
 def tie_key(df: DataFrame, tie: Sequence[str]) -> Column:
-    """Second long of the order: the first tie column, or a hash of the row when none orders it."""
-    if tie:
-        dtype = df.schema[tie[0]].dataType
-        if is_time(dtype) or isinstance(dtype, T.IntegralType):
-            return order_key(df, tie[0])
-    return F.xxhash64(*[F.col(c) for c in (tie or df.columns)])
+    """Second long of the order: the first tie column, or a hash of the row when there is none.
+
+    Of a text it is the first seven bytes, of a fraction its whole part: it rises with the column but may be equal
+    for different values, which :func:`tie_rest` then orders.
+    """
+    if not tie:
+        return F.xxhash64(*[F.col(c) for c in df.columns])
+    dtype, c = df.schema[tie[0]].dataType, F.col(tie[0])
+    if is_time(dtype) or isinstance(dtype, T.IntegralType):
+        return order_key(df, tie[0])
+    if isinstance(dtype, T.BooleanType):
+        return c.cast("long")
+    if isinstance(dtype, T.StringType):
+        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("long")
+    if isinstance(dtype, (T.FractionalType, T.DecimalType)):
+        whole = F.greatest(F.least(c.cast("double"), F.lit(1e18)), F.lit(-1e18))
+        known = F.when(F.isnan(c.cast("double")), F.lit(BEYOND)).otherwise(F.floor(whole).cast("long"))
+        return F.when(c.isNotNull(), known)
+    raise TypeError(f"tie column {tie[0]} must be a time, number, text or boolean, not {dtype.simpleString()}")
+
+
+def tie_rest(df: DataFrame, tie: Sequence[str]) -> list[str]:
+    """Columns that complete the order after :func:`tie_key`."""
+    if not tie:
+        return []
+    dtype = df.schema[tie[0]].dataType
+    exact = is_time(dtype) or isinstance(dtype, (T.IntegralType, T.BooleanType))
+    return list(tie[1:] if exact else tie)
 
 
 @dataclass(frozen=True)
@@ -123,10 +146,11 @@ def plan_chunks(
     known = known if known is not None else extents(spark, keys)
     sampled = sum(e.rows for e in known)
     total = sampled + (grid[2] if grid else 0)
-    chunks = min(MAX_CHUNKS, -(-total // rows_per_chunk(spark)))
+    chunks = -(-total // rows_per_chunk(spark))
     if chunks <= 1:
         return ChunkPlan()
-    fraction = min(1.0, chunks * SAMPLES_PER_CHUNK / total)
+    per_chunk = max(10, min(SAMPLES_PER_CHUNK, SAMPLES // chunks))  # coarser cuts where they are very many
+    fraction = min(1.0, chunks * per_chunk / total)
     composite = bool(keys) and len(keys[0].columns) > 1
     names = ["o", "t"] if composite else ["o"]
     picked = reduce(DataFrame.unionAll, [k.toDF(*names) for k in keys]).where("o is not null")
@@ -134,7 +158,7 @@ def plan_chunks(
         picked = picked.sample(fraction, seed=17)
     table = picked.toArrow()
     order = table.column("o").to_numpy().astype("int64")
-    tie = table.column("t").to_numpy().astype("int64") if composite else np.zeros(len(order), "int64")
+    tie = table.column("t").fill_null(-BEYOND).to_numpy().astype("int64") if composite else np.zeros(len(order), "int64")
     if grid:
         even = np.linspace(grid[0], grid[1], max(2, int(grid[2] * fraction))).astype("int64")
         order, tie = np.concatenate([order, even]), np.concatenate([tie, np.zeros(len(even), "int64")])
@@ -162,7 +186,7 @@ def newest_per_chunk(
     """``payload`` of the last row of every chunk (of every key).
 
     The last time of each chunk is found first, with a hash aggregate over two longs; only the rows at
-    those times are then compared by tie. Without keys the first result has at most ``MAX_CHUNKS`` rows.
+    those times are then compared by tie. Without keys the first result has one row for each chunk.
     """
     ends = rows.groupBy(*keys, chunk).agg(F.max(order).alias("__end"))
     ends = ends.select(*[F.col(c).alias(f"__end_{c}") for c in (*keys, chunk)], "__end")

@@ -20,7 +20,7 @@ def fold_copies(
     if not copies:
         return df.withColumn(COUNT, F.lit(1).cast("long"))
     crowded = F.coalesce(
-        F.struct(order, tie).isin([F.struct(F.lit(o), F.lit(t)) for o, t in copies]), F.lit(False)
+        F.struct(order, tie).isin([F.struct(F.lit(o).cast("long"), F.lit(t).cast("long")) for o, t in copies]), F.lit(False)
     )
     alone = df.where(~crowded).withColumn(COUNT, F.lit(1).cast("long"))
     return alone.unionByName(df.where(crowded).groupBy(*df.columns).agg(F.count("*").alias(COUNT)))

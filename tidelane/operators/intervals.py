@@ -4,48 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidelane.functions.search import constant_longs, count_at_or_below
 from tidelane.functions.time import duration_us
-from tidelane.operators.chunks import BEYOND, order_key, plan_chunks
+from tidelane.operators.chunks import BEYOND, extents, order_key, plan_chunks, rows_per_chunk
 from tidelane.operators.rolling import with_row_number
 
 CHUNK, ORDER, SIDE = "__chunk", "__order", "__side"
-MAX_LITERAL_INTERVALS = 10_000
 
 
-def _spans(intervals: DataFrame, start: str, end: str, closed: str, pad: int = 0) -> DataFrame:
+def _spans(
+    intervals: DataFrame, start: str, end: str, closed: str, pad: int = 0, keep: Sequence[str] = ()
+) -> DataFrame:
     """Start and end in microseconds, without intervals that hold no instant."""
     if closed not in ("both", "neither"):
         raise ValueError("closed must be 'both' or 'neither'")
     lo = order_key(intervals, start) - F.lit(pad)
     hi = order_key(intervals, end) + F.lit(pad)
-    spans = intervals.select(lo.alias("lo"), hi.alias("hi"))
+    spans = intervals.select(lo.alias("lo"), hi.alias("hi"), *keep)
     return spans.where("lo <= hi" if closed == "both" else "lo < hi")
 
 
-def _small(spans: DataFrame, limit: int) -> np.ndarray | None:
-    """The intervals as an array if there are at most ``limit``; their number is checked, not assumed."""
-    rows = spans.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return None
-    pairs = np.stack([rows.column("lo").to_numpy(), rows.column("hi").to_numpy()], axis=1)
-    return pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-
-
-def _inside(pairs: np.ndarray, at: Column, closed: str) -> Column:
-    """Is ``at`` in any interval? True when the greatest end among the earlier starts is late enough."""
-    if len(pairs) == 0:
-        return F.lit(False)
-    reach = np.maximum.accumulate(pairs[:, 1])
-    started = count_at_or_below(pairs[:, 0], at if closed == "both" else at - F.lit(1))
-    furthest = F.get(constant_longs(reach), started - F.lit(1))
-    hit = (furthest >= at) if closed == "both" else (furthest > at)
-    return F.coalesce((started > 0) & hit, F.lit(False))
-
-
 def _mark_by_sweep(df: DataFrame, ts: str, spans: DataFrame, closed: str) -> DataFrame:
     """Add ``__inside`` for any number of intervals: one pass over rows and starts in time order.
 
@@ -97,20 +76,13 @@ def flag_intervals(
     ts: str = "datetime_utc",
     start: str = "start_time",
     end: str = "end_time",
-    literal_limit: int = MAX_LITERAL_INTERVALS,
 ) -> DataFrame:
     """Set every flag column to ``flag`` where the time is in any interval; other flags stay as they are.
 
-    Up to ``literal_limit`` intervals become two constant arrays and the job stays map-only with a binary
-    search per row; more are swept together with the rows in time order. Rows are never duplicated, and a
-    flag kept in the interval table itself is not used.
+    The intervals are swept together with the rows in time order, whatever their number. Rows are never
+    duplicated, and a flag kept in the interval table itself is not used.
     """
-    spans = _spans(intervals, start, end, closed)
-    pairs = _small(spans, literal_limit)
-    if pairs is not None:
-        marked = df.withColumn("__inside", _inside(pairs, order_key(df, ts), closed))
-    else:
-        marked = _mark_by_sweep(df, ts, spans, closed)
+    marked = _mark_by_sweep(df, ts, _spans(intervals, start, end, closed), closed)
     new = {c: F.when(F.col("__inside"), F.lit(flag)).otherwise(F.col(c)).cast("tinyint") for c in flag_cols}
     return marked.withColumns(new).drop("__inside")
 
@@ -122,36 +94,36 @@ def period_extracts(
     ts: str = "datetime_utc",
     start: str = "start_time",
     end: str = "end_time",
-    literal_limit: int = MAX_LITERAL_INTERVALS,
+    order_by: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of each padded interval (closed ends) with ``period_no``; a row may be in several periods.
 
-    Periods are numbered from 1 by start, then end.
+    Periods are numbered from 1 by start, then end, or by the integer or time column ``order_by`` of the interval
+    table. ``carry`` names columns of the interval table to add.
+
+    Intervals of like length (a power of two) share cells of that width, so each fills at most three cells and a row
+    meets few intervals that do not hold it. Rows are copied once per length class. Cells are never wider
+    than a chunk of rows is on average; a longer interval fills more of them.
     """
-    pad_us = duration_us(pad)
-    spans = _spans(intervals, start, end, "both", pad_us)
-    pairs = _small(spans, literal_limit)
-    at = order_key(df, ts)
-    if pairs is not None:
-        if len(pairs) == 0:
-            return df.limit(0).withColumn("period_no", F.lit(0).cast("long"))
-        lows, highs = constant_longs(pairs[:, 0]), constant_longs(pairs[:, 1])
-        reach = np.maximum.accumulate(pairs[:, 1])
-        # Periods that can hold the row lie between the first whose running end reaches it and the last
-        # that started by then; only those few are tested.
-        upto = count_at_or_below(pairs[:, 0], at)
-        since = count_at_or_below(reach, at - F.lit(1)) + F.lit(1)
-        numbers = F.when(since <= upto, F.sequence(since, upto)).otherwise(F.array().cast("array<int>"))
-        holds = F.filter(numbers, lambda i: F.get(highs, i - 1) >= at)
-        picked = df.where(_inside(pairs, at, "both"))
-        return picked.withColumn("period_no", F.explode(holds)).withColumn("period_no", F.col("period_no").cast("long"))
-    # Intervals of like length (a power of two) share cells of that width, so each fills at most three
-    # cells and a row meets few intervals that do not hold it. Rows are copied once per length class.
-    numbered = with_row_number(spans, "lo", ["hi"], "__rn").withColumn("__k", F.floor(F.log2(F.expr("hi - lo + 1"))).cast("int"))
+    spark, at = df.sparkSession, order_key(df, ts)
+    spans = _spans(intervals, start, end, "both", duration_us(pad), [*([order_by] if order_by else []), *carry])
+    whole = extents(spark, [df.select(at)])[0]
+    if not whole.rows:
+        return df.limit(0).select(*df.columns, F.lit(0).cast("long").alias("period_no"), *[
+            F.lit(None).cast(intervals.schema[c].dataType).alias(c) for c in carry])
+    width = max(1, (whole.hi - whole.lo + 1) // (1 + whole.rows // rows_per_chunk(spark)))
+    numbered = with_row_number(spans, order_by or "lo", () if order_by else ["hi"], "__rn")
+    length = F.least(F.floor(F.log2(F.expr("hi - lo + 1"))), F.lit(width.bit_length() - 1)).cast("int")
+    near = [F.greatest("lo", F.lit(whole.lo)), F.least("hi", F.lit(whole.hi))]
+    numbered = numbered.withColumns({"__k": length, "__from": near[0], "__to": near[1]}).where("__from <= __to")
     classes = sorted(r["__k"] for r in numbered.select("__k").distinct().collect())  # at most 63 values
-    pieces = numbered.withColumn("__cell", F.explode(F.expr("sequence(shiftright(lo, __k), shiftright(hi, __k))")))
+    pieces = numbered.withColumn("__cell", F.explode(F.expr("sequence(shiftright(__from, __k), shiftright(__to, __k))")))
+    pieces = pieces.select("__k", "__cell", "lo", "hi", (F.col("__rn") + 1).alias("__no"), *[
+        F.col(c).alias(f"__carry_{c}") for c in carry])
     rows = df.withColumn(ORDER, at).where(F.col(ORDER).isNotNull())
-    rows = rows.withColumn("__k", F.explode(F.lit(classes))).withColumn("__cell", F.expr(f"shiftright({ORDER}, __k)"))
+    rows = rows.withColumn("__k", F.explode(F.lit(classes) if classes else F.array().cast("array<int>")))
+    rows = rows.withColumn("__cell", F.expr(f"shiftright({ORDER}, __k)"))
     hit = (F.col(ORDER) >= F.col("lo")) & (F.col(ORDER) <= F.col("hi"))
     joined = rows.join(pieces, ["__k", "__cell"]).where(hit)
-    return joined.select(*df.columns, (F.col("__rn") + 1).alias("period_no"))
+    return joined.select(*df.columns, F.col("__no").alias("period_no"), *[F.col(f"__carry_{c}").alias(c) for c in carry])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidelane.functions.time import MICROS, duration_us, from_micros, total_seconds
-from tidelane.operators.chunks import newest_per_chunk, order_key, plan_chunks, tie_key
+from tidelane.operators.chunks import newest_per_chunk, order_key, plan_chunks, tie_key, tie_rest
 from tidelane.operators.copies import expand_copies, fold_copies
 from tidelane.operators.quantiles import exact_median, fold_values
 
@@ -31,7 +31,7 @@ def with_previous(
 ) -> DataFrame:
     """Add ``{new name: column}`` taken from the previous row in the order of ``order`` (then ``tie``).
 
-    ``order`` is a time or an integer. Rows of equal order follow ``tie`` (an integer or time column), or
+    ``order`` is a time or an integer. Rows of equal order follow the ``tie`` columns (nulls first), or
     a hash of the whole row when none is given. Rows with a null order get nulls. ``like`` may be a cheaper
     frame of the same columns and about the same density, to place the cuts by.
     """
@@ -42,14 +42,15 @@ def with_previous(
     chunk = F.coalesce(plan.chunk(F.col(ORDER), F.col(TIE)), F.lit(0))
     ordered = base.where(F.col(ORDER).isNotNull()).withColumn(CHUNK, chunk)
 
+    later_ties = [F.col(f"{ROW}.{c}") for c in tie_rest(df, tie)]
     ordered = fold_copies(ordered, plan.copies, ORDER, TIE)
     rows = ordered.withColumn("__real", F.lit(True))
     if not plan.single:
-        edges = newest_per_chunk(ordered, ROW, keys, CHUNK, ORDER, TIE)
+        by_tie = ordered.withColumn("__full", F.struct(TIE, *[c.alias(f"t{i}") for i, c in enumerate(later_ties)]))
+        edges = newest_per_chunk(by_tie, ROW, keys, CHUNK, ORDER, "__full")
         carried = _into_next_chunk(edges, keys).withColumn("__real", F.lit(False))
         carried = carried.withColumns({ORDER: F.lit(None).cast("long"), TIE: F.lit(None).cast("long")})
         rows = rows.unionByName(carried, allowMissingColumns=True)
-    later_ties = [F.col(f"{ROW}.{c}") for c in tie[1:]]
     by = Window.partitionBy(*keys, CHUNK).orderBy(F.col(ORDER).asc_nulls_first(), TIE, *later_ties)
     prior = {name: F.lag(F.col(f"{ROW}.{c}")).over(by) for name, c in previous.items()}
     out = rows.withColumns(prior).where("__real")
@@ -190,14 +191,15 @@ def sampling_interval(
 ) -> DataFrame:
     """Median whole seconds between rows, over rows that have no null in any column.
 
-    The step is taken to the previous row whether or not that one is complete.
+    The step is taken to the previous row whether or not that one is complete. With ``keys`` there is a row for each
+    key that has a step.
     """
-    if keys:
-        raise ValueError("sampling_interval reports on one series")
-    prior = with_previous(df, ts, {"__prev": ts}, keys, tie).dropna("any")
+    prior = with_previous(df, ts, {"__prev": ts}, keys, tie).dropna("any", subset=[*df.columns, "__prev"])
     step = order_key(prior, ts) - order_key(prior, "__prev")
-    whole = prior.select(F.lit("step").alias("item"), (step / F.lit(MICROS)).cast("long").alias("value"), F.lit(1).alias("weight"))
-    median = exact_median(fold_values(whole))
+    whole = prior.select(*keys, (step / F.lit(MICROS)).cast("long").alias("value"))
+    if keys:
+        return whole.groupBy(*keys).agg(F.median("value").alias("median_s"))
+    median = exact_median(fold_values(whole.select(F.lit("step").alias("item"), "value", F.lit(1).alias("weight"))))
     return df.sparkSession.range(1).select(F.lit(median).cast("double").alias("median_s"))
 
 
@@ -231,15 +233,14 @@ def position_jumps(
 ) -> DataFrame:
     """Rows further than ``km`` from the fix before them (flat distance), nulls left out.
 
-    Repeats of one fix cannot jump and are folded before the sort.
+    Fixes of equal time follow a hash of the row, so repeats of one stand together and cannot jump.
     """
     fixes = df.select(*keys, ts, lat, lon)
     for c in (lat, lon):
         if fixes.schema[c].dataType.typeName() in ("double", "float"):
             fixes = fixes.withColumn(c, F.when(~F.isnan(c), F.col(c)))
-    raw = fixes.dropna("any")
-    fixes = raw.dropDuplicates()
-    prior = with_previous(fixes, ts, {"prev_ts": ts, "__lat": lat, "__lon": lon}, keys, like=raw)
+    fixes = fixes.dropna("any")
+    prior = with_previous(fixes, ts, {"prev_ts": ts, "__lat": lat, "__lon": lon}, keys)
     dlat, dlon = F.col(lat) - F.col("__lat"), F.col(lon) - F.col("__lon")
     far = F.sqrt(dlat * dlat + dlon * dlon) * F.lit(km_per_degree)
     return prior.withColumn("distance_km", far).where(F.col("distance_km") > km).select(

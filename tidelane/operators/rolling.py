@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidelane.operators.chunks import BEYOND, order_key, plan_chunks, rows_per_chunk, tie_key
+from tidelane.operators.chunks import BEYOND, order_key, plan_chunks, rows_per_chunk, tie_key, tie_rest
 from tidelane.operators.copies import expand_copies, fold_copies
 
 CHUNK, ORDER, TIE = "__chunk", "__order", "__tie"
@@ -32,7 +32,7 @@ def with_row_number(df: DataFrame, order: str, tie: Sequence[str] = (), out: str
     else:
         rows = rows.withColumn("__real", F.lit(1))
     by = Window.partitionBy(CHUNK).orderBy(
-        "__real", ORDER, TIE, *list(tie[1:])
+        "__real", ORDER, TIE, *tie_rest(df, tie)
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = rows.withColumn(out, F.sum("__step").over(by) - F.col("__step")).where("__real = 1")
     if plan.copies:

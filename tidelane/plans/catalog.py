@@ -431,16 +431,16 @@ def flags_sql(test: str) -> str:
     )
 
 
-def _flagged(spark, d, closed, limit):
+def _flagged(spark, d, closed):
     df = op.threshold_flag(events(spark, d).select("event_id", TS, "value"), "value", ">", 90.0, "flag", bad=3)
-    return op.flag_intervals(df, error_periods(spark, d, 60, 25), ["flag"], closed, literal_limit=limit).drop("value")
+    return op.flag_intervals(df, error_periods(spark, d, 60, 25), ["flag"], closed).drop("value")
 
 
 CLOSED, OPEN = "lo <= ts and ts <= hi", "lo < ts and ts < hi"
-query(flags_sql(CLOSED), "flag_intervals_closed", flags="flag")(lambda spark, d: _flagged(spark, d, "both", 10_000))
-query(flags_sql(OPEN), "flag_intervals_open", flags="flag")(lambda spark, d: _flagged(spark, d, "neither", 10_000))
-query(flags_sql(CLOSED), "flag_intervals_closed_swept", flags="flag")(lambda spark, d: _flagged(spark, d, "both", 0))
-query(flags_sql(OPEN), "flag_intervals_open_swept", flags="flag")(lambda spark, d: _flagged(spark, d, "neither", 0))
+query(flags_sql(CLOSED), "flag_intervals_closed", flags="flag")(lambda spark, d: _flagged(spark, d, "both"))
+query(flags_sql(OPEN), "flag_intervals_open", flags="flag")(lambda spark, d: _flagged(spark, d, "neither"))
+query(flags_sql(CLOSED), "flag_intervals_closed_swept", flags="flag")(lambda spark, d: _flagged(spark, d, "both"))
+query(flags_sql(OPEN), "flag_intervals_open_swept", flags="flag")(lambda spark, d: _flagged(spark, d, "neither"))
 
 EXTRACTS = with_sql(
     periods_sql(120, 30),
@@ -450,14 +450,30 @@ EXTRACTS = with_sql(
 )
 
 
-def _extracts(spark, d, limit):
+def _extracts(spark, d):
     return op.period_extracts(
-        events(spark, d).select("event_id", TS), error_periods(spark, d, 120, 30), "20m", literal_limit=limit
+        events(spark, d).select("event_id", TS), error_periods(spark, d, 120, 30), "20m"
     )
 
 
-query(EXTRACTS, "period_extracts")(lambda spark, d: _extracts(spark, d, 10_000))
-query(EXTRACTS, "period_extracts_joined")(lambda spark, d: _extracts(spark, d, 0))
+query(EXTRACTS, "period_extracts")(lambda spark, d: _extracts(spark, d))
+query(EXTRACTS, "period_extracts_joined")(lambda spark, d: _extracts(spark, d))
+
+
+@query(
+    with_sql(
+        periods_sql(120, 30).replace("select ts as lo", "select event_id as listed, ts as lo"),
+        "n as (select lo - interval '20 minutes' as lo, hi + interval '20 minutes' as hi, cast(listed as varchar) as comment, "
+        "row_number() over (order by listed) as period_no from iv)",
+        final="select event_id, ts as datetime_utc, period_no, comment from events join n on ts >= lo and ts <= hi",
+    )
+)
+def period_extracts_listed(spark, d):
+    """Numbered in the order in which the periods are listed, with their comments."""
+    listed = error_periods(spark, d, 120, 30).withColumn("listed", F.col("comment").cast("long"))
+    return op.period_extracts(
+        events(spark, d).select("event_id", TS), listed, "20m", order_by="listed", carry=["comment"]
+    )
 
 
 # Buckets
@@ -553,6 +569,18 @@ def previous_row(spark, d):
     return out.drop("o_totalprice")
 
 
+@query(
+    """select o_orderkey, o_orderdate as datetime_utc,
+         lag(o_orderkey) over (order by o_orderdate, 'order number ' || o_orderkey, o_orderkey) as prev_key from orders"""
+)
+def previous_row_text_tie(spark, d):
+    """Ties in text order, of which the first bytes are all alike."""
+    df = table(spark, d, "orders").select(
+        "o_orderkey", F.col("o_orderdate").alias(TS), F.concat(F.lit("order number "), F.col("o_orderkey")).alias("name")
+    )
+    return op.with_previous(df, TS, {"prev_key": "o_orderkey"}, tie=["name"]).drop("name")
+
+
 @query(
     """select * from (select lag(ts) over (order by ts) as prev_ts, ts as curr_ts,
          epoch_us(ts) - lag(epoch_us(ts)) over (order by ts) as gap from events where event_type = 'view')
@@ -936,6 +964,17 @@ def epoch_table(spark, d):
     return kept.join(cut, "event_id")
 
 
+EPOCH_FROM, EPOCH_TO = "2024-01-05 00:00:00", "2024-01-20 12:00:00"
+
+
+@query(f"select event_id, ts as datetime_utc from events where ts >= timestamp '{EPOCH_FROM}' and ts <= timestamp '{EPOCH_TO}'")
+def epoch_window(spark, d):
+    seconds = (micros(F.col("ts")).cast("decimal(20,0)") / 1000000).cast("decimal(20,6)")
+    df = table(spark, d, "events").select("event_id", seconds.alias(TS))
+    path = _stored(spark, "epoch", lambda p: df.write.parquet(p))
+    return src.read_epoch_table(spark, path, lo=EPOCH_FROM, hi=EPOCH_TO)
+
+
 @query(with_sql(periods_sql(60, 25), final="select date_trunc('second', lo) as start_time, date_trunc('second', hi) as end_time, 4 as qc_flag from iv"))
 def interval_csv(spark, d):
     iv = error_periods(spark, d, 60, 25)
@@ -945,20 +984,18 @@ def interval_csv(spark, d):
     return src.read_intervals(spark, path).drop("comment")
 
 
-@query("select ts as datetime_utc, 200 + value / 10 as oxygen_umol_kg from events where event_type = 'purchase'")
+@query("select ts as datetime_utc, 200 + value / 10 as oxygen_umol_kg from events")
 def instrument_csv(spark, d):
-    ev = events(spark, d).where("event_type = 'purchase'")
-    df = ev.select(
+    df = events(spark, d).select(
         F.date_format(TS, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("datetime"), (F.lit(200) + F.col("value") / 10).alias("O2_calc"), "user_id"
     )
     path = _stored(spark, "instrument", lambda p: df.write.option("header", True).csv(p))
     return src.read_oxygen(spark, path)
 
 
-@query("select ts as datetime_utc, value / 10 as latitude, -user_id / 10.0::double as longitude from events where event_type = 'click'")
+@query("select ts as datetime_utc, value / 10 as latitude, -user_id / 10.0::double as longitude from events")
 def track_points(spark, d):
-    ev = events(spark, d).where("event_type = 'click'")
-    df = ev.select(
+    df = events(spark, d).select(
         (F.col("value") / 10).alias("_lat"), (-F.col("user_id") / 10.0).alias("_lon"),
         F.date_format(TS, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time"),
     )
@@ -1007,6 +1044,68 @@ def log_rows(spark, d):
     return rounded(rows.drop("longitude"), "latitude")
 
 
+@query(
+    """with k as (select *, event_id % 3 as user_key from events), f as (
+       select user_key, event_id, case when event_id % 4 = 0 then ts end as known, row_number() over (partition by user_key order by event_id) as rn from k),
+       a as (select *, last_value(known ignore nulls) over w as base, last_value(case when known is not null then rn end ignore nulls) over w as arn
+         from f window w as (partition by user_key order by event_id rows between unbounded preceding and current row))
+       select nullif(user_key, 2) as user_key, event_id, base + interval '2 seconds' * (rn - arn) as ts from a"""
+)
+def fill_time_by_key(spark, d):
+    """Filled along each of three keys, one of them null."""
+    df = events(spark, d).select(
+        F.when(F.col("event_id") % 3 != 2, F.col("event_id") % 3).alias("user_key"), "event_id",
+        F.when(F.col("event_id") % 4 == 0, F.col(TS)).alias("known"),
+    )
+    return src.fill_time_by_increment(df, "known", "event_id", "2s", ["user_key"]).drop("known")
+
+
+_FILES = """l as (select *, event_id % 2 as file, case when event_id % 7 = 0 then 'W' else 'E' end as side from events),
+   g as (select *, event_id % 11 = 0 as no_pairs, event_id % 13 = 0 as bad_time from l)"""
+
+
+def _written_logs(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Two log files in event order, with repeated keys, invalid times, both hemispheres and lines without pairs."""
+    every = lambda n: F.col("event_id") % n == 0
+    lon = F.concat(F.col("user_id") % 180, F.lit(" 30.0 "), F.when(every(7), F.lit("W")).otherwise(F.lit("E")))
+    fields = [
+        ("t1= ", F.lit("9.5")), ("t1= ", F.col("value")), ("c1= ", F.col("user_id")), ("s= ", F.col("value") + 1),
+        ("t2= ", F.col("event_id")), ("lon= ", lon),
+        ("hms=", F.when(every(13), F.lit("256199")).otherwise(F.date_format(TS, "HHmmss"))), ("dmy=", F.date_format(TS, "ddMMyy")),
+    ]
+    line = F.concat_ws("  ", *[F.concat(F.lit(k), v.cast("string")) for k, v in fields])
+    lines = events(spark, d).select(
+        (F.col("event_id") % 2).alias("file"), "event_id", F.when(every(11), F.lit("no pairs here")).otherwise(line).alias("value"))
+    path = new_shared_path(spark, "logs")
+    for i in (0, 1):  # a file is one ordered stream
+        lines.where(F.col("file") == i).orderBy("event_id").coalesce(1).select("value").write.text(f"{path}/{i}")
+    return src.ingest_keyvalue_log(spark, [f"{path}/0", f"{path}/1"])
+
+
+@query(
+    f"""with {_FILES}, t as (select *, case when not bad_time then date_trunc('second', ts) end as dt,
+          row_number() over (partition by file order by event_id) as rn from g where not no_pairs),
+        a as (select *, last_value(dt ignore nulls) over w as adt, last_value(case when dt is not null then rn end ignore nulls) over w as arn
+          from t window w as (partition by file order by event_id rows between unbounded preceding and current row))
+        select event_id::double as t2, value as t1, user_id::double as c1, value + 1 as s,
+          round((user_id % 180 + 0.5::double) * case when side = 'W' then -1 else 1 end, 6) as longitude,
+          dt as datetime, adt + interval '2 seconds' * (rn - arn) as ts from a"""
+)
+def log_files(spark, d):
+    rows, _ = _written_logs(spark, d)
+    return rounded(rows.drop("file", "block", "position", "latitude"), "longitude")
+
+
+@query(
+    f"""with {_FILES} select false as dropped, 'invalid date or time' as reject_reason, 't1= 9.5  t1= ' || value || '  c1= ' || user_id || '  s= ' || (value + 1)
+        || '  t2= ' || event_id || '  lon= ' || (user_id % 180) || ' 30.0 ' || side || '  hms=256199  dmy=' || strftime(ts, '%d%m%y') as line
+        from g where bad_time and not no_pairs"""
+)
+def log_file_rejects(spark, d):
+    _, rejects = _written_logs(spark, d)
+    return rejects.select("dropped", "reject_reason", "line")
+
+
 @query(
     f"""with {_LOG} select event_id, true as dropped, case when bad_t1 then 'unreadable value for t1' when no_hemi then 'no hemisphere in lat'
         else 'missing s' end as reject_reason from k where bad_t1 or no_s or no_hemi"""
@@ -1119,7 +1218,7 @@ def flag_ph(spark, d):
 @query(with_sql(*CRUISE, *COMBINE, final=_PRODUCT + "prod"), flags="temperature_flag salinity_flag ph_flag rho_flag")
 def process_underway(spark, d):
     product = plans.process_underway(
-        **cruise(spark, d), interval=2 * SCALE, scale=SCALE, check=False, feed_dir=new_shared_path(spark, "feeds")
+        **cruise(spark, d), interval=2 * SCALE, scale=SCALE, feed_dir=new_shared_path(spark, "feeds")
     )
     return rounded(product["combined"], *_PRODUCT_REAL)
 
@@ -1164,7 +1263,7 @@ def _rounded_means(df: DataFrame, *cols: str) -> DataFrame:
 
 def _product(spark, d):
     made = plans.process_underway(
-        **cruise(spark, d), interval=2 * SCALE, scale=SCALE, check=False, feed_dir=new_shared_path(spark, "feeds")
+        **cruise(spark, d), interval=2 * SCALE, scale=SCALE, feed_dir=new_shared_path(spark, "feeds")
     )
     return made["combined"]
 

@@ -23,7 +23,7 @@ from tidelane.operators.flags import (
 from tidelane.operators.intervals import flag_intervals
 from tidelane.operators.validate import check_feed, validate_feed
 from tidelane.sources.sinks import write_parquet_series, write_products
-from tidelane.sources.tables import read_epoch_table, read_intervals
+from tidelane.sources.tables import read_epoch_table, read_intervals, read_parquet_series
 
 TS = "datetime_utc"
 
@@ -147,7 +147,7 @@ def process_underway(
         spark = gps.sparkSession
         for name in ("gps", "tsg", "ph", "rho"):
             write_parquet_series(feeds[name], f"{feed_dir}/{name}", TS)
-            feeds[name] = spark.read.parquet(f"{feed_dir}/{name}").drop("day")
+            feeds[name] = read_parquet_series(spark, f"{feed_dir}/{name}")
     if check:
         for name in ("gps", "tsg", "rho", "oxygen"):
             check_feed(feeds[name], name, not_empty=name == "tsg")

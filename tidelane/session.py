@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,10 +38,12 @@ def require_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the session names none, which is the case in tests.
+    A folder of our own is made only where a single-process session names none, which is the case in tests.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         named = tempfile.mkdtemp(prefix="tidelane-")
         spark.sparkContext.setCheckpointDir(named)
     elif spark.sparkContext.getCheckpointDir() is None:

@@ -197,7 +197,9 @@ def fill_time_by_increment(
     edges = edges.withColumn("__placed", placed)
     edges = edges.select(*keys, PART, "__offset", F.last("__placed", ignorenulls=True).over(earlier).alias("__carry"))
     far = F.col("__carry.at") + (F.col("__offset") + F.col(RN) - F.col("__carry.rn")) * F.lit(step_us)
-    joined = rows.join(edges, [*keys, PART], "left")
+    named = {c: f"__edge_{c}" for c in (*keys, PART)}
+    same = [F.col(c).eqNullSafe(F.col(e)) for c, e in named.items()]
+    joined = rows.join(edges.withColumnsRenamed(named), same, "left")
     filled = joined.withColumn(out, from_micros(F.coalesce(near, far)))
     return filled.select(*df.columns, out)
 

@@ -6,15 +6,19 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+DAY = "utc_day_partition"
+
 
 def write_parquet_series(df: DataFrame, path: str, ts: str = "datetime_utc", mode: str = "errorifexists") -> None:
-    """Parquet partitioned by day.
+    """Parquet partitioned by day, under the reserved column ``DAY``, which ``df`` must not have.
 
     The rebalance hint lets adaptive execution gather each day's rows into files of even size, splitting a
     day that is too large for one.
     """
-    dated = df.withColumn("day", F.to_date(ts)).hint("rebalance", "day")
-    dated.sortWithinPartitions("day", ts).write.mode(mode).partitionBy("day").parquet(path)
+    if DAY in df.columns:
+        raise ValueError(f"column name {DAY} is reserved for the partition")
+    dated = df.withColumn(DAY, F.to_date(ts)).hint("rebalance", DAY)
+    dated.sortWithinPartitions(DAY, ts).write.mode(mode).partitionBy(DAY).parquet(path)
 
 
 def write_csv_series(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

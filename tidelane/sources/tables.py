@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidelane.functions.time import epoch_to_time
 from tidelane.operators.validate import check_feed
+from tidelane.sources.sinks import DAY
 
 
 def read_epoch_table(
@@ -14,12 +17,16 @@ def read_epoch_table(
     fmt: str = "parquet",
     time_col: str = "datetime_utc",
     truncate: bool = False,
+    lo: str | None = None,
+    hi: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """A whole table whose ``time_col``, if it has one, counts seconds since 1970.
+    """A table whose ``time_col``, if it has one, counts seconds since 1970.
 
     ``fmt`` is any Spark source: ``parquet``, ``csv``, ... with a path, ``jdbc`` with a table name and its
-    options, or ``table`` for a catalog table. Fractions of a second are kept unless ``truncate``.
+    options (give ``partitionColumn`` and its bounds to read it in parallel), or ``table`` for a catalog table.
+    Fractions of a second are kept unless ``truncate``. ``lo`` and ``hi`` (UTC times, both included) limit the
+    stored numbers themselves, so the limits reach the scan.
     """
     if fmt == "table":
         df = spark.table(path_or_table)
@@ -32,6 +39,13 @@ def read_epoch_table(
     raw = F.col(time_col)
     if df.schema[time_col].dataType.typeName() == "string":
         raw = raw.cast("double")
+    for text, bound in ((lo, raw.__ge__), (hi, raw.__le__)):
+        if text is not None:
+            seconds = (datetime.fromisoformat(text) - datetime(1970, 1, 1)).total_seconds()
+            if truncate and text is hi:
+                seconds, bound = float(int(seconds // 1) + 1), raw.__lt__
+            whole = seconds == int(seconds) and isinstance(df.schema[time_col].dataType, T.IntegralType)
+            df = df.where(bound(F.lit(int(seconds) if whole else seconds)))
     return df.withColumn(time_col, epoch_to_time(raw, truncate))
 
 
@@ -84,4 +98,4 @@ def read_oxygen(spark: SparkSession, path: str) -> DataFrame:
 def read_parquet_series(spark: SparkSession, path: str, keep_day: bool = False) -> DataFrame:
     """A stored product; the day it is partitioned by is dropped unless asked for."""
     df = spark.read.parquet(path)
-    return df if keep_day or "day" not in df.columns else df.drop("day")
+    return df if keep_day else df.drop(DAY)
