@@ -27,7 +27,9 @@ NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 #: Weight of an unknown letter above the worst piece of a unigram model (fixed value).
 UNKNOWN_PENALTY = 10.0
-CACHE = 400_000
+#: Stands for a letter of no piece where pairs of pieces are merged.
+UNKNOWN_LETTER = "\ufffe"
+CACHE = 300_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -97,26 +99,49 @@ class PieceTransducer:
         self.number = {p: i for i, (p, _, kind) in enumerate(self.pieces) if kind == NORMAL}
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
         self.byte = {int(p[1:-1], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE}
-        self.trie: dict = {}
+        #: A node: its piece or None, and its children by letter.
+        self.trie: list = [None, {}]
         for piece, i in self.number.items():
             node = self.trie
             for letter in piece:
-                node = node.setdefault(letter, {})
-            node[""] = i
+                node = node[1].setdefault(letter, [None, {}])
+            node[0] = i
+        self.longest = max(map(len, self.number), default=1)
         self.worst = min((score for _, score, kind in self.pieces if kind == NORMAL), default=0.0)
         self.bytes_of = [
             bytes([int(p[1:-1], 16)]) if kind == BYTE else b"" if kind == CONTROL else " ⁇ ".encode()
             if kind == UNKNOWN else p.replace(SIGN, " ").encode() for p, _, kind in self.pieces
         ]
-        mixed = any(SIGN in p.lstrip(SIGN) for p in self.number)
+        pairs = {(a, b) for p in self.number for a, b in zip(p, p[1:], strict=False)}
+        self.unit = re.compile(self._units(pairs), re.DOTALL)
+        self.names = [p for p, *_ in self.pieces] + [UNKNOWN_LETTER]
+        self.pair_ok = Cache(self._pair_ok)
+        find = self._filtered_path if self.kind == BPE else self.shortest_path
+        self.unit_ids = Cache(lambda unit: np.array(find(unit), np.int32).tobytes())
+
+    def _units(self, pairs: set[tuple[str, str]]) -> str:
+        """A pattern for units that no piece crosses, so that each has its own lattice; the whole text if there are none.
+
+        A text falls apart before a sign that follows another letter, around line ends and tabs of no piece, and
+        between the letters that stop marks are connected to through neighbours in pieces and all others.
+        """
+        if any(b == SIGN != a for a, b in pairs):
+            return ".+"
         letters = {c for p in self.number for c in p}
         apart = "".join(c for c in "\n\r\t" if c not in letters)
-        #: No piece holds these controls or goes on over a sign after another letter: a text falls apart there.
-        self.unit = re.compile(
-            ".+" if mixed else f"{SIGN}*[^{SIGN}{apart}]+|{SIGN}+" + (f"|[{apart}]+" if apart else ""), re.DOTALL
-        )
-        self.pair_ok = Cache(self._pair_ok)
-        self.unit_ids = Cache(lambda unit: np.array(self.shortest_path(unit), np.int32).tobytes())
+        marks, beside = {"."}, {c: set() for c in letters}
+        for a, b in pairs:
+            if a != SIGN:
+                beside[a].add(b)
+                beside[b].add(a)
+        todo = ["."]
+        while todo:
+            new = beside.get(todo.pop(), set()) - marks
+            marks |= new
+            todo += new
+        kind = re.escape("".join(sorted(marks)))
+        inner = f"{SIGN}*[^{SIGN}{apart}{kind}]+|{SIGN}*[{kind}]+"
+        return f"{inner}|{SIGN}+" + (f"|[{apart}]+" if apart else "")
 
     def normalise(self, text: str) -> str:
         """The normaliser's output: spaces squeezed if the model asks for it, a dummy prefix, signs for spaces."""
@@ -138,48 +163,79 @@ class PieceTransducer:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _pair_ok(self, pair: tuple[str, str]) -> bool:
-        """The BPE filter: two neighbours are let through if merging their letters gives just these two."""
-        left, right = pair
+    def _pair_ok(self, pair: int) -> bool:
+        """The BPE filter: two neighbours are let through if merging their letters gives just these two.
+
+        A pair is one number; the left piece is counted from 1, so that 0 stands for the start.
+        """
+        left, right = divmod(pair, len(self.names))
+        left, right = self.names[left - 1] if left else "", self.names[right]
         return self.merges(left + right) == ([left, right] if left else [right])
 
     def arcs(self, letters: str, at: int) -> Iterator[tuple[int, int | None]]:
         """End and piece of every arc that starts at a letter; None is the unknown letter."""
         node, end, single = self.trie, at, False
-        while end < len(letters) and (node := node.get(letters[end])) is not None:
+        while end < len(letters) and (node := node[1].get(letters[end])) is not None:
             end += 1
-            if "" in node:
+            if node[0] is not None:
                 single |= end == at + 1
-                yield end, node[""]
+                yield end, node[0]
         if not single:
             yield at + 1, None
 
     def shortest_path(self, letters: str) -> list[int]:
         """Piece numbers along the cheapest path through the composed lattice of one unit.
 
-        A state is a place and, for BPE, the piece that ends there. States are relaxed from left to right; all arcs
-        go right, so each is final when reached. Of equal paths the first relaxed stays.
+        A state is a place; all arcs go right, so states are final from left to right. Of equal paths the first
+        relaxed stays.
         """
-        bpe = self.kind == BPE
-        best: list[dict] = [{} for _ in range(len(letters) + 1)]
-        best[0][""] = (0.0, None, None)
+        best: list[tuple[float, int, int | None] | None] = [(0.0, 0, None)] + [None] * len(letters)
         for at in range(len(letters)):
-            if not best[at]:
+            if (here := best[at]) is None:
                 continue
             for end, piece in self.arcs(letters, at):
-                own = letters[at:end]
-                weight = 0.0 if bpe else -self.pieces[piece][1] if piece is not None else UNKNOWN_PENALTY - self.worst
-                for before, (cost, _, _) in best[at].items():
-                    if bpe and not self.pair_ok[before, own]:
-                        continue
-                    state = own if bpe else ""
-                    if state not in best[end] or cost + weight < best[end][state][0]:
-                        best[end][state] = (cost + weight, (at, before), (piece, own))
-        state = min(best[-1], key=lambda s: best[-1][s][0])
+                cost = here[0] + (UNKNOWN_PENALTY - self.worst if piece is None else -self.pieces[piece][1])
+                if best[end] is None or cost < best[end][0]:
+                    best[end] = cost, at, piece
         place, path = len(letters), []
         while place:
-            _, (place, state), arc = best[place][state]
-            path.append(arc)
+            _, at, piece = best[place]
+            path.append((piece, letters[at:place]))
+            place = at
+        return self._emit(path)
+
+    def _filtered_path(self, letters: str) -> list[int]:
+        """The path of weight 0 through the lattice composed with the BPE filter.
+
+        A prefix has one encoding, so at each place one piece can stand last: the state is that piece, and the first
+        arc that the filter lets through is the only one.
+        """
+        roots, ok, n, unknown = self.trie[1], self.pair_ok, len(self.names), len(self.names) - 1
+        size = len(letters)
+        last: list[int] = [-1] * (size + 1)
+        start = [0] * (size + 1)
+        for at in range(size):
+            before = (last[at] + 1) * n if at else 0
+            children, end = roots, at
+            for letter in letters[at : at + self.longest]:
+                node = children.get(letter)
+                if node is None:
+                    break
+                end += 1
+                piece, children = node
+                if piece is not None and last[end] < 0 and ok[before + piece]:
+                    last[end], start[end] = piece, at
+            if last[at + 1] < 0:
+                last[at + 1], start[at + 1] = unknown, at
+        place, path = size, []
+        while place:
+            at = start[place]
+            path.append((last[place] if last[place] != unknown else None, letters[at:place]))
+            place = at
+        return self._emit(path)
+
+    def _emit(self, path: list[tuple[int | None, str]]) -> list[int]:
+        """Output of a path given from its end: pieces, and the bytes (or the unknown piece) of other letters."""
         out: list[int] = []
         for piece, own in reversed(path):
             if piece is not None:
