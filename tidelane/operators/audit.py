@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidelane.operators.lag import non_monotonic, position_jumps, regularity_report, series_completeness
+from tidelane.operators.lag import folded_steps, non_monotonic, position_jumps, regularity_report, series_completeness
 from tidelane.operators.reports import correlation, missing_report, quality_scores
 from tidelane.operators.rolling import rolling_outliers
 from tidelane.operators.validate import range_report
@@ -28,14 +28,15 @@ def audit_series(
     out = {"missing": missing_report(df)}
     if arrival:
         out["non_monotonic"] = non_monotonic(df, arrival, ts).agg(F.count("*").alias("rows"))
-    out["regularity"] = regularity_report(df, ts)
+    steps = folded_steps(df, ts)  # put in order once, for both reports on spacing
+    out["regularity"] = regularity_report(df, ts, steps=steps)
     out["ranges"] = range_report(df, ranges)
     if {"temperature", "salinity", "conductivity"} <= set(df.columns):
         out["correlation"] = correlation(df, "salinity", "conductivity", ["temperature"])
     if {"latitude", "longitude"} <= set(df.columns):
         out["jumps"] = position_jumps(df, ts=ts, km=jump_km).agg(F.count("*").alias("jumps"))
     out["outliers"] = rolling_outliers(df, ts, window=window, k=k, tie=tie)
-    out["completeness"] = series_completeness(df, ts)
+    out["completeness"] = series_completeness(df, ts, steps)
     out["quality"] = quality_scores(df)
     return out
 

@@ -157,13 +157,20 @@ def irregular_intervals(df: DataFrame, ts: str = "datetime_utc", stds: float = 2
     return rows.where(F.abs(F.col("us") - found.mean) > stds * found.std).drop("us")
 
 
-def regularity_report(df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0) -> DataFrame:
+def folded_steps(df: DataFrame, ts: str = "datetime_utc") -> DataFrame:
+    """The distinct steps of a series with their number, checkpointed; serves several reports on it."""
+    return fold_values(_steps(instants(df, ts)))
+
+
+def regularity_report(
+    df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0, steps: DataFrame | None = None
+) -> DataFrame:
     """One row on the spacing of a series: step statistics, duplicates, share of irregular steps.
 
-    The series is put in order once; everything here comes from the checkpointed table of its distinct
-    steps.
+    The series is put in order once; everything here comes from the table of its :func:`folded_steps`, which may
+    be given.
     """
-    steps = fold_values(_steps(instants(df, ts)))
+    steps = folded_steps(df, ts) if steps is None else steps
     found, median = _moments(steps).first(), exact_median(steps)
     mean, std = F.lit(found.mean).cast("double"), F.lit(found.std).cast("double")
     weight_of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("weight"))), F.lit(0))
@@ -203,9 +210,12 @@ def sampling_interval(
     return df.sparkSession.range(1).select(F.lit(median).cast("double").alias("median_s"))
 
 
-def series_completeness(df: DataFrame, ts: str = "datetime_utc") -> DataFrame:
-    """Rows present against rows expected at the median step, and steps over five times the median."""
-    steps = fold_values(_steps(instants(df, ts)))
+def series_completeness(df: DataFrame, ts: str = "datetime_utc", steps: DataFrame | None = None) -> DataFrame:
+    """Rows present against rows expected at the median step, and steps over five times the median.
+
+    ``steps`` may be given as :func:`folded_steps`.
+    """
+    steps = folded_steps(df, ts) if steps is None else steps
     median = exact_median(steps)
     med = F.lit(median if median and median > 0 else None).cast("double")
     wide = F.coalesce(F.sum(F.when(F.col("value") > F.lit(5.0) * med, F.col("weight"))), F.lit(0))

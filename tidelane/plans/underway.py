@@ -22,8 +22,9 @@ from tidelane.operators.flags import (
 )
 from tidelane.operators.intervals import flag_intervals
 from tidelane.operators.validate import check_feed, validate_feed
-from tidelane.sources.sinks import write_parquet_series, write_products
-from tidelane.sources.tables import read_epoch_table, read_intervals, read_parquet_series
+from tidelane.session import new_shared_path
+from tidelane.sources.sinks import write_products
+from tidelane.sources.tables import read_epoch_table, read_intervals
 
 TS = "datetime_utc"
 
@@ -132,8 +133,9 @@ def process_underway(
     """The whole product: ``combined``, the patched feeds, and the ``validation`` report.
 
     A feed that fails a rule raises unless ``check`` is off. ``scale`` multiplies every step and tolerance
-    of the feeds, for series sampled more slowly than by the second. With ``feed_dir`` the four patched
-    feeds are stored there and read back, so that what follows does not compute them again.
+    of the feeds, for series sampled more slowly than by the second. The patched feeds and the joined product are
+    each consumed several times, so they are stored once in ``feed_dir`` (default a new folder in the shared one)
+    and read back.
     """
     s = lambda seconds: seconds * scale
     feeds = {
@@ -143,15 +145,17 @@ def process_underway(
         "rho": default_flag(rho, "rho_flag"),
         "oxygen": oxygen,
     }
-    if feed_dir:
-        spark = gps.sparkSession
-        for name in ("gps", "tsg", "ph", "rho"):
-            write_parquet_series(feeds[name], f"{feed_dir}/{name}", TS)
-            feeds[name] = read_parquet_series(spark, f"{feed_dir}/{name}")
+    feed_dir = feed_dir or new_shared_path(gps.sparkSession, "feeds")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{feed_dir}/{name}")
+        return df.sparkSession.read.parquet(f"{feed_dir}/{name}")
+
+    feeds.update({name: stored(feeds[name], name) for name in ("gps", "tsg", "ph", "rho")})
     if check:
         for name in ("gps", "tsg", "rho", "oxygen"):
             check_feed(feeds[name], name, not_empty=name == "tsg")
-    combined = flag_flow(combine_underway(feeds, k0, k2, interval, s(2)), shutdowns)
+    combined = flag_flow(stored(combine_underway(feeds, k0, k2, interval, s(2)), "joined"), shutdowns)
     if outputs:
         write_products(combined, outputs, TS)
     validation = reduce(DataFrame.unionByName, [validate_feed(df, n) for n, df in feeds.items()])
