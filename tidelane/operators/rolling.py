@@ -12,8 +12,10 @@ from tidelane.operators.copies import expand_copies, fold_copies
 CHUNK, ORDER, TIE = "__chunk", "__order", "__tie"
 
 
-def with_row_number(df: DataFrame, order: str, tie: Sequence[str] = (), out: str = "__rn") -> DataFrame:
-    """Number the rows 0, 1, 2, ... over the whole order: one start row per chunk carries its offset.
+def with_row_number(
+    df: DataFrame, order: str, tie: Sequence[str] = (), out: str = "__rn", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Number the rows 0, 1, 2, ... over the whole order (of each key): a start row per chunk carries its offset.
 
     Rows without an order value come last, as one crowded instant beyond every other.
     """
@@ -23,15 +25,15 @@ def with_row_number(df: DataFrame, order: str, tie: Sequence[str] = (), out: str
     rows = rows.withColumn(CHUNK, plan.chunk(F.col(ORDER), F.col(TIE)))
     rows = fold_copies(rows, plan.copies, ORDER, TIE).withColumn("__step", F.col("__n"))
     if not plan.single:
-        before = Window.partitionBy(F.lit(0)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        starts = rows.groupBy(CHUNK).agg(F.sum("__step").alias("__step"))
+        before = Window.partitionBy(*keys, F.lit(0)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        starts = rows.groupBy(*keys, CHUNK).agg(F.sum("__step").alias("__step"))
         starts = starts.withColumn("__step", F.coalesce(F.sum("__step").over(before), F.lit(0)))
         rows = rows.withColumn("__real", F.lit(1)).unionByName(
             starts.withColumn("__real", F.lit(0)), allowMissingColumns=True
         )
     else:
         rows = rows.withColumn("__real", F.lit(1))
-    by = Window.partitionBy(CHUNK).orderBy(
+    by = Window.partitionBy(*keys, CHUNK).orderBy(
         "__real", ORDER, TIE, *tie_rest(df, tie)
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = rows.withColumn(out, F.sum("__step").over(by) - F.col("__step")).where("__real = 1")
@@ -45,16 +47,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def rolling_deviation(
-    df: DataFrame, cols: Sequence[str], order: str, window: int = 5, tie: Sequence[str] = ()
+    df: DataFrame, cols: Sequence[str], order: str, window: int = 5, tie: Sequence[str] = (), keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``<c>_mean`` and ``<c>_std`` over ``window`` rows centred on each row.
+    """Add ``<c>_mean`` and ``<c>_std`` over ``window`` rows centred on each row (of each key).
 
     Rows are cut by number into even blocks, and only the rows within half a window of a block edge are
     copied to the neighbour, so the hot spots of the time axis do not matter here.
     """
     before, after = window // 2, (window - 1) // 2
     block = max(rows_per_chunk(df.sparkSession), window)
-    numbered = with_row_number(df, order, tie)
+    numbered = with_row_number(df, order, tie, keys=keys)
     home = F.expr(f"__rn div {block}")
     at = F.col("__rn") % F.lit(block)
     homes = F.filter(
@@ -62,7 +64,7 @@ def rolling_deviation(
         lambda b: b.isNotNull() & (b >= 0),
     )
     spread = numbered.withColumn("__home", home).withColumn("__block", F.explode(homes))
-    by = Window.partitionBy("__block").orderBy("__rn").rowsBetween(-before, after)
+    by = Window.partitionBy(*keys, "__block").orderBy("__rn").rowsBetween(-before, after)
     stats = {}
     for c in cols:
         stats[f"{c}_mean"] = F.avg(c).over(by)
@@ -76,10 +78,11 @@ def _nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def rolling_outlier_rows(
-    df: DataFrame, cols: Sequence[str], order: str, window: int = 5, k: float = 3.0, tie: Sequence[str] = ()
+    df: DataFrame, cols: Sequence[str], order: str, window: int = 5, k: float = 3.0, tie: Sequence[str] = (),
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<c>_outlier``: further than ``k`` rolling deviations from the rolling mean (NaN is missing)."""
-    wide = rolling_deviation(_nan_to_null(df, cols), cols, order, window, tie)
+    wide = rolling_deviation(_nan_to_null(df, cols), cols, order, window, tie, keys)
     odd = {
         f"{c}_outlier": F.coalesce(
             F.abs(F.col(c) - F.col(f"{c}_mean")) > F.lit(k) * F.when(F.col(f"{c}_std") != 0, F.col(f"{c}_std")),
@@ -97,14 +100,15 @@ def rolling_outliers(
     window: int = 5,
     k: float = 3.0,
     tie: Sequence[str] = (),
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Per numeric column, the number and percentage of rolling outliers."""
-    cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c != order]
-    narrow = df.select(*dict.fromkeys([order, *tie, *cols]))
-    rows = rolling_outlier_rows(narrow, cols, order, window, k, tie)
-    one = rows.agg(F.count("*").alias("__n"), *[F.count_if(f"{c}_outlier").alias(c) for c in cols])
+    """Per numeric column (and key), the number and percentage of rolling outliers."""
+    cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c != order and c not in keys]
+    narrow = df.select(*dict.fromkeys([*keys, order, *tie, *cols]))
+    rows = rolling_outlier_rows(narrow, cols, order, window, k, tie, keys)
+    one = rows.groupBy(*keys).agg(F.count("*").alias("__n"), *[F.count_if(f"{c}_outlier").alias(c) for c in cols])
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("outliers")) for c in cols])
     share = F.when(F.col("__n") > 0, F.lit(100.0) * F.col("outliers") / F.col("__n")).otherwise(F.lit(0.0))
-    return one.select("__n", F.explode(entries).alias("e")).select("e.column", "e.outliers", "__n").select(
-        "column", "outliers", share.alias("percent")
+    return one.select(*keys, "__n", F.explode(entries).alias("e")).select(*keys, "e.column", "e.outliers", "__n").select(
+        *keys, "column", "outliers", share.alias("percent")
     )

@@ -703,6 +703,23 @@ def rolling_deviation(spark, d):
     return out.select("l_orderkey", "l_linenumber", r6("q_mean").alias("mean_q"), r6("q_std").alias("std_q"))
 
 
+@query(
+    """select l_orderkey, l_linenumber, round(avg(l_quantity) over w, 6) as mean_q,
+         round(stddev_samp(l_quantity) over w, 6) as std_q from lineitem
+       window w as (partition by nullif(l_returnflag, 'R') order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice
+         rows between 2 preceding and 2 following)"""
+)
+def rolling_deviation_by_key(spark, d):
+    """Windows stay within a key, of which one is null."""
+    df = table(spark, d, "lineitem").select(
+        F.col("l_shipdate").alias(TS), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.col("l_quantity").alias("q"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("flag"),
+    )
+    tie = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    out = op.rolling_deviation(df, ["q"], TS, 5, tie=tie, keys=["flag"])
+    return out.select("l_orderkey", "l_linenumber", r6("q_mean").alias("mean_q"), r6("q_std").alias("std_q"))
+
+
 @query(
     with_sql(
         *REGULAR,
