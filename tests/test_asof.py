@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelane import operators as op
 
-BASE = datetime(2025, 9, 25, 12, 0, 0)
+BASE = datetime(2024, 2, 3, 7, 30, 0)
 TS = "datetime_utc"
 
 
@@ -19,11 +19,11 @@ def series(spark, rows, columns):
 
 
 def test_two_offset_feeds_on_a_two_second_grid(spark):
-    temp = series(spark, [(at(2 * i), 20.0 + i / 2) for i in range(5)], "temperature double")
-    salt = series(spark, [(at(2 * i + 1), 35.0 + i / 10) for i in range(5)], "salinity double")
+    temp = series(spark, [(at(2 * i), 4.0 + i / 4) for i in range(5)], "temperature double")
+    salt = series(spark, [(at(2 * i + 1), 11.0 + i) for i in range(5)], "salinity double")
     out = op.align_series({"temperature": temp, "salinity": salt}, "2s").orderBy(TS).collect()
     assert [tuple(r) for r in out] == [
-        (at(0), 20.0, None), (at(2), 20.5, 35.0), (at(4), 21.0, 35.1), (at(6), 21.5, 35.2), (at(8), 22.0, 35.3),
+        (at(0), 4.0, None), (at(2), 4.25, 11.0), (at(4), 4.5, 12.0), (at(6), 4.75, 13.0), (at(8), 5.0, 14.0),
     ]
 
 

@@ -6,7 +6,7 @@ from tidelane import sources as src
 from tidelane.operators.chunks import ROWS_PER_CHUNK
 
 TS = "datetime_utc"
-GOOD = "t1= 20.1, c1= 4.5, s= 31.2, t2= 20.3, lat= 41 32.9983 N, lon= 070 41.7965 W, hms=120000 dmy=120825"
+GOOD = "t1= 20.1, c1= 4.5, s= 31.2, t2= 20.3, lat= 12 15.2500 N, lon= 033 48.7500 W, hms=120000 dmy=120825"
 
 LOG = [
     "header without pairs",
@@ -46,7 +46,7 @@ def test_log(spark, tmp_path):
         (21.0, d(12, 1, 0, 31, 12), d(12, 1, 0, 31, 12)),
         (21.1, None, d(12, 1, 2, 31, 12)),
     ]
-    assert (got[1].latitude, got[1].longitude) == (pytest.approx(41 + 32.9983 / 60), pytest.approx(-(70 + 41.7965 / 60)))
+    assert (got[1].latitude, got[1].longitude) == (pytest.approx(12 + 15.25 / 60), pytest.approx(-(33 + 48.75 / 60)))
     assert [(r.reject_reason, r.dropped) for r in rejects.orderBy("position").collect()] == [
         ("invalid date or time", False),
         ("no hemisphere in lat", True),
@@ -115,9 +115,9 @@ def test_track(spark, tmp_path):
 
 
 def test_interval_csv_is_strict(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("start_time,end_time,qc_flag,comment\n2025-08-13 09:27:00,2025-08-13 09:54:00,4,battery change")
-    assert tuple(src.read_intervals(spark, str(tmp_path / "a.csv")).first())[:2] == (d(9, 27, 0, 13), d(9, 54, 0, 13))
-    (tmp_path / "b.csv").write_text("start_time,end_time,qc_flag,comment\n13/08/2025,2025-08-13 09:54:00,4,x\n")
+    (tmp_path / "a.csv").write_text("start_time,end_time,qc_flag,comment\n2025-08-13 04:11:00,2025-08-13 05:02:00,4,pump stopped")
+    assert tuple(src.read_intervals(spark, str(tmp_path / "a.csv")).first())[:2] == (d(4, 11, 0, 13), d(5, 2, 0, 13))
+    (tmp_path / "b.csv").write_text("start_time,end_time,qc_flag,comment\n13/08/2025,2025-08-13 05:02:00,4,x\n")
     with pytest.raises(Exception):
         src.read_intervals(spark, str(tmp_path / "b.csv")).collect()
     with pytest.raises(Exception):
