@@ -89,9 +89,11 @@ def quality_scores(df: DataFrame) -> DataFrame:
 def describe_series(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One row per column: count, nulls, mean, deviation, least, exact quartiles (nearest), greatest.
 
-    Times are described in seconds since 1970; text columns have counts only.
+    Times are described in seconds since 1970. If there are text columns, ``min_text`` and ``max_text`` hold their least and
+    greatest values, and their numbers are null.
     """
     fields = [f for f in df.schema if cols is None or f.name in cols]
+    texts = {f.name for f in fields if isinstance(f.dataType, T.StringType)}
     values = {}
     for f in fields:
         if isinstance(f.dataType, T.NumericType):
@@ -102,6 +104,9 @@ def describe_series(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     for i, f in enumerate(fields):
         aggs += [F.count(f.name).alias(f"c{i}"), F.count_if(F.col(f.name).isNull()).alias(f"n{i}")]
         v = values.get(f.name, F.lit(None).cast("double"))
+        if texts:
+            own = F.col(f.name) if f.name in texts else F.lit(None).cast("string")
+            aggs += [F.min(own).alias(f"ta{i}"), F.max(own).alias(f"tz{i}")]
         aggs += [F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}")]
     long = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("item"), v.alias("value")) for c, v in values.items()])).alias("e")
@@ -116,6 +121,7 @@ def describe_series(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
                 F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"), F.col(f"a{i}").alias("min"),
                 *[F.lit(v).cast("double").alias(n) for v, n in zip(q, ("q25", "q50", "q75"))],
                 F.col(f"z{i}").alias("max"),
+                *([F.col(f"ta{i}").alias("min_text"), F.col(f"tz{i}").alias("max_text")] if texts else []),
             )
         )
     return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")

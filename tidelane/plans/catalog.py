@@ -828,6 +828,15 @@ def describe_series(spark, d):
     return rounded(op.describe_series(df), "mean", "std")
 
 
+@query(
+    f"""select *, cast(null as varchar) as min_text, cast(null as varchar) as max_text from ({describe_sql("value", "value", "events")})
+        union all select 'event_type', count(event_type), count(*) - count(event_type), null, null, null, null, null, null, null,
+          min(event_type), max(event_type) from events"""
+)
+def describe_with_text(spark, d):
+    return rounded(op.describe_series(events(spark, d).select("value", "event_type")), "mean", "std")
+
+
 # Validation
 
 RULE_COLUMNS = {
