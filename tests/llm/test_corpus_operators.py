@@ -9,7 +9,7 @@ import pytest
 from helpers import AWKWARD, awkward, empty, table, words
 from pyspark.sql import functions as F
 
-from tidelane.llm import decontaminate, ngram_join, queries, secrets, substrings
+from tidelane.llm import ngram_join, queries, secrets, substrings
 
 # 3 n-gram Jaccard join
 
@@ -186,3 +186,19 @@ def test_pipeline_stages_with_awkward_rows(spark):
     gone = [x for x in everyone if x[1] not in (5,)]
     gone.remove((False, 4))
     assert kept["near_duplicates"] == gone
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    import oracle
+
+    sf = "/root/testdata/sf0.001"
+    assert oracle.compare(queries.QUERIES[name](spark, sf), oracle.connect(sf), queries.ORACLES[name]) is None
+
+
+def test_every_query_is_registered():
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert set(queries.QUERIES) | {"pipeline"} <= set(names)
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))

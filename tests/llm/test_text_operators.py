@@ -217,6 +217,9 @@ PAGES = [
      "Title\n\nOne two, three.\n\nShort"),
     ("<script>var t='</p><p>no'</script><p>yes, it is.</p><style>p{}</style><!-- <p>no</p> --><form>Name <input></form><foot", "yes, it is."),
     ("<head><title>no</title></head><body><header>Site</header><main><p>Main text, here.</p><aside>no</aside></main>", "Main text, here."),
+    ("<body><div class='site-header'><p>Site, slogan.</p></div><div class='article-header'><h1>T</h1></div><div class='story'>"
+     "<p>Body, text one.</p><p>Body, text two.</p></div><div class='reader-comments'><p>Nice, very nice, I liked it.</p></div>",
+     "T\n\nBody, text one.\n\nBody, text two."),
     ("<p>" + "long text, " * 100_000, ("long text, " * 100_000).strip()),
 ]
 

@@ -37,8 +37,11 @@ NAMES = frozenset(
     "nav navbar navigation menu footer sidebar aside ad ads advert adverts advertisement advertising banner promo "
     "promotion sponsor sponsored cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription "
     "share sharing social comment comments commentlist disqus replies reply respond breadcrumb breadcrumbs pagination "
-    "pager related recommended widget login signin signup search toolbar masthead skip copyright".split()
+    "pager related recommended widget login signin signup search toolbar masthead skip copyright topbar menubar subnav "
+    "adsbygoogle adbox adslot adunit leaderboard discussion disclaimer".split()
 )
+#: Words that make a "header" part of the article.
+OWN_HEADER = frozenset("article post entry content story page".split())
 #: An opening tag of the second kind ends an open element of the first, unless one of the third is between.
 ENDS = {
     "p": (BLOCK - {"option"}, frozenset("button td th object".split())),
@@ -75,7 +78,11 @@ def is_furniture(tag: str, attributes: str, inside: set[str]) -> bool:
         return True
     if tag in ("html", "body", "article", "main"):
         return tag == "article" and bool(_names(attributes) & {"comment", "comments", "reply"})
-    return bool(attributes) and bool(_names(attributes) & NAMES or _is_hidden(attributes))
+    if not attributes:
+        return False
+    names = _names(attributes)
+    site = "header" in names and not names & OWN_HEADER and not inside & {"article", "main"}
+    return site or bool(names & NAMES) or _is_hidden(attributes)
 
 
 def _names(attributes: str) -> set[str]:
@@ -199,7 +206,10 @@ def main_text(page: str | None) -> str:
         top = up[-1]
         if elements[top].tag in BLOCK and elements[top].tag in ("p", *HEADINGS) and len(up) > 1:
             top = up[-2]
-    return "\n\n".join(b.text for b in blocks if top in b.chain)
+    first = start = next(i for i, b in enumerate(blocks) if top in b.chain)
+    while first and blocks[first - 1].path[-1] in HEADINGS:  # a title may stand before the element
+        first -= 1
+    return "\n\n".join(b.text for i, b in enumerate(blocks) if first <= i < start or top in b.chain)
 
 
 def _extract(page: str):
