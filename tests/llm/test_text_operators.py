@@ -232,6 +232,15 @@ def test_main_text(spark):
     assert main_text.extract_main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("attributes", [
+    "style='overflow:hidden'", 'style="overflow: hidden"', 'data-hidden="false"', "data-hidden", "title='hidden id=nav'", "data-id=search",
+    "data-class='ad' data-role=navigation", "href=/the-hidden-history", "aria-hidden=false", 'class="a" CLASS="ad"', "x-role='search'",
+])
+def test_main_text_reads_whole_attribute_names(attributes):
+    page = f"<body><div {attributes}><p>One, two <a {attributes}>three</a> four.</p></div><p hidden>no</p><p Aria-Hidden=true>no</p></body>"
+    assert main_text.main_text(page) == "One, two three four."
+
+
 def test_main_text_of_given_pages(spark):
     import html
 

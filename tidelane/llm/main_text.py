@@ -57,7 +57,9 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/][^>]*$",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+#: One attribute: its whole name, then a quoted or bare value, so that no value is ever read as a name.
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+READ = frozenset("class id role hidden aria-hidden".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？、]")
 
 
@@ -85,19 +87,24 @@ def is_furniture(tag: str, attributes: str, inside: set[str]) -> bool:
     return site or bool(names & NAMES) or _is_hidden(attributes)
 
 
-def _names(attributes: str) -> set[str]:
-    found: set[str] = set()
+def _attributes(attributes: str) -> dict[str, str]:
+    """The attributes that are read, by name; of a repeated one the first counts, as in browsers."""
+    found: dict[str, str] = {}
     for name, value in ATTRIBUTE.findall(attributes):
-        value = value.strip("\"'").lower()
-        if name.lower() in ("class", "id"):
-            found |= set(re.split(r"[^a-z0-9]+", value))
-        elif name.lower() == "role" and value in ROLES:
-            found.add("nav")
+        if (name := name.lower()) in READ:
+            found.setdefault(name, value.strip("\"'").lower())
     return found
 
 
+def _names(attributes: str) -> set[str]:
+    own = _attributes(attributes)
+    found = {w for n in ("class", "id") if n in own for w in re.split(r"[^a-z0-9]+", own[n])}
+    return found | ({"nav"} if own.get("role") in ROLES else set())
+
+
 def _is_hidden(attributes: str) -> bool:
-    return any(n.lower() == "hidden" or n.lower() == "aria-hidden" and "true" in v for n, v in ATTRIBUTE.findall(attributes))
+    own = _attributes(attributes)
+    return "hidden" in own or own.get("aria-hidden", "").strip() == "true"
 
 
 def read_blocks(page: str) -> tuple[list[Block], dict[int, Element]]:
