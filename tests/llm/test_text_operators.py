@@ -241,6 +241,33 @@ def test_main_text_reads_whole_attribute_names(attributes):
     assert main_text.main_text(page) == "One, two three four."
 
 
+@pytest.mark.parametrize("attributes", [
+    "class='content has-sidebar'", "id=page class=with-sidebar", "class='elementor-widget-container'", "id='search-results'",
+    "class='social-science'", "class='post notice-list'", "class='no-comments'", "class=widget",
+])
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>"])
+def test_main_text_names_are_evidence_only(attributes, inner):
+    """A wrapper that a word in its name speaks against keeps its article; furniture beside and inside it goes."""
+    paragraphs = [f"Part {i}, with a full sentence of text, and more." for i in range(5)]
+    story = inner.format("".join(f"<p>{p}</p>" for p in paragraphs))
+    page = (f"<body><div class='site-header'><p>Site, slogan.</p></div><div {attributes}>{story}"
+            "<div class=sidebar><a>One link</a></div></div><div class=cookie-notice><p>We use, cookies.</p></div></body>")
+    assert main_text.main_text(page) == "\n\n".join(paragraphs)
+
+
+def test_main_text_names_beside_the_content():
+    parts = [f"Section {i}, with a full sentence of text, and more." for i in range(6)]
+    sections = "".join(f"<div class='{c}'><p>{p}</p></div>" for c, p in zip(["a", "social-science", "b", "search-history", "c", "d"], parts, strict=True))
+    assert main_text.main_text(f"<body>{sections}</body>") == "\n\n".join(parts)
+    widgets = "".join(f"<div class=widget><p>{p}</p></div>" for p in parts)
+    assert main_text.main_text(f"<body>{widgets}</body>") == "\n\n".join(parts)
+    link = "<body><div><p>One, two <a class='social-science'>three</a>, <span class=ad>Buy</span> four.</p></div></body>"
+    assert main_text.main_text(link) == "One, two three, four."
+    thread = "<div id=comments>" + "".join(f"<p>{p}</p>" for p in parts) + "</div>"
+    story = "<div><p>Short, but the story.</p><p>And a second, with more of it.</p></div>"
+    assert main_text.main_text(f"<body>{story}{thread}</body>") == "Short, but the story.\n\nAnd a second, with more of it."
+
+
 def test_main_text_of_given_pages(spark):
     import html
 

@@ -2,8 +2,8 @@
 
 A page is read as text blocks, each with its root-to-leaf tag path. For every path, text length and punctuation
 are summed over its blocks and divided by their number; the two ratios are fused, smoothed over neighbouring
-blocks, and paths above a threshold hold content. The element around the chosen blocks is the article; text under
-elements that name themselves as page furniture never counts.
+blocks, and paths above a threshold hold content. The element around the chosen blocks is the article. Text under
+furniture tags and hidden elements never counts; a class or id that names furniture is evidence, judged on the text.
 """
 
 from __future__ import annotations
@@ -40,8 +40,19 @@ NAMES = frozenset(
     "pager related recommended widget login signin signup search toolbar masthead skip copyright topbar menubar subnav "
     "adsbygoogle adbox adslot adunit leaderboard discussion disclaimer".split()
 )
+#: Of these, words that say little where another word follows (social-science, search-results, notice-list).
+LOOSE = frozenset(
+    "banner promo promotion sharing share social search notice widget related recommended menu subscription subscribe "
+    "overlay modal popup skip disclaimer consent cookie cookies navigation respond login".split()
+)
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond discussion".split())
+#: Layout classes: the word behind the first, or before the second, is about the element's surroundings.
+WITH, AROUND = frozenset("has with no without".split()), frozenset({"container"})
+LAYOUT = frozenset("sidebar widget".split())
 #: Words that make a "header" part of the article.
 OWN_HEADER = frozenset("article post entry content story page".split())
+#: What a class or id says: nothing, furniture unless on a content path, furniture, a comment thread.
+PLAIN, WEAK, STRONG, THREAD = range(4)
 #: An opening tag of the second kind ends an open element of the first, unless one of the third is between.
 ENDS = {
     "p": (BLOCK - {"option"}, frozenset("button td th object".split())),
@@ -67,24 +78,58 @@ class Element(NamedTuple):
     tag: str
     number: int
     dropped: bool
+    evidence: int
+
+
+class Piece(NamedTuple):
+    """A run of text, and the elements around it whose names speak of furniture, outermost first."""
+
+    named: tuple[int, ...]
+    text: str
 
 
 class Block(NamedTuple):
     path: tuple[str, ...]
     chain: tuple[int, ...]
     text: str
+    pieces: tuple[Piece, ...] = ()
 
 
 def is_furniture(tag: str, attributes: str, inside: set[str]) -> bool:
+    """Whether the tag, a role or hiding alone makes an element furniture."""
     if tag in FURNITURE or tag == "header" and not inside & {"article", "main"}:
         return True
-    if tag in ("html", "body", "article", "main"):
-        return tag == "article" and bool(_names(attributes) & {"comment", "comments", "reply"})
-    if not attributes:
+    if tag in ("html", "body", "article", "main") or not attributes:
         return False
-    names = _names(attributes)
-    site = "header" in names and not names & OWN_HEADER and not inside & {"article", "main"}
-    return site or bool(names & NAMES) or _is_hidden(attributes)
+    return _attributes(attributes).get("role") in ROLES or _is_hidden(attributes)
+
+
+def named_furniture(tag: str, attributes: str, inside: set[str]) -> int:
+    """What an element's class and id say of it; ``WEAK`` if only loose words do, each with another word behind it."""
+    own = _attributes(attributes) if attributes else {}
+    tokens = [re.split(r"[^a-z0-9]+", t) for n in ("class", "id") for t in own.get(n, "").split()]
+    tokens = [[w for w in t if w] for t in tokens]
+    names = {w for t in tokens for w in t}
+    if tag in ("html", "body", "main"):
+        return PLAIN
+    if tag == "article":
+        return THREAD if names & {"comment", "comments", "reply"} else PLAIN
+    found = PLAIN
+    for t in tokens:
+        for i, w in enumerate(t):
+            if w not in NAMES and w != "header" or i and t[i - 1] in WITH:
+                continue
+            last = i + 1 == len(t)
+            if w == "header":
+                level = PLAIN if names & OWN_HEADER or inside & {"article", "main"} else STRONG
+            elif w in LAYOUT and not last and t[i + 1] in AROUND:
+                level = PLAIN
+            elif w in COMMENTS:
+                level = THREAD
+            else:
+                level = WEAK if w in LOOSE and not last else STRONG
+            found = max(found, level)
+    return PLAIN if found == WEAK and any(len(t) == 1 and t[0] in OWN_HEADER for t in tokens) else found
 
 
 def _attributes(attributes: str) -> dict[str, str]:
@@ -96,32 +141,34 @@ def _attributes(attributes: str) -> dict[str, str]:
     return found
 
 
-def _names(attributes: str) -> set[str]:
-    own = _attributes(attributes)
-    found = {w for n in ("class", "id") if n in own for w in re.split(r"[^a-z0-9]+", own[n])}
-    return found | ({"nav"} if own.get("role") in ROLES else set())
-
-
 def _is_hidden(attributes: str) -> bool:
     own = _attributes(attributes)
     return "hidden" in own or own.get("aria-hidden", "").strip() == "true"
 
 
+def _plain(pieces: list[Piece] | tuple[Piece, ...]) -> str:
+    return " ".join(html.unescape("".join(p.text for p in pieces)).split())
+
+
 def read_blocks(page: str) -> tuple[list[Block], dict[int, Element]]:
-    """Text blocks outside page furniture, in page order, and all elements by number. Any input is read to its end:
+    """Text blocks outside furniture tags, in page order, and all elements by number. Any input is read to its end:
     unclosed elements end with the page, stray end tags and a cut-off last tag are ignored.
     """
     stack: list[Element] = []
     elements: dict[int, Element] = {}
     blocks: list[Block] = []
-    pending: list[str] = []
+    pending: list[Piece] = []
+
+    def add(text: str) -> None:
+        pending.append(Piece(tuple(e.number for e in stack if e.evidence), text))
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(pending)).split())
-        pending.clear()
+        text = _plain(pending)
         if text:
             own = [e for e in stack if e.tag in BLOCK] or stack
-            blocks.append(Block(tuple(e.tag for e in own), tuple(e.number for e in stack), text))
+            pieces = tuple(pending) if any(p.named for p in pending) else ()
+            blocks.append(Block(tuple(e.tag for e in own), tuple(e.number for e in stack), text, pieces))
+        pending.clear()
 
     def close(depth: int) -> None:
         if any(e.tag in BLOCK for e in stack[depth:]):
@@ -132,7 +179,7 @@ def read_blocks(page: str) -> tuple[list[Block], dict[int, Element]]:
     while at < len(page):
         m = TOKEN.search(page, at)
         if not (stack and stack[-1].dropped):
-            pending.append(page[at : m.start() if m else len(page)])
+            add(page[at : m.start() if m else len(page)])
         if not m:
             break
         at = m.end()
@@ -154,17 +201,18 @@ def read_blocks(page: str) -> tuple[list[Block], dict[int, Element]]:
                     break
             flush()
         elif tag == "br":
-            pending.append(" ")
+            add(" ")
         if tag in VOID:
             continue
-        dropped = bool(stack) and stack[-1].dropped or is_furniture(tag, m[3], {e.tag for e in stack})
-        element = Element(tag, len(elements), dropped)
+        inside = {e.tag for e in stack}
+        dropped = bool(stack) and stack[-1].dropped or is_furniture(tag, m[3], inside)
+        element = Element(tag, len(elements), dropped, PLAIN if dropped else named_furniture(tag, m[3], inside))
         elements[element.number] = element
         stack.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}", re.IGNORECASE).search(page, at)
             if not dropped:
-                pending.append(page[at : end.start() if end else len(page)])
+                add(page[at : end.start() if end else len(page)])
             at = end.start() if end else len(page)
     flush()
     return blocks, elements
@@ -187,9 +235,71 @@ def content_blocks(blocks: list[Block]) -> list[bool]:
     return [value[p] >= min(cut, best) for p in paths]
 
 
+def _without(blocks: list[Block], gone: set[int]) -> list[Block]:
+    """The blocks without the pieces under the elements ``gone``."""
+    out = []
+    for b in blocks:
+        if gone.isdisjoint(n for p in b.pieces for n in p.named):
+            out.append(b)
+        else:
+            pieces = tuple(p for p in b.pieces if gone.isdisjoint(p.named))
+            if text := _plain(pieces):
+                out.append(b._replace(text=text, pieces=pieces))
+    return out
+
+
+def drop_named(blocks: list[Block], elements: dict[int, Element]) -> list[Block]:
+    """The blocks without those of elements that only their names make furniture.
+
+    From the outermost inwards, an element is kept if it holds most of the text under article and main, or most of the
+    page's text, or more than all the page has outside named elements. A comment thread, or an element of a page whose
+    article is elsewhere, must hold nine times as much. One of weak evidence stays if any of its blocks is on a content
+    path of what is left.
+    """
+    if not any(b.pieces for b in blocks):
+        return blocks
+    own = {e.number for e in elements.values() if e.tag in ("article", "main") and e.evidence == PLAIN}
+    runs = []
+    for b in blocks:
+        article = max((e for e in b.chain if e in own), default=-1)  # elements are numbered from the outermost inwards
+        for p in b.pieces or (Piece((), b.text),):
+            runs.append((p.named, len(" ".join(p.text.split())), article))
+    whole = sum(n for _, n, a in runs if a >= 0)
+    strong = [(tuple(e for e in named if elements[e].evidence > WEAK), n, a) for named, n, a in runs]
+    kept: set[int] = set()
+    gone: set[int] = set()
+    for depth in range(max(len(named) for named, *_ in strong)):
+        base, inside, held = 0, Counter(), Counter()
+        for named, n, a in strong:
+            if kept.issuperset(named):
+                base += n
+            elif kept.issuperset(named[:depth]):
+                inside[named[depth]] += n
+                held[named[depth]] += n if a > named[depth] else 0
+        times = {e: 9 if whole or elements[e].evidence == THREAD else 1 for e in inside}
+        total = base + inside.total()
+        first = {e for e, n in inside.items() if n > times[e] * (total - n) or 2 * held[e] > whole}
+        base += sum(inside[e] for e in first)
+        kept |= first | {e for e, n in inside.items() if n > times[e] * base}
+        gone |= inside.keys() - kept
+    blocks = _without(blocks, gone)
+    weak, on, held = set(), set(), Counter()
+    for b, c in zip(blocks, content_blocks(blocks) if blocks else [], strict=True):
+        article = max((e for e in b.chain if e in own), default=-1)
+        for p in b.pieces:
+            for e in p.named:
+                if elements[e].evidence == WEAK:
+                    weak.add(e)
+                    held[e] += len(" ".join(p.text.split())) if article > e else 0
+                    if c:
+                        on.add(e)
+    return _without(blocks, {e for e in weak - on if 2 * held[e] <= whole})
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, blocks joined by two line ends; empty for a null, empty or textless page."""
     blocks, elements = read_blocks(page or "")
+    blocks = drop_named(blocks, elements)
     if not blocks:
         return ""
     chosen = content_blocks(blocks)
