@@ -268,6 +268,15 @@ def test_main_text_names_beside_the_content():
     assert main_text.main_text(f"<body>{story}{thread}</body>") == "Short, but the story.\n\nAnd a second, with more of it."
 
 
+@pytest.mark.parametrize("tag", ["div", "section", "pre"])
+def test_main_text_keeps_every_chosen_block(tag):
+    """A dominant section does not cut the others on the same path, before or after it."""
+    inner = "{}" if tag == "pre" else "<p>{}</p>"
+    parts = ["Opening, with a sentence. " * 15, "Long, with many sentences. " * 400, "Closing, with a sentence. " * 20]
+    page = "<body>" + "".join(f"<{tag}>{inner.format(p)}</{tag}>" for p in parts) + "<ul><li>Link<li>Link</ul></body>"
+    assert main_text.main_text(page) == "\n\n".join(p.strip() for p in parts)
+
+
 def test_main_text_of_given_pages(spark):
     import html
 
