@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, awkward, empty, table, words
 from pyspark.sql import functions as F
@@ -165,6 +166,18 @@ def test_secret_parts_are_linked_within_the_scope_only(spark):
     assert texts[4] == "[secret] is the id, [secret] the rest, [secret] the place"
 
 
+def test_secret_runs_end_with_their_text(spark):
+    """Texts that are a key from end to end, side by side and between texts that end and start like one."""
+    key, token = "0123456789abcdef" * 2, "aZ3kd93kdk39dk3kd9dkQQxyW"
+    texts = ["the code", key, "added later", key, key, key[:20], key[:20], "", key, None, key * 2, "a", "user=bob " + token, token, key]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = secrets.scan_secrets(docs).withColumn("b", secrets.span_text("base_spans"))
+    assert [(r["doc_id"], r["b"]) for r in by_id(found)] == [(i, base_brute(t or "")) for i, t in enumerate(texts)]
+    assert {r.text for r in secrets.redact(found).collect() if r.doc_id in (1, 3, 4, 8, 10, 14)} == {"[secret]"}
+    data, offsets = next((c.data, c.offsets) for c in chunks(pa.array(["x", token, "y", token[:15], token[:15]], pa.string())))
+    assert secrets._worth_reading(data, offsets).tolist() == [1]
+
+
 # 5 quality
 
 

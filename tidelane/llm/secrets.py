@@ -81,9 +81,14 @@ def parts(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, str, i
     return [(k, BASE_ROLE[k], s, e) for k, s, e in base] + outside
 
 
-def _long_runs(mask: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
-    start, end = edges[::2], edges[1::2]
+def _long_runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the runs of at least ``least`` bytes; a run ends with its text."""
+    new = np.zeros(len(mask) + 1, bool)
+    new[offsets] = True
+    before, after = np.zeros(len(mask), bool), np.zeros(len(mask), bool)
+    before[1:], after[:-1] = mask[:-1], mask[1:]
+    start = np.flatnonzero(mask & (~before | new[:-1]))
+    end = np.flatnonzero(mask & (~after | new[1:])) + 1
     keep = end - start >= least
     return start[keep], end[keep]
 
@@ -98,10 +103,10 @@ def _worth_reading(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             at.append(i)
             i = low.find(hint, i + 1)
     digits = np.concatenate([[0], np.cumsum(_digit[data])])
-    start, end = _long_runs(_token[data], 20)
+    start, end = _long_runs(_token[data], offsets, 20)
     at += start[digits[end] > digits[start]].tolist()
-    start, end = _long_runs(_hex[data], 32)
-    inside = np.concatenate([np.array(at, np.int64), start, end - 1])
+    start, end = _long_runs(_hex[data], offsets, 32)
+    inside = np.concatenate([np.array(at, np.int64), start])
     return np.unique(np.searchsorted(offsets, inside, side="right") - 1)
 
 
