@@ -91,6 +91,38 @@ def test_warc_salvage_covers_every_byte(zipped):
         assert (seen <= 1).all() and set(np.frombuffer(data, np.uint8)[seen == 0].tolist()) <= {0, 10, 13}
 
 
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("kind", ["record", "trailer", "truncated", "flipped"])
+def test_warc_salvage_inside_a_member(kind, level):
+    """Damage in a member of many records loses only the records it touches; each other one is given once."""
+    rng = random.Random(8)
+    records = []
+    for i in range(30):
+        payload = bytes(rng.randrange(256) for _ in range(9_000))
+        records.append(warc.record_bytes("response", f"<{i}>", "u", "2000-01-01T00:00:00Z", payload, warc.base32_sha1(payload), len(payload)))
+    if kind == "record":
+        records[7] = records[7][:-50] + b"x" * 9 + records[7][-41:]
+    member = bytearray(gzip.compress(b"".join(records), level, mtime=0))
+    if kind == "trailer":
+        member[-6] ^= 0x55
+    elif kind == "truncated":
+        member = member[: len(member) // 2]
+    elif kind == "flipped":
+        member[len(member) // 2] ^= 0x55
+    data = bytes(member) + b"".join(_archive(True))
+    found = list(warc.salvage(data))
+    gaps = [f for f in found if isinstance(f, warc.Gap)]
+    ids = [f.fields["warc-record-id"] for f in found if isinstance(f, warc.Record)]
+    first, rest = ids[:-20], ids[-20:]
+    assert rest == [f"<{i}>" for i in range(20)] and len(first) == len(set(first)) and gaps
+    want = {"record": set(range(30)) - {7}, "trailer": set(range(30))}.get(kind, set(range(14)))
+    assert set(first) >= {f"<{i}>" for i in want} and (kind != "record" or "<7>" not in first)
+    seen = np.zeros(len(data), bool)
+    for f in found:
+        seen[f.offset : f.offset + f.length] = True
+    assert seen.all()
+
+
 def test_warc_query(spark):
     rows = queries.op1_warc_salvage(spark, "/root/testdata/sf0.001").collect()
     want = {r.page_id: (r.html or "").encode() for r in table(spark, "pages").collect()}

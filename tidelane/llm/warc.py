@@ -2,7 +2,7 @@
 
 The reader checks every record (gzip checksum, version line, length, terminator, payload digest). Where a check
 fails it searches for the next gzip member or version line at which all checks pass, goes on from there, and logs
-the bytes between as a quarantined gap.
+the bytes between as a quarantined gap. Inside a member, damaged or not, it searches in the same way.
 
 Files are written and read by Spark alone (text writer, ``binaryFile`` reader), so any file system Spark reaches
 will do. A file is one row of the reader; the writer starts a new one at ``ARCHIVE_BYTES``.
@@ -27,6 +27,7 @@ ARCHIVE_BYTES = 4 << 20
 FEED = 64 << 10
 MAX_HEADER = 1 << 20
 CANDIDATE = re.compile(rb"\x1f\x8b\x08|WARC/\d")
+LINE = re.compile(rb"WARC/\d")
 VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
 PADDING = re.compile(rb"[\r\n\x00]*")
 SCHEMA = (
@@ -74,19 +75,69 @@ def record_bytes(kind: str, record_id: str, uri: str, date: str, payload: bytes,
     return b"WARC/1.0\r\n" + "\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """The plain bytes of the gzip member at ``at`` and its end, fed in pieces so that nothing behind it is copied."""
-    unzip, out, view = zlib.decompressobj(31), [], memoryview(data)
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """The plain bytes of the gzip member at ``at``, its end, and what is wrong with it: then the bytes up to there."""
+    begin, unzip, out, view = at, zlib.decompressobj(31), [], memoryview(data)
     while not unzip.eof:
         if at >= len(data):
-            raise Damaged("truncated member")
-        piece = view[at : at + FEED]
+            return b"".join(out), at, "truncated member"
+        piece = view[at : at + FEED]  # fed in pieces so that nothing behind the member is copied
         try:
             out.append(unzip.decompress(piece))
-        except zlib.error as e:
-            raise Damaged("bad member") from e
+        except zlib.error:
+            return *_decode(data, begin), "bad member"
         at += len(piece)
-    return b"".join(out), at - len(unzip.unused_data)
+    return b"".join(out), at - len(unzip.unused_data), ""
+
+
+def _decode(data: bytes, at: int, want: int | None = None) -> tuple[bytes, int]:
+    """The first ``want`` plain bytes or more of a damaged member (default: all before the damage), and where they end:
+    the piece in which that is goes byte by byte.
+    """
+    unzip, out, size = zlib.decompressobj(31), [], 0
+    while at < len(data) and not unzip.eof:
+        held, stop = unzip.copy(), min(at + FEED, len(data))
+        try:
+            new = unzip.decompress(data[at:stop])
+        except zlib.error:
+            new = None
+        if new is not None and (want is None or size + len(new) < want):
+            out.append(new)
+            size, at = size + len(new), stop
+            continue
+        for i in range(at, stop):
+            try:
+                out.append(held.decompress(data[i : i + 1]))
+            except zlib.error:
+                return b"".join(out), i
+            size += len(out[-1])
+            if want is not None and size >= want:
+                return b"".join(out), i + 1
+        unzip, at = held, stop
+    return b"".join(out), at
+
+
+def _search(plain: bytes) -> Iterator[tuple[int, tuple | str]]:
+    """What a member holds, in order, with its end: records as ``_record`` gives them, or the reason of a gap."""
+    at, reason = 0, ""
+    while at < len(plain):
+        if not reason and (padded := PADDING.match(plain, at).end()) > at:
+            at = padded
+            continue
+        try:
+            *record, end = _record(plain, at)
+        except Damaged as e:
+            reason = reason or str(e)
+            following = LINE.search(plain, at + 1)
+            at = following.start() if following else len(plain)
+            continue
+        if reason:
+            yield at, reason
+            reason = ""
+        yield end, tuple(record)
+        at = end
+    if reason:
+        yield at, reason
 
 
 def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, str, int]:
@@ -123,36 +174,48 @@ def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, str, int]:
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
-    """Records and gaps of one archive, in order; together with padding they cover every byte."""
+    """Records and gaps of one archive, in order; together with padding they cover every byte.
+
+    What a gzip member holds has the member's offset and length, gaps between its records too. Of a member that is
+    damaged itself the records before the damage are given, with the bytes they came from; the rest is a gap.
+    """
     at, gap, reason = 0, None, ""
     while at < len(data):
         padded = PADDING.match(data, at).end()
         if gap is None and padded > at:
             at = padded
             continue
-        try:
-            found = []
-            if data[at : at + 2] == b"\x1f\x8b":
-                plain, end = _member(data, at)
-                inner = 0
-                while inner < len(plain):
-                    fields, payload, digest, inner = _record(plain, inner)
-                    found.append(Record(at, end - at, fields, payload, digest))
-            else:
-                fields, payload, digest, end = _record(data, at)
-                found.append(Record(at, end - at, fields, payload, digest))
-        except Damaged as e:
-            if gap is None:
-                gap, reason = at, str(e)
-            following = CANDIDATE.search(data, at + 1)
-            at = following.start() if following else len(data)
-            continue
-        if gap is not None:
-            yield Gap(gap, at - gap, reason)
+        broken = ""
+        if data[at : at + 2] == b"\x1f\x8b":
+            plain, end, broken = _member(data, at)
+            held = list(_search(plain))
+            last = max((stop for stop, x in held if isinstance(x, tuple)), default=0)
+            if broken:
+                end = _decode(data, at, last)[1] if last else at + 1
+                held = [x for x in held if x[0] <= last]
+            good, why = last > 0 or not broken and not held, broken or (held[0][1] if held else "")
+        else:
+            try:
+                *record, end = _record(data, at)
+                held, good = [(end, tuple(record))], True
+            except Damaged as e:
+                end, good, why = at + 1, False, str(e)
+                broken = why
+        if good:
+            if gap is not None and at > gap:
+                yield Gap(gap, at - gap, reason)
             gap = None
-        yield from found
-        at = end
-    if gap is not None:
+            for _, x in held:
+                yield Record(at, end - at, *x) if isinstance(x, tuple) else Gap(at, end - at, x)
+            at = end
+            if broken:
+                gap, reason = end, broken
+        elif gap is None:
+            gap, reason = at, why
+        if gap is not None:
+            following = CANDIDATE.search(data, end)
+            at = following.start() if following else len(data)
+    if gap is not None and len(data) > gap:
         yield Gap(gap, len(data) - gap, reason)
 
 
