@@ -53,6 +53,17 @@ def test_warc_empty_table(spark):
     assert warc.read_archives(spark, path).count() == 0
 
 
+@pytest.mark.parametrize("zipped", [True, False])
+def test_warc_header_of_any_length(zipped):
+    long = "data:,WARC/1.0 " + "x" * 2_000_000 + " WARC/1.0"
+    r = warc.record_bytes("response", "<long>", long, "2000-01-01T00:00:00Z", b"page", warc.base32_sha1(b"page"), 4)
+    cut = r[:1_500_000]
+    data = b"".join([gzip.compress(r, mtime=0) if zipped else r, cut, b"\n", *_archive(zipped)])
+    found = list(warc.salvage(data))
+    assert [f.fields["warc-record-id"] for f in found if isinstance(f, warc.Record)] == ["<long>", *[f"<{i}>" for i in range(20)]]
+    assert found[0].fields["warc-target-uri"] == long and [f.reason for f in found if isinstance(f, warc.Gap)] == ["unfinished header"]
+
+
 def _archive(zipped):
     out = []
     for i in range(20):

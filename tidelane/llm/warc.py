@@ -25,10 +25,10 @@ from tidelane.session import new_shared_path
 
 ARCHIVE_BYTES = 4 << 20
 FEED = 64 << 10
-MAX_HEADER = 1 << 20
 CANDIDATE = re.compile(rb"\x1f\x8b\x08|WARC/\d")
 LINE = re.compile(rb"WARC/\d")
 VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
+NEXT = re.compile(rb"\nWARC/\d+\.\d+\r?\n")
 PADDING = re.compile(rb"[\r\n\x00]*")
 SCHEMA = (
     "archive string, offset long, length long, kind string, reason string, record_type string, record_id string, "
@@ -144,7 +144,10 @@ def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, str, int]:
     version = VERSION.match(data, at)
     if not version:
         raise Damaged("no version line")
-    close = data.find(b"\r\n\r\n", version.end() - 2, at + MAX_HEADER)
+    close = data.find(b"\r\n\r\n", version.end() - 2, version.end() + FEED)
+    if close < 0:  # a header of any length, up to the next version line
+        following = NEXT.search(data, version.end())
+        close = data.find(b"\r\n\r\n", version.end() - 2, following.start() if following else len(data))
     if close < 0:
         raise Damaged("unfinished header")
     fields: dict[str, str] = {}
