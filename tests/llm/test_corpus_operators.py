@@ -70,6 +70,15 @@ def test_join_against_all_pairs(spark, monkeypatch, block):
     assert joined(ngram_join.join_similar(awkward(spark, rows))) == join_brute(rows)
 
 
+def test_join_of_repeated_rows_and_two_texts_of_one_id(spark):
+    """A representative's repeated rows count as one, and each text of an id has its own links only."""
+    a, b = (" ".join(f"{c}{i}" for i in range(100)) for c in "ab")
+    rows = [(-3, a), (-3, a), (-3, a), (-3, b), (2, a + " more"), (2, a + " more"), (4, b + " other"), (4, b + " other"), (9, "else, wholly else")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(-3, -3, -3, 3, 1)] * 3 + [(-3, -3, -3, 1, 1)] + [(2, -3, 2, 2, 1)] * 2 + [(4, -3, 4, 2, 1)] * 2 + [(9, 9, 9, 1, 0)]
+    assert joined(ngram_join.join_similar(docs)) == sorted(want, key=str)
+
+
 def test_join_query(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
     assert joined(queries.op3_ngram_jaccard(spark, "/root/testdata/sf0.001")) == join_brute(rows)

@@ -17,7 +17,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelane.llm.words import chunks, mix, shingles, words
 from tidelane.session import new_shared_path
@@ -82,6 +82,45 @@ def least_matches(threshold: float, tolerance: float = TOLERANCE, step: int = ST
     return out
 
 
+def _set_sums(grams: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two sums of hashes over each text's set of grams: with its size they name the set."""
+    full = np.flatnonzero(np.diff(first))
+    sums = [np.zeros(len(first) - 1, np.uint64) for _ in range(2)]
+    if len(full):
+        for i, salt in enumerate((0x1234567, 0x89ABCDEF)):
+            sums[i][full] = np.add.reduceat(mix(grams + np.uint64(salt)), first[:-1][full])
+    return [x.view(np.int64) for x in sums]
+
+
+#: Rows whose sets a task remembers to fold repeats before they are shuffled.
+SEEN = 1 << 18
+
+
+def _named(n: int):
+    """``doc_id, text`` with the sums and size of the text's set; rows without either go, repeats in a task mostly too."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            ids = batch.column("doc_id")
+            for chunk in chunks(batch.column("text")):
+                grams, first = distinct_grams(*shingles(words(chunk), n))
+                count, (f1, f2) = np.diff(first), _set_sums(grams, first)
+                own = ids.slice(chunk.lo, chunk.hi - chunk.lo)
+                keep = []
+                for i, name in enumerate(zip(own.to_pylist(), f1.tolist(), f2.tolist(), count.tolist(), strict=True)):
+                    if name[0] is not None and name[3] and name not in seen:
+                        keep.append(i)
+                        if len(seen) < SEEN:
+                            seen.add(name)
+                take = pa.array(keep, pa.int64())
+                columns = [own, pa.array(f1), pa.array(f2), pa.array(count.astype(np.int64)),
+                           batch.column("text").slice(chunk.lo, chunk.hi - chunk.lo)]
+                yield pa.RecordBatch.from_arrays([c.take(take) for c in columns], ["doc_id", "f1", "f2", "n", "text"])
+
+    return named
+
+
 def _sketch(n: int, key: str, text: str):
     names = ["doc_id", "n", "f1", "f2", "bands"]
 
@@ -92,23 +131,21 @@ def _sketch(n: int, key: str, text: str):
                 grams, first = distinct_grams(*shingles(words(chunk), n))
                 count = np.diff(first)
                 full = np.flatnonzero(count)
-                sums = [np.zeros(len(count), np.uint64) for _ in range(2)]
+                sums = _set_sums(grams, first)
                 bands = np.zeros((len(full), BANDS), np.uint64)
                 if len(full):
-                    for i, salt in enumerate((0x1234567, 0x89ABCDEF)):
-                        sums[i][full] = np.add.reduceat(mix(grams + np.uint64(salt)), first[:-1][full])
                     bands = band_keys(min_hashes(grams, first[:-1][full]))
                 begin = np.concatenate([[0], np.cumsum(np.where(count > 0, BANDS, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(chunk.lo, chunk.hi - chunk.lo), pa.array(count.astype(np.int64)),
-                    *[pa.array(s.view(np.int64)) for s in sums],
+                    *[pa.array(s) for s in sums],
                     pa.ListArray.from_arrays(pa.array(begin), pa.array(bands.ravel().view(np.int64))),
                 ], names)
 
     return sketch
 
 
-_UNIT = "unit long, half int, rep long, grams binary, sig binary, kept binary, band int"
+_UNIT = "unit long, half int, rep binary, grams binary, sig binary, kept binary, band int"
 
 
 def _members(n: int):
@@ -129,14 +166,14 @@ def _members(n: int):
                     own = grams[first[i] : first[i + 1]].tobytes(), values[i].tobytes(), kept.tobytes()
                     for b in buckets[chunk.lo + i]:
                         blocks = b["blocks"]
-                        mine = int(mix(np.array([rep], np.int64).view(np.uint64))[0] % np.uint64(blocks))
+                        mine = int(mix(np.frombuffer(rep, np.uint64)).sum() % np.uint64(blocks))
                         for other in range(blocks):
                             lo, hi = min(mine, other), max(mine, other)
                             unit = np.array([b["bucket"]], np.int64).view(np.uint64) + np.uint64(lo * blocks + hi)
                             rows.append((int(mix(unit).view(np.int64)[0]) if blocks > 1 else b["bucket"],
                                          -1 if lo == hi else int(mine == hi), rep, *own, b["band"]))
                 if rows:
-                    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
+                    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
                     for at in range(0, len(rows), 2000):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, k) for c, k in zip(zip(*rows[at : at + 2000], strict=True), kinds, strict=True)],
@@ -223,7 +260,7 @@ def _link(threshold: tuple[int, int]):
     least = least_matches(threshold[0] / threshold[1])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[bytes, int, bytes]] = []
         held: list[tuple] = []
 
         def finish() -> None:
@@ -235,7 +272,8 @@ def _link(threshold: tuple[int, int]):
 
         def give() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(c), pa.int64()) for c in (zip(*out, strict=True) if out else ([], [], []))],
+                [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True) if out else ([], [], []),
+                                                      (pa.binary(), pa.int64(), pa.binary()), strict=True)],
                 ["rep", "links", "root"])
             out.clear()
             return batch
@@ -279,6 +317,11 @@ def group_nodes(edges: DataFrame) -> DataFrame:
             return spark.read.parquet(path).select("node", "group")
 
 
+def _name(*columns: str) -> Column:
+    """The values (long) as bytes that are ordered as they are: classes have equal names only if they are one."""
+    return F.concat(*[F.unhex(F.lpad(F.hex(F.col(c).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")) for c in columns])
+
+
 def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = N,
                  threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: ``key, class_id, rep_id, n_copies, n_links``.
@@ -297,8 +340,8 @@ def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: in
     sketch = spark.read.parquet(path)
     path = new_shared_path(spark, "classes")
     sketch.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")
-    ).write.parquet(path)
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")
+    ).withColumn("rep", _name("least", "f1", "f2", "n")).write.parquet(path)
     classes = spark.read.parquet(path)
 
     found = classes.select("rep", "n", F.posexplode("bands").alias("band", "bucket"))
@@ -315,18 +358,23 @@ def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: in
     listed.write.parquet(path)
 
     # Always a sorted join: the texts are shuffled once at every size, so that a small run shows what a large one needs.
-    once = source.join(spark.read.parquet(path).hint("merge"), F.col("doc_id") == F.col("rep")).select("rep", "text", "buckets")
+    # A class has one row there, whatever rows repeat: they are folded before the shuffle and again behind it.
+    own = ["doc_id", "f1", "f2", "n"]
+    texts = source.mapInArrow(_named(n), "doc_id long, f1 long, f2 long, n long, text string")
+    listed = spark.read.parquet(path).join(classes.select("rep", F.col("least").alias("doc_id"), "f1", "f2", "n"), "rep")
+    once = texts.join(listed.hint("merge"), own).dropDuplicates(own).select("rep", "text", "buckets")
     units = once.mapInArrow(_members(n), _UNIT)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = units.repartition(parts, "unit").sortWithinPartitions("unit", "rep").mapInArrow(
-        _link(threshold), "rep long, links long, root long")
+        _link(threshold), "rep binary, links long, root binary")
     path = new_shared_path(spark, "links")
     links.write.parquet(path)
     links = spark.read.parquet(path)
     groups = group_nodes(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    least = lambda name: F.conv(F.hex(F.substring(name, 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
     counted = links.groupBy("rep").agg(F.sum("links").alias("n_links"))
     named = classes.drop("bands").join(counted, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left").select(
-        "f1", "f2", "n", F.coalesce("group", "rep").alias("class_id"), F.col("rep").alias("rep_id"), "n_copies",
+        "f1", "f2", "n", least(F.coalesce("group", "rep")).alias("class_id"), F.col("least").alias("rep_id"), "n_copies",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
     alone = sketch.where("n = 0 or doc_id is null").select(
