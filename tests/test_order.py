@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidelane import operators as op
 from tidelane.operators.chunks import plan_chunks
@@ -167,7 +168,7 @@ def test_chunks_are_even_and_split_a_crowded_instant(spark, chunked):
     chunked(100)
     df = spark.range(3000).selectExpr("case when id % 3 = 0 then 500 else id end as o", "id as t")
     plan = plan_chunks(spark, [df])
-    sizes = [r["count"] for r in df.withColumn("c", plan.chunk(df.o, df.t)).groupBy("c").count().collect()]
+    sizes = [r["count"] for r in plan.place(df, "c", F.col("o"), F.col("t")).groupBy("c").count().collect()]
     assert len(sizes) >= 25 and max(sizes) <= 250
     single = plan_chunks(spark, [df.select("o")])
     assert len(single.hot) == 1

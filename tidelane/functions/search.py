@@ -25,15 +25,21 @@ def count_at_or_below(
     """
     if len(values) == 0:
         return F.when(col.isNull(), 0).otherwise(0)
-    firsts = constant_longs(values)
-    seconds = constant_longs(second[0]) if second else None
-    steps = [1 << b for b in range(len(values).bit_length())][::-1]
+    other = (constant_longs(second[0]), second[1]) if second else None
+    return count_in_array(constant_longs(values), len(values), col, other)
+
+
+def count_in_array(
+    firsts: Column, width: int, col: Column, second: tuple[Column, Column] | None = None
+) -> Column:
+    """The same over an array column of at most ``width`` ascending values."""
+    steps = [1 << b for b in range(width.bit_length())][::-1]
 
     def step(found: Column, jump: Column) -> Column:
         at = found + jump - F.lit(1)
         below = F.get(firsts, at) <= col
         if second:
-            below = (F.get(firsts, at) < col) | ((F.get(firsts, at) == col) & (F.get(seconds, at) <= second[1]))
+            below = (F.get(firsts, at) < col) | ((F.get(firsts, at) == col) & (F.get(second[0], at) <= second[1]))
         return F.when(below, found + jump).otherwise(found)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)

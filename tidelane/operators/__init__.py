@@ -1,4 +1,12 @@
-from tidelane.operators.asof import Feed, align_series, asof_join, fill_from_secondary, latest_within, regularize
+from tidelane.operators.asof import (
+    Feed,
+    align_series,
+    asof_join,
+    fill_from_secondary,
+    latest_within,
+    regularize,
+    regularize_filled,
+)
 from tidelane.operators.audit import audit_series, collect_audit
 from tidelane.operators.buckets import (
     bucket_by_type,
@@ -60,6 +68,7 @@ from tidelane.operators.validate import (
     range_report,
     table_overlap,
     validate_feed,
+    validate_feeds,
     validate_gps,
     validate_oxygen,
     validate_ph,

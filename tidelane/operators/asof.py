@@ -22,10 +22,12 @@ CHUNK, ORDER, SIDE, ROW = "__chunk", "__order", "__side", "__row"
 
 @dataclass(frozen=True)
 class Feed:
-    """One right-hand series. ``tie`` orders rows of equal time (the last wins); by default all values."""
+    """One right-hand series. ``tie`` orders rows of equal time (the last wins); by default all values. ``tolerance`` is
+    its own, where it is not that of the join."""
 
     df: DataFrame
     tie: Sequence[str] = ()
+    tolerance: str | int | float | None = None
 
     def values(self, ts: str, keys: Sequence[str]) -> list[str]:
         return [c for c in self.df.columns if c != ts and c not in keys]
@@ -46,29 +48,39 @@ def _feed_rows(i: int, feed: Feed, ts: str, keys: Sequence[str], plan: ChunkPlan
         F.struct(order.alias(ORDER), *[F.col(c) for c in names]).alias(f"__f{i}"),
         F.struct(*[F.col(c) for c in tie]).alias(f"__t{i}") if tie else F.lit(0).alias(f"__t{i}"),
     )
-    return rows.withColumn(CHUNK, plan.chunk(F.col(ORDER))).withColumn(SIDE, F.lit(0))
+    return plan.place(rows, CHUNK, F.col(ORDER)).withColumn(SIDE, F.lit(0))
 
 
-def _carried(i: int, rows: DataFrame, keys: Sequence[str], plan: ChunkPlan, tolerance: int) -> DataFrame:
+def _carried(
+    i: int, rows: DataFrame, probes: DataFrame, keys: Sequence[str], plan: ChunkPlan, tolerance: int
+) -> DataFrame:
     """The row each later chunk inherits: the newest one before its start, if within the tolerance.
 
-    Only rows near the end of a chunk can matter, and they are folded map-side to one per chunk and key,
-    so the tables here are bounded by chunks x keys. A hot instant inherits its own newest row.
+    Only rows near the end of a chunk can matter, and they are folded map-side to one per chunk and key. With keys
+    they are handed only to chunks in which the key has left rows, so the table is bounded by such pairs whatever the
+    tolerance; without, to every chunk in reach. A hot instant inherits its own newest row.
     """
     payload, tie = f"__f{i}", f"__t{i}"
-    near = rows.where(plan.end(F.col(CHUNK)) - 1 - F.col(ORDER) <= tolerance)
+    near = plan.place(rows, CHUNK, F.col(ORDER), end="__end").where(F.col("__end") - 1 - F.col(ORDER) <= tolerance).drop("__end")
     edges = newest_per_chunk(near, payload, keys, CHUNK, ORDER, tie)
-    per_key = Window.partitionBy(*keys, F.lit(i)).orderBy(CHUNK)
+    if keys:
+        # In key order the edge of a hot chunk stands before its left rows, that of any other chunk behind them.
+        hot = plan.is_hot(F.col(CHUNK)).cast("int")
+        asked = probes.select(*keys, CHUNK).distinct().withColumn(SIDE, hot).withColumn("__asked", F.lit(True))
+        stream = edges.withColumn(SIDE, 1 - hot).unionByName(asked, allowMissingColumns=True)
+        so_far = Window.partitionBy(*keys).orderBy(CHUNK, SIDE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        held = stream.withColumn(payload, F.last(payload, ignorenulls=True).over(so_far)).where("__asked")
+        held = plan.place(held.where(F.col(payload).isNotNull()), "__reach", F.col(f"{payload}.{ORDER}") + F.lit(tolerance))
+        return held.where(F.col("__reach") >= F.col(CHUNK)).select(*keys, CHUNK, payload)
+    per_key = Window.partitionBy(F.lit(i)).orderBy(CHUNK)
     edges = edges.withColumn("__next", F.lead(CHUNK).over(per_key))
-    reach = plan.chunk(F.col(f"{payload}.{ORDER}") + F.lit(tolerance))
+    edges = plan.place(edges, "__reach", F.col(f"{payload}.{ORDER}") + F.lit(tolerance))
     upto = F.when(plan.is_hot(F.col("__next")), F.col("__next") - 1).otherwise(F.col("__next"))
     since = F.when(plan.is_hot(F.col(CHUNK)), F.col(CHUNK)).otherwise(F.col(CHUNK) + 1)
     spans = edges.withColumn("__since", since).withColumn(
-        "__upto", F.least(reach, F.coalesce(upto, F.lit(plan.last)))
-    )
-    return spans.where("__since <= __upto").select(
-        *keys, F.explode(F.sequence("__since", "__upto")).alias(CHUNK), payload
+        "__upto", F.least("__reach", F.coalesce(upto, F.lit(plan.last)))
     )
+    return spans.where("__since <= __upto").select(F.explode(F.sequence("__since", "__upto")).alias(CHUNK), payload)
 
 
 def _output_names(left_names: Sequence[str], feeds: Sequence[Feed], ts: str, keys: Sequence[str]) -> list[list[str]]:
@@ -100,7 +112,8 @@ def latest_within(
 
     ``grid`` says that ``left`` is a regular grid ``(lo, hi, points)``, which then needs no statistics.
     """
-    spark, keys, tol = left.sparkSession, list(keys), duration_us(tolerance)
+    spark, keys = left.sparkSession, list(keys)
+    tol = [duration_us(tolerance if f.tolerance is None else f.tolerance) for f in feeds]
     order_of = lambda df: df.select(order_key(df, ts))
     right_known = list(known) if known is not None else None
     if grid:
@@ -120,14 +133,14 @@ def latest_within(
         order.alias(ORDER),
         F.struct(*[F.col(c) for c in own]).alias(ROW),
     )
-    probes = probes.withColumn(CHUNK, plan.chunk(F.col(ORDER))).withColumn(SIDE, F.lit(1))
+    probes = plan.place(probes, CHUNK, F.col(ORDER)).withColumn(SIDE, F.lit(1))
     rights = [_feed_rows(i, f, ts, keys, plan) for i, f in enumerate(feeds)]
-    carried = [] if plan.single else [_carried(i, r, keys, plan, tol) for i, r in enumerate(rights)]
+    carried = [] if plan.single else [_carried(i, r, probes, keys, plan, tol[i]) for i, r in enumerate(rights)]
 
     def finish(rows: DataFrame) -> DataFrame:
         picks = [F.col(f"{ROW}.{c}").alias(c) if c not in keys else F.col(c) for c in left.columns]
         for i, feed in enumerate(feeds):
-            fresh = F.col(f"__f{i}.{ORDER}") >= F.col(ORDER) - F.lit(tol)
+            fresh = F.col(f"__f{i}.{ORDER}") >= F.col(ORDER) - F.lit(tol[i])
             for source, name in zip(feed.values(ts, keys), names[i]):
                 picks.append(F.when(fresh, F.col(f"__f{i}.{source}")).alias(name))
         return rows.select(*picks)
@@ -235,6 +248,38 @@ def fill_from_secondary(
     )
 
 
+def regularize_filled(
+    primary: DataFrame,
+    secondary: DataFrame,
+    ts: str = "datetime_utc",
+    value_cols: Sequence[str] | None = None,
+    step: str | int | float = "2s",
+    tolerance: str | int | float = 1.5,
+    fill_tolerance: str | int | float = 1.5,
+    labels: tuple[str, str] = ("primary", "secondary"),
+    tie: Sequence[str] = (),
+    secondary_tie: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`regularize` and then :func:`fill_from_secondary`, in one pass over both series.
+
+    The grid is that of the primary; each of the two has its own tolerance to it. One job takes the statistics of
+    both, and one exchange and window find the rows of both for every point.
+    """
+    values = list(value_cols) if value_cols else [c for c in primary.columns if c != ts and c not in tie]
+    known = extents(primary.sparkSession, [df.select(order_key(df, ts)) for df in (primary, secondary)])
+    kinds = [F.lit(None).cast(primary.schema[c].dataType).alias(c) for c in values]
+    if known[0].rows == 0:
+        return primary.limit(0).select(ts, *kinds, F.lit("").alias("source"))
+    lo, hi = known[0].lo, known[0].hi
+    grid, points = range_grid(primary.sparkSession, lo, hi, duration_us(step), ts)
+    spare = secondary.select(F.col(ts), *[F.col(c).alias(f"__tie_{c}") for c in secondary_tie], *[F.col(c).alias(f"__sec_{c}") for c in values])
+    feeds = [Feed(primary.select(ts, *dict.fromkeys([*values, *tie])), tie, tolerance),
+             Feed(spare, [f"__tie_{c}" for c in secondary_tie], fill_tolerance)]
+    joined = latest_within(grid, feeds, ts, tolerance, grid=(lo, hi, points), known=known)
+    source = F.when(F.col(values[0]).isNull(), F.lit(labels[1])).otherwise(F.lit(labels[0]))
+    return joined.select(ts, *[F.coalesce(F.col(c), F.col(f"__sec_{c}")).alias(c) for c in values], source.alias("source"))
+
+
 def align_series(
     feeds: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
     interval: str | int | float,

@@ -1,4 +1,10 @@
-"""Flag or extract the rows of a series that fall in a table of time intervals."""
+"""Flag or extract the rows of a series that fall in a table of time intervals.
+
+Overlapping intervals are merged to spans that share no instant. A span is put into the one or two cells it touches of a
+width next above its length, so a cell holds a bounded number of spans however crowded the time axis is, and a row
+finds its span by an equi-join on the cell. Spans are few as a rule: their number is checked, and up to
+``BROADCAST_SPANS`` they are broadcast, so that rows are neither shuffled nor sorted; more of them are joined by shuffles.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidelane.functions.time import duration_us
-from tidelane.operators.chunks import BEYOND, extents, order_key, plan_chunks, rows_per_chunk
+from tidelane.operators.chunks import extents, order_key, plan_chunks, rows_per_chunk
 from tidelane.operators.rolling import with_row_number
 
-CHUNK, ORDER, SIDE = "__chunk", "__order", "__side"
+CHUNK, ORDER, LO, HI = "__chunk", "__order", "__lo", "__hi"
+#: Lengths within a factor of 2^BAND_BITS share cells of one width, which then hold some 2^(BAND_BITS + 1) spans at most.
+BAND_BITS = 6
+LAST_BAND = 9
+#: Rows of spans that are sent to every executor: two or three longs each.
+BROADCAST_SPANS = 100_000
 
 
 def _spans(
@@ -25,46 +36,70 @@ def _spans(
     return spans.where("lo <= hi" if closed == "both" else "lo < hi")
 
 
-def _mark_by_sweep(df: DataFrame, ts: str, spans: DataFrame, closed: str) -> DataFrame:
-    """Add ``__inside`` for any number of intervals: one pass over rows and starts in time order.
+def merged_spans(spans: DataFrame, closed: str = "both", keys: Sequence[str] = ()) -> DataFrame:
+    """Spans ``lo, hi`` (of each key) that share no instant and hold the same instants as the given ones.
 
-    A row is inside exactly when the greatest end of the intervals that started before it is late enough,
-    so a running maximum per chunk, plus one carried maximum per chunk, decides it; no pairs are formed.
+    Gaps and islands in start order: a span begins where every earlier one has ended. The greatest end so far
+    and the start of the open island cross a chunk of starts as one row for each chunk and key.
+    """
+    keys = list(keys)
+    first = spans.groupBy(*keys, "lo").agg(F.max("hi").alias("hi"))  # no ties, however many start together
+    plan = plan_chunks(spans.sparkSession, [spans.select(F.col("lo").alias("o"))])
+    rows = plan.place(first, CHUNK, F.col("lo"))
+    inside = Window.partitionBy(*keys, CHUNK).orderBy("lo")
+    across = Window.partitionBy(*keys, F.lit(0)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+
+    def carry(df: DataFrame, value: str) -> DataFrame:
+        """Add ``__carry``: the greatest ``value`` of the earlier chunks."""
+        if plan.single:
+            return df.withColumn("__carry", F.lit(None).cast("long"))
+        edges = df.groupBy(*keys, CHUNK).agg(F.max(value).alias("__carry"))
+        edges = edges.withColumn("__carry", F.max("__carry").over(across)).where("__carry is not null")
+        names = {c: f"__edge_{c}" for c in (*keys, CHUNK)}
+        same = [F.col(c).eqNullSafe(F.col(e)) for c, e in names.items()]
+        return df.join(edges.withColumnsRenamed(names), same, "left").drop(*names.values())
+
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    rows = carry(rows, "hi").withColumn("__reach", F.greatest(F.max("hi").over(before), "__carry")).drop("__carry")
+    new = F.col("__reach").isNull() | (F.col("lo") > F.col("__reach") if closed == "both" else F.col("lo") >= F.col("__reach"))
+    rows = rows.withColumn("__from", F.when(new, F.col("lo"))).drop("__reach")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = carry(rows, "__from").withColumn("__from", F.greatest(F.max("__from").over(so_far), "__carry"))
+    return rows.groupBy(*keys, F.col("__from").alias("lo")).agg(F.max("hi").alias("hi"))
+
+
+def _in_cells(spans: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Spans with ``__band`` and ``__cell``, once for each cell they touch, and the bands there are.
+
+    Up to ``BROADCAST_SPANS`` rows are held as a local table, so that they are made once and broadcast.
     """
-    spark, order = df.sparkSession, order_key(df, ts)
-    plan = plan_chunks(spark, [df.select(order.alias("o")), spans.select(F.col("lo").alias("o"))])
-    timed = df.where(F.col(ts).isNotNull())
-    rows = timed.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"), order.alias(ORDER))
-    rows = rows.withColumns({CHUNK: plan.chunk(F.col(ORDER)), SIDE: F.lit(1)})
-    # An open interval does not hold its own start, so its start is sorted behind rows of that time.
-    starts = spans.select(
-        F.col("lo").alias(ORDER), plan.chunk(F.col("lo")).alias(CHUNK),
-        F.lit(0 if closed == "both" else 2).alias(SIDE), F.col("hi").alias("__reach"),
-    )
-    edges = starts.groupBy(CHUNK).agg(F.max("__reach").alias("__reach"))
-    one = Window.partitionBy(F.lit(0)).orderBy(CHUNK)
-    edges = edges.withColumn("__reach", F.max("__reach").over(one)).withColumn("__next", F.lead(CHUNK).over(one))
-    since = F.when(plan.is_hot(F.col(CHUNK)), F.col(CHUNK)).otherwise(F.col(CHUNK) + 1) if closed == "both" else F.col(CHUNK) + 1
-    stop = F.coalesce(F.col("__next"), F.lit(plan.last))
-    if closed == "both" and plan.hot:
-        stop = F.when(plan.is_hot(F.col("__next")), F.col("__next") - 1).otherwise(stop)
-    carried = edges.withColumns({"__since": since, "__upto": F.least(plan.chunk(F.col("__reach")), stop)})
-    carried = carried.where("__since <= __upto").select(F.explode(F.sequence("__since", "__upto")).alias(CHUNK), "__reach")
-
-    late = (F.col("__reach") >= F.col(ORDER)) if closed == "both" else (F.col("__reach") > F.col(ORDER))
-    cold = ~plan.is_hot(F.col(CHUNK))
-    pieces = [rows.where(cold), starts.where(cold), carried.where(cold).withColumns({ORDER: F.lit(-BEYOND), SIDE: F.lit(0)})]
-    stream = pieces[0]
-    for p in pieces[1:]:
-        stream = stream.unionByName(p, allowMissingColumns=True)
-    so_far = Window.partitionBy(CHUNK).orderBy(ORDER, SIDE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    done = stream.withColumn("__reach", F.max("__reach").over(so_far)).where(F.col(SIDE) == 1)
-    if plan.hot:
-        held = carried.where(~cold).groupBy(CHUNK).agg(F.max("__reach").alias("__reach"))
-        crowd = rows.where(~cold).join(F.broadcast(held), CHUNK, "left")  # one row per hot instant at most
-        done = done.unionByName(crowd)
-    marked = done.select("__row.*", F.coalesce(late, F.lit(False)).alias("__inside"))
-    return marked.unionByName(df.where(F.col(ts).isNull()).withColumn("__inside", F.lit(False)))
+    bits = F.length(F.conv((F.col("hi") - F.col("lo")).cast("string"), 10, 2))  # 0 and 1 have one
+    band = F.least(F.floor(bits / BAND_BITS), F.lit(LAST_BAND)).cast("int")
+    cells = F.expr(f"sequence(shiftright(lo, {BAND_BITS} * (__band + 1)), shiftright(hi, {BAND_BITS} * (__band + 1)))")
+    placed = spans.withColumn("__band", band).withColumn("__cell", F.explode(cells)).withColumnsRenamed({"lo": LO, "hi": HI})
+    found = placed.limit(BROADCAST_SPANS + 1).toArrow()
+    if found.num_rows <= BROADCAST_SPANS:
+        few = spans.sparkSession.createDataFrame(found, placed.schema) if found.num_rows else placed.limit(0)
+        return F.broadcast(few), sorted(set(found.column("__band").to_pylist()))
+    return placed, sorted(r["__band"] for r in placed.select("__band").distinct().collect())  # at most 11 values
+
+
+def _holds(closed: str):
+    at = F.col(ORDER)
+    return (at >= F.col(LO)) & (at <= F.col(HI)) if closed == "both" else (at > F.col(LO)) & (at < F.col(HI))
+
+
+def mark_inside(df: DataFrame, ts: str, spans: DataFrame, closed: str, out: str = "__inside") -> DataFrame:
+    """Add ``out``: whether the time is in any of the spans. Every row stays once; a null time is in none."""
+    placed, bands = _in_cells(merged_spans(spans, closed))
+    rows = df.withColumns({ORDER: order_key(df, ts), out: F.lit(False)})
+    for b in bands:
+        # Spans share no instant, so a row meets one at most and is never doubled.
+        own = placed.where(F.col("__band") == b).drop("__band")
+        met = F.expr(f"shiftright({ORDER}, {BAND_BITS * (b + 1)})") == F.col("__cell")
+        rows = rows.join(own, met & _holds(closed), "left").withColumn(out, F.col(out) | F.col(LO).isNotNull())
+        rows = rows.drop("__cell", LO, HI)
+    return rows.drop(ORDER)
 
 
 def flag_intervals(
@@ -79,10 +114,10 @@ def flag_intervals(
 ) -> DataFrame:
     """Set every flag column to ``flag`` where the time is in any interval; other flags stay as they are.
 
-    The intervals are swept together with the rows in time order, whatever their number. Rows are never
-    duplicated, and a flag kept in the interval table itself is not used.
+    Rows are never duplicated, whatever the number of intervals and their overlaps; rows without a time keep
+    their flags, and a flag kept in the interval table itself is not used.
     """
-    marked = _mark_by_sweep(df, ts, _spans(intervals, start, end, closed), closed)
+    marked = mark_inside(df, ts, _spans(intervals, start, end, closed), closed)
     new = {c: F.when(F.col("__inside"), F.lit(flag)).otherwise(F.col(c)).cast("tinyint") for c in flag_cols}
     return marked.withColumns(new).drop("__inside")
 
@@ -103,8 +138,9 @@ def period_extracts(
     table. ``carry`` names columns of the interval table to add.
 
     Intervals of like length (a power of two) share cells of that width, so each fills at most three cells and a row
-    meets few intervals that do not hold it. Rows are copied once per length class. Cells are never wider
-    than a chunk of rows is on average; a longer interval fills more of them.
+    meets few intervals that do not hold it. The merged spans of each length class are joined first: rows outside
+    every period go there, and a row is copied only for the classes that have a period at its time. Cells are never
+    wider than a chunk of rows is on average; a longer interval fills more of them.
     """
     spark, at = df.sparkSession, order_key(df, ts)
     spans = _spans(intervals, start, end, "both", duration_us(pad), [*([order_by] if order_by else []), *carry])
@@ -117,13 +153,16 @@ def period_extracts(
     length = F.least(F.floor(F.log2(F.expr("hi - lo + 1"))), F.lit(width.bit_length() - 1)).cast("int")
     near = [F.greatest("lo", F.lit(whole.lo)), F.least("hi", F.lit(whole.hi))]
     numbered = numbered.withColumns({"__k": length, "__from": near[0], "__to": near[1]}).where("__from <= __to")
-    classes = sorted(r["__k"] for r in numbered.select("__k").distinct().collect())  # at most 63 values
     pieces = numbered.withColumn("__cell", F.explode(F.expr("sequence(shiftright(__from, __k), shiftright(__to, __k))")))
-    pieces = pieces.select("__k", "__cell", "lo", "hi", (F.col("__rn") + 1).alias("__no"), *[
+    pieces = pieces.select("__k", "__cell", F.col("lo").alias(LO), F.col("hi").alias(HI), (F.col("__rn") + 1).alias("__no"), *[
         F.col(c).alias(f"__carry_{c}") for c in carry])
+
+    classes, bands = _in_cells(merged_spans(numbered.select("__k", F.col("__from").alias("lo"), F.col("__to").alias("hi")), keys=["__k"]))
     rows = df.withColumn(ORDER, at).where(F.col(ORDER).isNotNull())
-    rows = rows.withColumn("__k", F.explode(F.lit(classes) if classes else F.array().cast("array<int>")))
-    rows = rows.withColumn("__cell", F.expr(f"shiftright({ORDER}, __k)"))
-    hit = (F.col(ORDER) >= F.col("lo")) & (F.col(ORDER) <= F.col("hi"))
-    joined = rows.join(pieces, ["__k", "__cell"]).where(hit)
+    spots = F.array(*[F.struct(F.lit(b).alias("b"), F.expr(f"shiftright({ORDER}, {BAND_BITS * (b + 1)})").alias("c")) for b in bands])
+    spot = rows.withColumn("__spot", F.explode(spots if bands else spots.cast("array<struct<b:int,c:bigint>>")))
+    met = (F.col("__spot.b") == F.col("__band")) & (F.col("__spot.c") == F.col("__cell"))
+    held = spot.join(classes, met & _holds("both")).drop("__spot", "__band", "__cell", LO, HI)
+    held = held.withColumn("__cell", F.expr(f"shiftright({ORDER}, __k)"))
+    joined = held.join(pieces, ["__k", "__cell"]).where(_holds("both"))
     return joined.select(*df.columns, F.col("__no").alias("period_no"), *[F.col(f"__carry_{c}").alias(c) for c in carry])

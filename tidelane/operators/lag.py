@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidelane.functions.time import MICROS, duration_us, from_micros, total_seconds
 from tidelane.operators.chunks import newest_per_chunk, order_key, plan_chunks, tie_key, tie_rest
 from tidelane.operators.copies import expand_copies, fold_copies
+from tidelane.operators.keyed import fold_keyed, join_keys, keyed_median, keyed_moments
 from tidelane.operators.quantiles import exact_median, fold_values
 
 CHUNK, ORDER, TIE, ROW = "__chunk", "__order", "__tie", "__row"
@@ -39,8 +40,7 @@ def with_previous(
     o, t = order_key(df, order), tie_key(df, tie)
     plan = plan_chunks(df.sparkSession, [(df if like is None else like).select(o.alias("o"), t.alias("t"))])
     base = df.select(*keys, o.alias(ORDER), t.alias(TIE), F.struct(*[F.col(c) for c in df.columns]).alias(ROW))
-    chunk = F.coalesce(plan.chunk(F.col(ORDER), F.col(TIE)), F.lit(0))
-    ordered = base.where(F.col(ORDER).isNotNull()).withColumn(CHUNK, chunk)
+    ordered = plan.place(base.where(F.col(ORDER).isNotNull()), CHUNK, F.col(ORDER), F.col(TIE))
 
     later_ties = [F.col(f"{ROW}.{c}") for c in tie_rest(df, tie)]
     ordered = fold_copies(ordered, plan.copies, ORDER, TIE)
@@ -88,9 +88,9 @@ def instants(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
     points = times.withColumn("n", F.lit(1).cast("long"))
     if plan.hot:
         points = times.groupBy(*keys, ORDER).agg(F.count("*").alias("n"))
-    points = points.withColumn(CHUNK, plan.chunk(F.col(ORDER)))
+    points = plan.place(points, CHUNK, F.col(ORDER))
     if not plan.single:
-        ends = times.withColumn(CHUNK, plan.chunk(F.col(ORDER))).groupBy(*keys, CHUNK).agg(F.max(ORDER).alias(ORDER))
+        ends = plan.place(times, CHUNK, F.col(ORDER)).groupBy(*keys, CHUNK).agg(F.max(ORDER).alias(ORDER))
         points = points.unionByName(_into_next_chunk(ends, keys).withColumn("n", F.lit(0).cast("long")))
     points = points.repartition(*keys, CHUNK).groupBy(*keys, CHUNK, ORDER).agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys, CHUNK).orderBy(ORDER)
@@ -119,11 +119,11 @@ def non_monotonic(df: DataFrame, arrival: str, ts: str = "datetime_utc", keys: S
     return with_previous(df, arrival, {"prev_ts": ts}, keys).where(F.col(ts) < F.col("prev_ts"))
 
 
-def _steps(points: DataFrame) -> DataFrame:
+def _steps(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Steps of ``instants`` with their multiplicity: one per instant after the first, zeros inside them."""
     pair = lambda v, w: F.struct(v.cast("long").alias("value"), w.cast("long").alias("weight"))
     both = F.array(pair(F.col("gap"), F.lit(1)), pair(F.lit(0), F.col("n") - 1))
-    rows = points.select(F.explode(both).alias("s")).select(F.lit("step").alias("item"), "s.value", "s.weight")
+    rows = points.select(*keys, F.explode(both).alias("s")).select(*keys, F.lit("step").alias("item"), "s.value", "s.weight")
     return rows.where("value is not null and weight > 0")
 
 
@@ -140,42 +140,57 @@ def _moments(steps: DataFrame) -> DataFrame:
     )
 
 
-def irregular_intervals(df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0) -> DataFrame:
-    """Steps further than ``stds`` standard deviations from the mean step; ``n`` counts equal ones."""
-    points = instants(df, ts)
-    found = _moments(fold_values(_steps(points))).first()  # one row of three numbers
-    if not found.n or found.std is None:
-        return points.limit(0).select(
-            F.col("prev_ts").alias("start_ts"), F.col("curr_ts").alias("end_ts"), F.lit(0.0).alias("seconds"), "n"
-        )
+def irregular_intervals(
+    df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Steps further than ``stds`` standard deviations from the mean step (of their key); ``n`` counts equal ones."""
+    points = instants(df, ts, keys)
+    if keys:
+        own = keyed_moments(fold_keyed(_steps(points, keys), keys), keys).select(*keys, "mean", "std")
+        points, mean, std = join_keys(points, own, keys), F.col("mean"), F.col("std")
+    else:
+        found = _moments(fold_values(_steps(points))).first()  # one row of three numbers
+        if not found.n or found.std is None:
+            return points.limit(0).select(
+                F.col("prev_ts").alias("start_ts"), F.col("curr_ts").alias("end_ts"), F.lit(0.0).alias("seconds"), "n"
+            )
+        mean, std = F.lit(found.mean), F.lit(found.std)
     step = lambda start, us, n: F.struct(
         F.col(start).alias("start_ts"), F.col("curr_ts").alias("end_ts"),
-        (us / F.lit(float(MICROS))).alias("seconds"), n.cast("long").alias("n"), us.alias("us"),
+        (us / F.lit(float(MICROS))).alias("seconds"), n.cast("long").alias("n"),
+        (F.abs(us - mean) > F.lit(stds) * std).alias("odd"),
     )
     both = F.array(step("prev_ts", F.col("gap"), F.lit(1)), step("curr_ts", F.lit(0).cast("long"), F.col("n") - 1))
-    rows = points.select(F.explode(both).alias("s")).select("s.*").where("us is not null and n > 0")
-    return rows.where(F.abs(F.col("us") - found.mean) > stds * found.std).drop("us")
+    rows = points.select(*keys, F.explode(both).alias("s")).select(*keys, "s.*")
+    return rows.where("seconds is not null and n > 0 and odd").drop("odd")
 
 
-def folded_steps(df: DataFrame, ts: str = "datetime_utc") -> DataFrame:
-    """The distinct steps of a series with their number, checkpointed; serves several reports on it."""
-    return fold_values(_steps(instants(df, ts)))
+def folded_steps(df: DataFrame, ts: str = "datetime_utc", keys: Sequence[str] = ()) -> DataFrame:
+    """The distinct steps of a series (of each key) with their number, checkpointed; serves several reports on it."""
+    steps = _steps(instants(df, ts, keys), keys)
+    return fold_keyed(steps, keys) if keys else fold_values(steps)
 
 
 def regularity_report(
-    df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0, steps: DataFrame | None = None
+    df: DataFrame, ts: str = "datetime_utc", stds: float = 2.0, steps: DataFrame | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """One row on the spacing of a series: step statistics, duplicates, share of irregular steps.
+    """One row (for each key) on the spacing of a series: step statistics, duplicates, share of irregular steps.
 
     The series is put in order once; everything here comes from the table of its :func:`folded_steps`, which may
-    be given.
+    be given. A key with fewer than two times has no row.
     """
-    steps = folded_steps(df, ts) if steps is None else steps
-    found, median = _moments(steps).first(), exact_median(steps)
-    mean, std = F.lit(found.mean).cast("double"), F.lit(found.std).cast("double")
+    steps = folded_steps(df, ts, keys) if steps is None else steps
+    if keys:
+        own = join_keys(keyed_moments(steps, keys).drop("n"), keyed_median(steps, keys), keys)
+        steps, grouping = join_keys(steps, own, keys), [*keys, "mean", "median", "std"]
+        mean, median, std = F.col("mean"), F.col("median"), F.col("std")
+    else:
+        found, middle = _moments(steps).first(), exact_median(steps)
+        mean, std = F.lit(found.mean).cast("double"), F.lit(found.std).cast("double")
+        median, grouping = F.lit(middle).cast("double"), []
     weight_of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("weight"))), F.lit(0))
     value, second = F.col("value"), F.lit(float(MICROS))
-    one = steps.agg(
+    one = steps.groupBy(*grouping).agg(
         F.sum("weight").alias("n"),
         (F.min(value) / second).alias("min_s"),
         (F.max(value) / second).alias("max_s"),
@@ -183,10 +198,11 @@ def regularity_report(
         weight_of(F.abs(value - mean) > F.lit(stds) * std).alias("irregular"),
     )
     return one.where("n > 0").select(
+        *keys,
         (F.col("n") + 1).alias("rows"),
         F.col("n").alias("intervals"),
         (mean / second).alias("mean_s"),
-        (F.lit(median).cast("double") / second).alias("median_s"),
+        (median / second).alias("median_s"),
         (std / second).alias("std_s"),
         "min_s", "max_s", "duplicates", "irregular",
         (F.lit(100.0) * F.col("irregular") / F.col("n")).alias("irregular_pct"),
@@ -205,29 +221,40 @@ def sampling_interval(
     step = order_key(prior, ts) - order_key(prior, "__prev")
     whole = prior.select(*keys, (step / F.lit(MICROS)).cast("long").alias("value"))
     if keys:
-        return whole.groupBy(*keys).agg(F.median("value").alias("median_s"))
+        return keyed_median(fold_keyed(whole.withColumn("weight", F.lit(1)), keys), keys, "median_s")
     median = exact_median(fold_values(whole.select(F.lit("step").alias("item"), "value", F.lit(1).alias("weight"))))
     return df.sparkSession.range(1).select(F.lit(median).cast("double").alias("median_s"))
 
 
-def series_completeness(df: DataFrame, ts: str = "datetime_utc", steps: DataFrame | None = None) -> DataFrame:
-    """Rows present against rows expected at the median step, and steps over five times the median.
+def series_completeness(
+    df: DataFrame, ts: str = "datetime_utc", steps: DataFrame | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Rows present against rows expected at the median step (of each key), and steps over five times the median.
 
-    ``steps`` may be given as :func:`folded_steps`.
+    ``steps`` may be given as :func:`folded_steps`. Where the median step is zero there is no row.
     """
-    steps = folded_steps(df, ts) if steps is None else steps
-    median = exact_median(steps)
-    med = F.lit(median if median and median > 0 else None).cast("double")
+    steps = folded_steps(df, ts, keys) if steps is None else steps
+    if keys:
+        middle = keyed_median(steps, keys).where("median > 0")
+        steps, grouping, med = join_keys(steps, middle, keys), [*keys, "median"], F.col("median")
+    else:
+        median = exact_median(steps)
+        grouping, med = [], F.lit(median if median and median > 0 else None).cast("double")
     wide = F.coalesce(F.sum(F.when(F.col("value") > F.lit(5.0) * med, F.col("weight"))), F.lit(0))
-    one = steps.agg(F.sum(F.col("value") * F.col("weight")).alias("span"), wide.alias("large_gaps"))
-    total = df.agg(F.count("*").alias("n"))
+    one = steps.groupBy(*grouping).agg(F.sum(F.col("value") * F.col("weight")).alias("span"), wide.alias("large_gaps"))
+    total = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    if keys:
+        one, n = join_keys(one, total, keys), F.col("n")
+    else:
+        one, n = one.where(med.isNotNull()), total.scalar()
     expected = F.col("span") / med
-    return one.where(med.isNotNull()).select(
+    return one.select(
+        *keys,
         total_seconds(F.col("span")).alias("time_range_s"),
         (med / F.lit(float(MICROS))).alias("median_s"),
         expected.alias("expected_points"),
-        total.scalar().alias("actual_points"),
-        F.when(expected > 0, F.lit(100.0) * total.scalar() / expected).otherwise(F.lit(0.0)).alias("completeness_pct"),
+        n.alias("actual_points"),
+        F.when(expected > 0, F.lit(100.0) * n / expected).otherwise(F.lit(0.0)).alias("completeness_pct"),
         "large_gaps",
     )
 
@@ -249,7 +276,7 @@ def position_jumps(
     for c in (lat, lon):
         if fixes.schema[c].dataType.typeName() in ("double", "float"):
             fixes = fixes.withColumn(c, F.when(~F.isnan(c), F.col(c)))
-    fixes = fixes.dropna("any")
+    fixes = fixes.dropna("any", subset=[ts, lat, lon])
     prior = with_previous(fixes, ts, {"prev_ts": ts, "__lat": lat, "__lon": lon}, keys)
     dlat, dlon = F.col(lat) - F.col("__lat"), F.col(lon) - F.col("__lon")
     far = F.sqrt(dlat * dlat + dlon * dlon) * F.lit(km_per_degree)

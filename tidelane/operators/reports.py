@@ -37,45 +37,47 @@ def duplicate_times(df: DataFrame, ts: str = "datetime_utc") -> DataFrame:
 
 
 def correlation(
-    df: DataFrame, x: str, y: str, complete: Sequence[str] = (), least_rows: int = 10, low: float = 0.5
+    df: DataFrame, x: str, y: str, complete: Sequence[str] = (), least_rows: int = 10, low: float = 0.5,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Pearson correlation over complete rows, given only for more than ``least_rows`` of them."""
+    """Pearson correlation over complete rows (of each key), given only for more than ``least_rows`` of them."""
     cols = list(dict.fromkeys([x, y, *complete]))
     whole = ~F.greatest(*[missing(c, df.schema[c].dataType).cast("int") for c in cols], F.lit(0)).cast("boolean")
-    one = df.where(whole).agg(F.count("*").alias("n"), F.corr(x, y).alias("correlation"))
-    return one.where(F.col("n") > least_rows).select("n", "correlation", (F.col("correlation") < low).alias("low"))
+    one = df.where(whole).groupBy(*keys).agg(F.count("*").alias("n"), F.corr(x, y).alias("correlation"))
+    return one.where(F.col("n") > least_rows).select(*keys, "n", "correlation", (F.col("correlation") < low).alias("low"))
 
 
-def missing_report(df: DataFrame) -> DataFrame:
-    """Missing values per column, as number and percentage of the rows."""
-    fields = [(f.name, f.dataType) for f in df.schema]
-    one = df.agg(F.count("*").alias("__n"), *[F.count_if(missing(c, t)).alias(f"__{i}") for i, (c, t) in enumerate(fields)])
+def missing_report(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Missing values per column (and key), as number and percentage of the rows."""
+    fields = [(f.name, f.dataType) for f in df.schema if f.name not in keys]
+    one = df.groupBy(*keys).agg(F.count("*").alias("__n"), *[F.count_if(missing(c, t)).alias(f"__{i}") for i, (c, t) in enumerate(fields)])
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("missing")) for i, (c, _) in enumerate(fields)])
     share = F.when(F.col("__n") > 0, F.lit(100.0) * F.col("missing") / F.col("__n")).otherwise(F.lit(0.0))
-    return one.select("__n", F.explode(entries).alias("e")).select("__n", "e.*").select(
-        "column", "missing", share.alias("percent")
+    return one.select(*keys, "__n", F.explode(entries).alias("e")).select(*keys, "__n", "e.*").select(
+        *keys, "column", "missing", share.alias("percent")
     )
 
 
-def quality_scores(df: DataFrame) -> DataFrame:
-    """Share of filled cells and of rows that are not full repeats of another row.
+def quality_scores(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Share of filled cells and of rows that are not full repeats of another row (for each key).
 
-    Equal rows are folded map-side with their number, so copies cost no shuffle.
+    Equal rows are folded map-side with their number, so copies cost no shuffle. Keys are not among the cells.
     """
-    cols = df.columns
+    cols = [c for c in df.columns if c not in keys]
     # Floating columns are grouped with NaN read as missing, as the cell count does.
     plain = df.select(
-        *[F.when(~missing(f.name, f.dataType), F.col(f.name)).alias(f.name) for f in df.schema]
+        *keys, *[F.when(~missing(f.name, f.dataType), F.col(f.name)).alias(f.name) for f in df.schema if f.name in cols]
     )
-    folded = plain.groupBy(*cols).agg(F.count("*").alias("__n"))
+    folded = plain.groupBy(*keys, *cols).agg(F.count("*").alias("__n"))
     blanks = sum((F.col(c).isNull().cast("long") for c in cols), F.lit(0))
-    one = folded.agg(
+    one = folded.groupBy(*keys).agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(blanks * F.col("__n")), F.lit(0)).alias("missing_cells"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"),
     )
     cells = F.col("rows") * F.lit(len(cols))
     return one.select(
+        *keys,
         "rows",
         cells.alias("total_cells"),
         "missing_cells",

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidelane.operators.chunks import BEYOND, order_key, plan_chunks, rows_per_chunk, tie_key, tie_rest
+from tidelane.operators.chunks import BEYOND, order_key, plan_chunks, tie_key, tie_rest
 from tidelane.operators.copies import expand_copies, fold_copies
 
 CHUNK, ORDER, TIE = "__chunk", "__order", "__tie"
+#: Chunks whose edges are windowed together, as a power of two.
+RUN_BITS = 10
 
 
 def with_row_number(
@@ -22,7 +25,7 @@ def with_row_number(
     o, t = F.coalesce(order_key(df, order), F.lit(BEYOND)), tie_key(df, tie)
     plan = plan_chunks(df.sparkSession, [df.select(o.alias("o"), t.alias("t"))])
     rows = df.withColumns({ORDER: o, TIE: t})
-    rows = rows.withColumn(CHUNK, plan.chunk(F.col(ORDER), F.col(TIE)))
+    rows = plan.place(rows, CHUNK, F.col(ORDER), F.col(TIE))
     rows = fold_copies(rows, plan.copies, ORDER, TIE).withColumn("__step", F.col("__n"))
     if not plan.single:
         before = Window.partitionBy(*keys, F.lit(0)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -46,30 +49,52 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
+def _thinned(rows: DataFrame, before: int, after: int) -> DataFrame:
+    """Folded copies as a window's width of rows: every copy further inside sees copies only, like the one kept for them."""
+    n, one = F.col("__n"), F.lit(1).cast("long")
+    inner = F.concat(F.array_repeat(one, before), F.array(n - (before + after)), F.array_repeat(one, after))
+    sizes = F.when(n > before + after + 1, inner).otherwise(F.array_repeat(one, n.cast("int")))
+    return rows.select(*[c for c in rows.columns if c != "__n"], F.posexplode(sizes).alias("__sub", "__n"))
+
+
 def rolling_deviation(
     df: DataFrame, cols: Sequence[str], order: str, window: int = 5, tie: Sequence[str] = (), keys: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``<c>_mean`` and ``<c>_std`` over ``window`` rows centred on each row (of each key).
 
-    Rows are cut by number into even blocks, and only the rows within half a window of a block edge are
-    copied to the neighbour, so the hot spots of the time axis do not matter here.
+    Every chunk is windowed by itself, after the one shuffle and sort there is. Rows less than half a window from
+    an edge of their chunk lack neighbours there: they and the rows they see, a window's width at each edge, go on to
+    a second window over runs of ``2^RUN_BITS`` chunks, and from its edges to further ones until a run holds all. Between
+    them only whole chunks' inner rows are missing, which no edge row sees; a chunk shorter than that goes on whole.
+    Rows without an order value come last.
     """
     before, after = window // 2, (window - 1) // 2
-    block = max(rows_per_chunk(df.sparkSession), window)
-    numbered = with_row_number(df, order, tie, keys=keys)
-    home = F.expr(f"__rn div {block}")
-    at = F.col("__rn") % F.lit(block)
-    homes = F.filter(
-        F.array(home, F.when(at < F.lit(after), home - 1), F.when(at >= F.lit(block - before), home + 1)),
-        lambda b: b.isNotNull() & (b >= 0),
-    )
-    spread = numbered.withColumn("__home", home).withColumn("__block", F.explode(homes))
-    by = Window.partitionBy(*keys, "__block").orderBy("__rn").rowsBetween(-before, after)
-    stats = {}
-    for c in cols:
-        stats[f"{c}_mean"] = F.avg(c).over(by)
-        stats[f"{c}_std"] = F.stddev_samp(c).over(by)
-    return spread.withColumns(stats).where("__block = __home").drop("__rn", "__home", "__block")
+    o, t = F.coalesce(order_key(df, order), F.lit(BEYOND)), tie_key(df, tie)
+    plan = plan_chunks(df.sparkSession, [df.select(o.alias("o"), t.alias("t"))])
+    rows = df.withColumns({ORDER: o, TIE: t})
+    rows = fold_copies(plan.place(rows, CHUNK, F.col(ORDER), F.col(TIE)), plan.copies, ORDER, TIE)
+    rows = _thinned(rows, before, after) if plan.copies else rows.withColumn("__sub", F.lit(0))
+    rows = rows.withColumn("__done", F.lit(False))
+    names = [f"{c}_{s}" for c in cols for s in ("mean", "std")]
+    done, shift = [], 0
+    while True:
+        by = Window.partitionBy(*keys, F.shiftright(CHUNK, shift)).orderBy(CHUNK, ORDER, TIE, *tie_rest(df, tie), "__sub")
+        near = by.rowsBetween(-before, after)
+        stats = {f"{c}_mean": F.avg(c).over(near) for c in cols} | {f"{c}_std": F.stddev_samp(c).over(near) for c in cols}
+        last = plan.last >> shift == 0
+        there = lambda n: F.lead(F.lit(True), n, False).over(by) if n else F.lit(True)
+        edge = {} if last else {"__at": F.row_number().over(by), "__whole": there(after), "__inner": there(before + after)}
+        seen = rows.withColumns({**stats, **edge})
+        if last:
+            done.append(seen.where("not __done"))
+            break
+        whole = (F.col("__at") > before) & F.col("__whole")
+        done.append(seen.where(whole & ~F.col("__done")).drop(*edge))
+        rows = seen.where((F.col("__at") <= before + after) | ~F.col("__inner"))
+        rows = rows.withColumn("__done", F.col("__done") | whole).drop(*edge, *names)
+        shift += RUN_BITS
+    out = reduce(DataFrame.unionByName, done)
+    return (expand_copies(out) if plan.copies else out).select(*df.columns, *names)
 
 
 def _nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -101,29 +101,43 @@ def validate_oxygen(df: DataFrame) -> DataFrame:
     return validate_feed(df, "oxygen")
 
 
+def validate_feeds(feeds: Mapping[str, DataFrame], ts: str = "datetime_utc") -> DataFrame:
+    """The rules of several feeds in one job, the report held by the driver: a handful of rows for each feed."""
+    rows = reduce(DataFrame.unionByName, [validate_feed(df, name, ts=ts) for name, df in feeds.items()]).collect()
+    return next(iter(feeds.values())).sparkSession.createDataFrame(rows, REPORT)
+
+
+def raise_failed(report: DataFrame, feeds: Sequence[str]) -> None:
+    """Raise for the first of ``feeds`` that fails a rule."""
+    for feed in feeds:
+        failed = report.where((F.col("feed") == feed) & ~F.col("passed")).collect()
+        if failed:
+            what = ", ".join(f"{r.rule} {r.column} ({r.violations})" for r in failed)
+            raise ValueError(f"{feed}: validation failed: {what}")
+
+
 def check_feed(df: DataFrame, feed: str, ts: str = "datetime_utc", not_empty: bool = False) -> DataFrame:
     """Run the rules and raise if one fails; returns ``df``."""
     if not_empty and df.isEmpty():
         raise ValueError(f"{feed}: no rows")
-    failed = validate_feed(df, feed, ts=ts).where("not passed").collect()  # a handful of rule rows
-    if failed:
-        what = ", ".join(f"{r.rule} {r.column} ({r.violations})" for r in failed)
-        raise ValueError(f"{feed}: validation failed: {what}")
+    raise_failed(validate_feeds({feed: df}, ts), [feed])
     return df
 
 
-def range_report(df: DataFrame, ranges: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
-    """Out-of-range counts of a finished series, with the least and greatest value of the columns checked."""
+def range_report(
+    df: DataFrame, ranges: Mapping[str, tuple[float, float]] | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Out-of-range counts of a finished series (of each key), with the least and greatest value of the columns checked."""
     ranges = PRODUCT_RANGES if ranges is None else ranges
     checked = [
         (f.name, *ranges[f.name.lower()])
         for f in df.schema
-        if f.name.lower() in ranges and isinstance(f.dataType, T.NumericType)
+        if f.name.lower() in ranges and f.name not in keys and isinstance(f.dataType, T.NumericType)
     ]
     if not checked:
-        return df.sparkSession.createDataFrame(
-            [], "column string, lo double, hi double, out_of_range bigint, min_value double, max_value double"
-        )
+        nothing = "column string, lo double, hi double, out_of_range bigint, min_value double, max_value double"
+        own = [f"{c} {t}" for c, t in df.dtypes if c in keys]
+        return df.sparkSession.createDataFrame([], ", ".join([*own, nothing]))
     aggs, rows = [], []
     for i, (c, lo, hi) in enumerate(checked):
         v = F.col(c).cast("double")
@@ -135,7 +149,7 @@ def range_report(df: DataFrame, ranges: Mapping[str, tuple[float, float]] | None
                 F.col(f"n{i}").alias("out_of_range"), F.col(f"a{i}").alias("min_value"), F.col(f"z{i}").alias("max_value"),
             )
         )
-    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("e")).select("e.*")
+    return df.groupBy(*keys).agg(*aggs).select(*keys, F.explode(F.array(*rows)).alias("e")).select(*keys, "e.*")
 
 
 def table_overlap(tables: Mapping[str, DataFrame], ts: str = "datetime_utc") -> DataFrame:

@@ -9,4 +9,5 @@ from tidelane.plans.underway import (
     process_underway,
     read_ph_and_flag,
     read_rho,
+    store_feeds,
 )

@@ -99,20 +99,21 @@ def with_sql(*ctes: str, final: str) -> str:
 
 # Alignment
 
+#: The kinds of events, each of which plays a feed.
+KINDS = ["view", "click", "purchase", "signup", "error"]
 
-@query(
-    with_sql(
-        EV, feed_sql("v", "view", "view"), feed_sql("c", "click", "click"), feed_sql("p", "purchase", "purchase"),
-        grid_sql("g", ["v", "c", "p"], "10 minutes"),
-        asof_sql("a1", "g", "v", "30 minutes", "l.*", [("view_value", "view_value"), ("view_user", "view_user")]),
-        asof_sql("a2", "a1", "c", "30 minutes", "l.*", [("click_value", "click_value"), ("click_user", "click_user")]),
-        asof_sql("a3", "a2", "p", "30 minutes", "l.*", [("purchase_value", "purchase_value"), ("purchase_user", "purchase_user")]),
-        final="select * from a3",
-    )
-)
+
+def _align_sql() -> str:
+    steps, left = [EV, *[feed_sql(f"f_{k}", k, k) for k in KINDS], grid_sql("g", [f"f_{k}" for k in KINDS], "10 minutes")], "g"
+    for k in KINDS:
+        steps.append(asof_sql(f"a_{k}", left, f"f_{k}", "30 minutes", "l.*", [(f"{k}_value",) * 2, (f"{k}_user",) * 2]))
+        left = f"a_{k}"
+    return with_sql(*steps, final=f"select * from {left}")
+
+
+@query(_align_sql())
 def asof_align(spark, d):
-    feeds = [(k, feed(spark, d, k, k)) for k in ("view", "click", "purchase")]
-    return op.align_series(feeds, "10m", tolerance="30m")
+    return op.align_series([(k, feed(spark, d, k, k)) for k in KINDS], "10m", tolerance="30m")
 
 
 @query(
@@ -215,21 +216,23 @@ def time_bounds(spark, d):
     return op.time_bounds([events(spark, d), orders])
 
 
-@query(
-    """with g as (select unnest(generate_series(time_bucket(interval '1 hour', lo), hi + interval '1 hour',
+def _grid_join_sql() -> str:
+    means = ",\n".join(
+        f"""m_{k} as (select time_bucket(interval '1 hour', ts) as b, round(avg(value), 6) as {k}_mean
+             from events where event_type = '{k}' group by 1)""" for k in KINDS
+    )
+    joins = " ".join(f"left join m_{k} on g.datetime_utc = m_{k}.b" for k in KINDS)
+    return f"""with g as (select unnest(generate_series(time_bucket(interval '1 hour', lo), hi + interval '1 hour',
                     interval '1 hour')) as datetime_utc from (select min(ts) as lo, max(ts) as hi from events)),
-       a as (select time_bucket(interval '1 hour', ts) as b, round(avg(value), 6) as view_mean
-             from events where event_type = 'view' group by 1),
-       c as (select time_bucket(interval '1 hour', ts) as b, round(avg(value), 6) as click_mean
-             from events where event_type = 'click' group by 1)
-       select g.datetime_utc, view_mean, click_mean from g left join a on g.datetime_utc = a.b
-       left join c on g.datetime_utc = c.b"""
-)
+       {means} select g.datetime_utc, {", ".join(f"{k}_mean" for k in KINDS)} from g {joins}"""
+
+
+@query(_grid_join_sql())
 def grid_left_join(spark, d):
     ev = events(spark, d)
     grid = op.time_grid(op.time_bounds(ev), "1h", floored=True)
     parts = []
-    for kind in ("view", "click"):
+    for kind in KINDS:
         rows = ev.where(F.col("event_type") == kind).select(TS, F.col("value").alias(f"{kind}_mean"))
         parts.append(rounded(op.bucket_mean(rows, "1h"), f"{kind}_mean"))
     return op.join_on_grid(grid, parts)
@@ -583,11 +586,10 @@ def previous_row_text_tie(spark, d):
 
 @query(
     """select * from (select lag(ts) over (order by ts) as prev_ts, ts as curr_ts,
-         epoch_us(ts) - lag(epoch_us(ts)) over (order by ts) as gap from events where event_type = 'view')
-       where gap > 600000000"""
+         epoch_us(ts) - lag(epoch_us(ts)) over (order by ts) as gap from events) where gap > 60000000"""
 )
 def find_gaps(spark, d):
-    return op.find_gaps(events(spark, d).where("event_type = 'view'"), TS, "10m")
+    return op.find_gaps(events(spark, d), TS, "1m")
 
 
 @query(
@@ -608,21 +610,23 @@ def non_monotonic(spark, d):
     return op.non_monotonic(df, "o_orderkey")
 
 
-@query(
-    """with g as (select lag(ts) over (order by ts) as start_ts, ts as end_ts,
-         (epoch_us(ts) - lag(epoch_us(ts)) over (order by ts)) / 1000000.0::double as seconds from events)
+def irregular_sql(source: str) -> str:
+    return f"""with g as (select lag(ts) over (order by ts) as start_ts, ts as end_ts,
+         (epoch_us(ts) - lag(epoch_us(ts)) over (order by ts)) / 1000000.0::double as seconds from {source})
        select start_ts, end_ts, seconds, count(*) as n from g
        where abs(seconds - (select avg(seconds) from g)) > 2 * (select stddev_samp(seconds) from g) group by 1, 2, 3"""
-)
+
+
+@query(irregular_sql("events"))
 def irregular_intervals(spark, d):
     return op.irregular_intervals(events(spark, d), TS)
 
 
-def regularity_sql(ts: str, source: str) -> str:
+def regularity_sql(ts: str, source: str, median: str = "median(s)") -> str:
     return f"""with g as (select (epoch_us({ts}) - lag(epoch_us({ts})) over (order by {ts})) / 1000000.0::double as s from {source}),
        m as (select avg(s) as a, stddev_samp(s) as b, count(s) as n from g)
        select (select count(*) from {source}) as rows, n as intervals, round(a, 6) as mean_s, round(b, 6) as std_s,
-         (select median(s) from g) as median_s, (select min(s) from g) as min_s, (select max(s) from g) as max_s,
+         (select {median} from g) as median_s, (select min(s) from g) as min_s, (select max(s) from g) as max_s,
          (select count(*) - count(distinct {ts}) from {source}) as duplicates,
          (select count(*) from g where abs(s - a) > 2 * b) as irregular,
          round(100.0 * (select count(*) from g where abs(s - a) > 2 * b) / n, 6) as irregular_pct from m"""
@@ -648,9 +652,9 @@ def sampling_interval(spark, d):
     return op.sampling_interval(df, TS)
 
 
-def completeness_sql(ts: str, source: str) -> str:
+def completeness_sql(ts: str, source: str, median: str = "median(s)") -> str:
     return f"""with g as (select (epoch_us({ts}) - lag(epoch_us({ts})) over (order by {ts})) / 1000000.0::double as s from {source}),
-       m as (select median(s) as med from g),
+       m as (select {median} as med from g),
        t as (select (epoch_us(max({ts})) - epoch_us(min({ts}))) / 1000000.0::double as span, count(*) as n from {source})
        select span as time_range_s, med as median_s, round(span / med, 6) as expected_points, n as actual_points,
          round(100.0 * n / (span / med), 6) as completeness_pct, (select count(*) from g, m where s > 5 * med) as large_gaps
@@ -662,6 +666,53 @@ def series_completeness(spark, d):
     return rounded(op.series_completeness(events(spark, d)), "expected_points", "completeness_pct")
 
 
+#: Vessels of the reports by key; the last one has no name.
+VESSELS = range(4)
+
+
+def vessels(df: DataFrame) -> DataFrame:
+    number = F.col("user_id") % len(VESSELS)
+    return df.withColumn("vessel", F.when(number != VESSELS[-1], number))
+
+
+def by_vessel_sql(report: Callable[[str], str]) -> str:
+    """A report in SQL for each vessel by itself."""
+    one = lambda v: f"(select * from events where user_id % {len(VESSELS)} = {v})"
+    name = lambda v: f"cast({'null' if v == VESSELS[-1] else v} as bigint) as vessel"
+    return " union all ".join(f"select {name(v)}, * from ({report(one(v))})" for v in VESSELS)
+
+
+#: The median of whole microseconds, which is exact for an even number of steps too.
+EXACT_MEDIAN = "median(cast(round(s * 1000000) as bigint)) / 1000000.0::double"
+
+
+@query(by_vessel_sql(lambda source: regularity_sql("ts", source, EXACT_MEDIAN)))
+def regularity_by_key(spark, d):
+    return rounded(op.regularity_report(vessels(events(spark, d)), TS, keys=["vessel"]), "mean_s", "std_s", "irregular_pct")
+
+
+@query(by_vessel_sql(lambda source: completeness_sql("ts", source, EXACT_MEDIAN)))
+def completeness_by_key(spark, d):
+    out = op.series_completeness(vessels(events(spark, d)), keys=["vessel"])
+    return rounded(out, "expected_points", "completeness_pct")
+
+
+@query(by_vessel_sql(lambda source: irregular_sql(source)))
+def irregular_by_key(spark, d):
+    return op.irregular_intervals(vessels(events(spark, d)), TS, keys=["vessel"])
+
+
+@query(
+    """select user_id, median(s) as median_s from (select user_id, cast(trunc((epoch_us(ts) - lag(epoch_us(ts))
+         over (partition by user_id order by ts)) / 1000000.0) as bigint) as s,
+         case when event_id % 7 <> 0 then value end as v from events) where s is not null and v is not null group by 1"""
+)
+def sampling_interval_by_key(spark, d):
+    """A median for every user: as many series as there are users."""
+    df = events(spark, d).select("user_id", TS, F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("v"))
+    return op.sampling_interval(df, TS, keys=["user_id"])
+
+
 @query(
     """select * from (select lag(ts) over (order by ts) as prev_ts, ts as datetime_utc, value / 10 as latitude,
          user_id / 10.0::double as longitude,
@@ -1249,6 +1300,51 @@ def process_underway(spark, d):
     return rounded(product["combined"], *_PRODUCT_REAL)
 
 
+def _validation_sql() -> str:
+    from tidelane.operators.validate import RULES
+
+    rows = []
+    for name, source in {"gps": "gps", "tsg": "tsg", "ph": "ph", "rho": "rho", "oxygen": "oxy"}.items():
+        rules = RULES[name]
+        entry = "select '{0}' as feed, '{1}' as rule, '{2}' as \"column\", '{3}' as severity, {4} as violations, {5} as passed from {6}".format
+        rows += [entry(name, "required", c, "error", "0", "true", "(select 1)") for c in [TS, *rules.ranges]]
+        for c, (lo, hi) in rules.ranges.items():
+            rows.append(entry(name, "type", c, "error", "0", "true", "(select 1)"))
+            bad, strict = f"count(*) filter ({c} < {lo} or {c} > {hi})", c in rules.strict
+            rows.append(entry(name, "range", c, "error" if strict else "warning", bad, f"{bad} = 0" if strict else "true", source))
+    return with_sql(*CRUISE, final=" union all ".join(rows))
+
+
+@query(_validation_sql(), violations="bigint")
+def process_validation(spark, d):
+    """The checks that come with the whole product."""
+    return plans.process_underway(
+        **cruise(spark, d), interval=2 * SCALE, scale=SCALE, feed_dir=new_shared_path(spark, "feeds")
+    )["validation"]
+
+
+@query(
+    with_sql(
+        *CRUISE, *COMBINE, f"p as ({_PRODUCT}prod)",
+        final="""select 'parquet' as origin, * from p
+                 union all select 'csv', * replace (date_trunc('second', datetime_utc) as datetime_utc) from p""",
+    ),
+    flags="temperature_flag salinity_flag ph_flag rho_flag",
+)
+def process_outputs(spark, d):
+    """The whole product as it stands in its files."""
+    path = new_shared_path(spark, "product")
+    outputs = {"parquet_path": f"{path}/product.parquet", "csv_path": f"{path}/product.csv"}
+    plans.process_underway(
+        **cruise(spark, d), interval=2 * SCALE, scale=SCALE, feed_dir=new_shared_path(spark, "feeds"), outputs=outputs
+    )
+    kept = src.read_parquet_series(spark, outputs["parquet_path"])
+    text = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").schema(kept.schema).csv(
+        outputs["csv_path"])
+    both = kept.withColumn("origin", F.lit("parquet")).unionByName(text.withColumn("origin", F.lit("csv")))
+    return rounded(both, *_PRODUCT_REAL)
+
+
 @query(with_sql(*CRUISE, *COMBINE, final=_PRODUCT + "comb"), flags="temperature_flag salinity_flag ph_flag rho_flag")
 def combine_underway(spark, d):
     c = cruise(spark, d)
@@ -1259,6 +1355,7 @@ def combine_underway(spark, d):
         "rho": op.default_flag(c["rho"], "rho_flag"),
         "oxygen": c["oxygen"],
     }
+    feeds = plans.store_feeds(feeds, new_shared_path(spark, "feeds"))
     return rounded(plans.combine_underway(feeds, -1.3944286, -0.0010700, 2 * SCALE, 2 * SCALE), *_PRODUCT_REAL)
 
 
@@ -1313,7 +1410,7 @@ def raw_means(spark, d):
 
 AUDIT_COLUMNS = ["datetime_utc", "event_id", "temperature", "salinity", "conductivity", "latitude", "longitude"]
 AUDITED = """audited as (select ts as datetime_utc, event_id, value / 20 as temperature, 25 + value / 40 as salinity,
-  value / 10 as conductivity, 41 + value / 100 as latitude, -user_id / 10.0::double as longitude from events)"""
+  value / 10 as conductivity, 41 + value / 100 as latitude, -user_id / 10.0::double as longitude from {source})"""
 
 
 def long_sql(check: str, item: str, metrics: dict[str, str], source: str) -> str:
@@ -1321,7 +1418,7 @@ def long_sql(check: str, item: str, metrics: dict[str, str], source: str) -> str
     return f"select '{check}' as \"check\", {item} as item, unnest([{entries}]) as e from {source}"
 
 
-def audit_sql() -> str:
+def audit_sql(source: str = "events", median: str = "median(s)") -> str:
     from tidelane.operators.validate import PRODUCT_RANGES
 
     same = lambda *names: {n: n for n in names}
@@ -1336,7 +1433,7 @@ def audit_sql() -> str:
                  "(select datetime_utc as t, lag(datetime_utc) over (order by event_id) as p from audited) where t < p")
     )
     regular = ["rows", "intervals", "mean_s", "median_s", "std_s", "min_s", "max_s", "duplicates", "irregular", "irregular_pct"]
-    parts.append(long_sql("regularity", "null", same(*regular), f"({regularity_sql('datetime_utc', 'audited')})"))
+    parts.append(long_sql("regularity", "null", same(*regular), f"({regularity_sql('datetime_utc', 'audited', median)})"))
     for c in AUDIT_COLUMNS:
         if c in PRODUCT_RANGES:
             lo, hi = PRODUCT_RANGES[c]
@@ -1353,7 +1450,7 @@ def audit_sql() -> str:
         odd = "count(*) filter (abs(x - m) > 1.5 * nullif(s, 0))"
         parts.append(long_sql("outliers", f"'{c}'", {"outliers": odd, "percent": f"100.0 * {odd} / count(*)"}, rolled))
     complete = ["time_range_s", "median_s", "expected_points", "actual_points", "completeness_pct", "large_gaps"]
-    parts.append(long_sql("completeness", "null", same(*complete), f"({completeness_sql('datetime_utc', 'audited')})"))
+    parts.append(long_sql("completeness", "null", same(*complete), f"({completeness_sql('datetime_utc', 'audited', median)})"))
     blanks = " + ".join(f"(count(*) - count({c}))" for c in AUDIT_COLUMNS)
     n = len(AUDIT_COLUMNS)
     distinct = "(select count(*) from (select distinct * from audited))"
@@ -1364,14 +1461,25 @@ def audit_sql() -> str:
         }, "audited")
     )
     every = " union all ".join(f"select * from ({p})" for p in parts)
-    return f'with {AUDITED} select "check", item, e.m as metric, round(e.v, 5) as value from ({every})'
+    return f'with {AUDITED.format(source=source)} select "check", item, e.m as metric, round(e.v, 5) as value from ({every})'
+
+
+def audited(df: DataFrame) -> DataFrame:
+    value, own = F.col("value"), [c for c in ("vessel",) if c in df.columns]
+    return df.select(
+        *own, TS, "event_id", (value / 20).alias("temperature"), (F.lit(25) + value / 40).alias("salinity"),
+        (value / 10).alias("conductivity"), (F.lit(41) + value / 100).alias("latitude"), (-F.col("user_id") / 10.0).alias("longitude"),
+    )
 
 
 @query(audit_sql())
 def audit_series(spark, d):
-    df = events(spark, d).select(
-        TS, "event_id", (F.col("value") / 20).alias("temperature"), (F.lit(25) + F.col("value") / 40).alias("salinity"),
-        (F.col("value") / 10).alias("conductivity"), (F.lit(41) + F.col("value") / 100).alias("latitude"), (-F.col("user_id") / 10.0).alias("longitude"),
-    )
-    out = op.collect_audit(op.audit_series(df, TS, arrival="event_id", k=1.5))
+    out = op.collect_audit(op.audit_series(audited(events(spark, d)), TS, arrival="event_id", k=1.5))
     return out.withColumn("value", F.round("value", 5))
+
+
+@query("select * from (" + by_vessel_sql(lambda source: audit_sql(source, EXACT_MEDIAN)) + """) where not ("check" in ('non_monotonic', 'jumps') and value = 0)""")
+def audit_by_key(spark, d):
+    """The audit of each vessel's series; counts of rows found are given where there are some."""
+    reports = op.audit_series(audited(vessels(events(spark, d))), TS, arrival="event_id", k=1.5, keys=["vessel"])
+    return op.collect_audit(reports, ["vessel"]).withColumn("value", F.round("value", 5))

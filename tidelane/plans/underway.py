@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelane.functions.chemistry import add_corrected_ph
 from tidelane.functions.time import time_shift
-from tidelane.operators.asof import align_series, fill_from_secondary, regularize
+from tidelane.operators.asof import align_series, regularize_filled
 from tidelane.operators.buckets import bucket_by_type, bucket_mean
 from tidelane.operators.columns import select_as
 from tidelane.operators.flags import (
@@ -21,7 +21,7 @@ from tidelane.operators.flags import (
     threshold_flag,
 )
 from tidelane.operators.intervals import flag_intervals
-from tidelane.operators.validate import check_feed, validate_feed
+from tidelane.operators.validate import check_feed, raise_failed, validate_feeds
 from tidelane.session import new_shared_path
 from tidelane.sources.sinks import write_products
 from tidelane.sources.tables import read_epoch_table, read_intervals
@@ -51,10 +51,9 @@ def patch_gps(
     tolerance: str | int | float = 1.5, tie: Sequence[str] = (), track_tie: Sequence[str] = (),
 ) -> DataFrame:
     """GPS on a regular grid, holes filled from a track whose clock is behind by ``clock_offset``."""
-    regular = regularize(gps.select(TS, "latitude", "longitude", *tie), TS, step, tie=tie, tolerance=tolerance)
     shifted = time_shift(track.select(TS, "latitude", "longitude", *track_tie), TS, clock_offset)
-    return fill_from_secondary(
-        regular, shifted, TS, ["latitude", "longitude"], tolerance, ("gps", "gpx"), tie=track_tie
+    return regularize_filled(
+        gps, shifted, TS, ["latitude", "longitude"], step, tolerance, tolerance, ("gps", "gpx"), tie, track_tie
     )
 
 
@@ -65,11 +64,9 @@ def patch_tsg(
     """Underway thermosalinograph on a regular grid, holes filled from the ship's log, flagged."""
     own = tsg.select(TS, F.col("temp").alias("temperature"), "cond", "salinity")
     ship = select_as(log_rows, {"ts": TS, "t1": "temperature", "c1": "cond", "s": "salinity"})
-    regular = regularize(own, TS, step, grid_tolerance)
-    filled = fill_from_secondary(
-        regular, ship, TS, ["temperature", "cond", "salinity"], tolerance, ("uw", "ship")
-    )
-    return flag_tsg(filled)
+    return flag_tsg(regularize_filled(
+        own, ship, TS, ["temperature", "cond", "salinity"], step, grid_tolerance, tolerance, ("uw", "ship")
+    ))
 
 
 def flag_ph(ph: DataFrame, intervals: DataFrame, value: str = "ph_total", limit: float = 9.0, flag: str = "ph_flag") -> DataFrame:
@@ -88,6 +85,17 @@ def read_rho(spark: SparkSession, path_or_table: str, fmt: str = "parquet", **op
     return default_flag(check_feed(rho, "rho"), "rho_flag")
 
 
+def store_feeds(feeds: Mapping[str, DataFrame], feed_dir: str) -> dict[str, DataFrame]:
+    """Each feed written to a folder of its name and read back; the jobs run side by side."""
+
+    def stored(name: str) -> DataFrame:
+        feeds[name].write.parquet(f"{feed_dir}/{name}")
+        return feeds[name].sparkSession.read.parquet(f"{feed_dir}/{name}")
+
+    with ThreadPoolExecutor(max(1, len(feeds))) as pool:
+        return dict(zip(feeds, pool.map(stored, feeds), strict=True))
+
+
 def combine_underway(
     feeds: Mapping[str, DataFrame], k0: float, k2: float, interval: str | int | float = "2s", tolerance: str | int | float = "2s",
     ties: Mapping[str, Sequence[str]] | None = None,
@@ -133,32 +141,31 @@ def process_underway(
     """The whole product: ``combined``, the patched feeds, and the ``validation`` report.
 
     A feed that fails a rule raises unless ``check`` is off. ``scale`` multiplies every step and tolerance
-    of the feeds, for series sampled more slowly than by the second. The patched feeds and the joined product are
-    each consumed several times, so they are stored once in ``feed_dir`` (default a new folder in the shared one)
-    and read back.
+    of the feeds, for series sampled more slowly than by the second. The feeds and the joined product are each
+    consumed several times, so they are stored once in ``feed_dir`` (default a new folder in the shared one) and read
+    back. The rules of all feeds are one job, for the checks and the report alike.
     """
     s = lambda seconds: seconds * scale
-    feeds = {
-        "gps": patch_gps(gps, track, s(1), s(46), s(1.5)),
-        "tsg": patch_tsg(tsg, log_rows, s(2), s(2.5), s(1.5)),
-        "ph": flag_ph(ph, ph_intervals),
-        "rho": default_flag(rho, "rho_flag"),
-        "oxygen": oxygen,
-    }
     feed_dir = feed_dir or new_shared_path(gps.sparkSession, "feeds")
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{feed_dir}/{name}")
-        return df.sparkSession.read.parquet(f"{feed_dir}/{name}")
-
-    feeds.update({name: stored(feeds[name], name) for name in ("gps", "tsg", "ph", "rho")})
+    makers = {
+        "gps": lambda: patch_gps(gps, track, s(1), s(46), s(1.5)),
+        "tsg": lambda: patch_tsg(tsg, log_rows, s(2), s(2.5), s(1.5)),
+        "ph": lambda: flag_ph(ph, ph_intervals),
+        "rho": lambda: default_flag(rho, "rho_flag"),
+        "oxygen": lambda: oxygen,
+    }
+    with ThreadPoolExecutor(len(makers)) as pool:  # plans are made side by side too: they begin with statistics
+        made = dict(zip(makers, pool.map(lambda make: make(), makers.values()), strict=True))
+    feeds = store_feeds(made, feed_dir)
+    validation = validate_feeds(feeds)
     if check:
-        for name in ("gps", "tsg", "rho", "oxygen"):
-            check_feed(feeds[name], name, not_empty=name == "tsg")
-    combined = flag_flow(stored(combine_underway(feeds, k0, k2, interval, s(2)), "joined"), shutdowns)
+        if feeds["tsg"].isEmpty():
+            raise ValueError("tsg: no rows")
+        raise_failed(validation, ("gps", "tsg", "rho", "oxygen"))
+    joined = store_feeds({"joined": combine_underway(feeds, k0, k2, interval, s(2))}, feed_dir)["joined"]
+    combined = flag_flow(joined, shutdowns)
     if outputs:
         write_products(combined, outputs, TS)
-    validation = reduce(DataFrame.unionByName, [validate_feed(df, n) for n, df in feeds.items()])
     return {"combined": combined, **feeds, "validation": validation}
 
 

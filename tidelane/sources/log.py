@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidelane.functions.time import duration_us, from_micros, micros
-from tidelane.operators.chunks import order_key, plan_chunks
+from tidelane.operators.chunks import ChunkPlan, order_key, plan_chunks
+from tidelane.session import new_shared_path
 
 # Patterns of the log format. (?U) makes the classes match all Unicode digits and letters.
 DAMAGED_DATE = r"(?U)dmy=(\d{5})\$\*?.*$"
@@ -19,6 +20,8 @@ REQUIRED = ("t1", "c1", "s")
 COORDINATES = {"lat": "latitude", "lon": "longitude"}
 NO_HEMISPHERE = "no hemisphere in "
 
+#: Lines of a file block that are filled together.
+PIECE_LINES = 1 << 17
 PART, RN, ANCHOR = "__part", "__rn", "__anchor"
 
 # Control characters that mark a pair in a marked line: before the key, before the value, after it.
@@ -166,23 +169,24 @@ def fill_time_by_increment(
     keys: Sequence[str] = (),
     part: str | None = None,
     out: str = "ts",
+    plan: ChunkPlan | None = None,
 ) -> DataFrame:
     """Add ``out``: a null time is the last known time plus ``step`` per row since; leading nulls stay.
 
-    ``part`` may name a column that already cuts the order of each key into pieces (the block of a file);
-    otherwise the order is cut here. Each piece passes its row count and last known time on to the next.
+    ``part`` may name a column that already cuts the order of each key into pieces (a piece of a file), or ``plan`` may
+    hold the cuts; otherwise the order is cut here. Each piece passes its row count and last known time on to the next.
     """
     keys = list(keys)
     order_col, step_us = order_key(df, order), duration_us(step)
     if part:
-        single, cut = False, F.col(part)
+        single, rows = False, df.withColumn(PART, F.col(part))
     else:
-        plan = plan_chunks(df.sparkSession, [df.select(order_col.alias("o"))])
-        single, cut = plan.single, plan.chunk(order_col)
+        plan = plan or plan_chunks(df.sparkSession, [df.select(order_col.alias("o"))])
+        single, rows = plan.single, plan.place(df, PART, order_col)
     by = Window.partitionBy(*keys, PART).orderBy(order_col)
     so_far = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = F.when(F.col(time).isNotNull(), F.struct(micros(time).alias("at"), F.col(RN).alias("rn")))
-    rows = df.withColumn(PART, cut).withColumn(RN, F.row_number().over(by).cast("long"))
+    rows = rows.withColumn(RN, F.row_number().over(by).cast("long"))
     rows = rows.withColumn(ANCHOR, F.last(known, ignorenulls=True).over(so_far))
     near = F.col(f"{ANCHOR}.at") + (F.col(RN) - F.col(f"{ANCHOR}.rn")) * F.lit(step_us)
     if single:
@@ -209,12 +213,20 @@ def parse_keyvalue_lines(
 ) -> tuple[DataFrame, DataFrame]:
     """Typed rows with filled times, and the report of lines with a problem, from a table of lines.
 
-    ``order`` gives the order of the lines (of each key).
+    ``order`` gives the order of the lines (of each key), ``part`` a column that cuts it already. The cuts are made on the
+    raw lines. Where there are several pieces, the parsed lines are stored once: rows, what crosses the pieces, and
+    the report are read from there.
     """
     where = [*keys, *([part] if part else []), order]
-    parsed = parse_lines(lines.select(*where, line), line)
+    raw = lines.select(*where, line)
+    plan = None if part else plan_chunks(raw.sparkSession, [raw.select(order_key(raw, order).alias("o"))])
+    parsed = parse_lines(raw, line)
+    if part or not plan.single:
+        path = new_shared_path(raw.sparkSession, "parsed")
+        parsed.where("kept or reject_reason is not null").write.parquet(path)
+        parsed = raw.sparkSession.read.parquet(path)
     kept = parsed.where("kept").select(*where, *MEASURES, *COORDINATES.values(), "datetime")
-    rows = fill_time_by_increment(kept, "datetime", order, step, keys, part)
+    rows = fill_time_by_increment(kept, "datetime", order, step, keys, part, plan=plan)
     rejects = parsed.where("reject_reason is not null").select(
         *where, (~F.col("kept")).alias("dropped"), "reject_reason", F.col(line).alias("line")
     )
@@ -222,11 +234,13 @@ def parse_keyvalue_lines(
 
 
 def ingest_keyvalue_log(
-    spark: SparkSession, paths: str | list[str], step: str | int | float = "2s"
+    spark: SparkSession, paths: str | list[str], step: str | int | float = "2s", piece_lines: int = PIECE_LINES
 ) -> tuple[DataFrame, DataFrame]:
     """Read log files; times are filled along each file. No valid line gives empty frames.
 
-    The order of lines is their file, the block of the file they were read with, and their position.
+    The order of lines is their file, the block of the file they were read with, and their position. A block is cut
+    into pieces of at most ``piece_lines`` lines that leave the task that read them: a compressed file, which is one block
+    whatever its length, is read by one task, and parsed and filled by many.
     """
     lines = spark.read.text(paths).select(
         F.col("value").alias("line"),
@@ -234,5 +248,10 @@ def ingest_keyvalue_log(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
     )
-    return parse_keyvalue_lines(lines, "line", "position", step, keys=["file"], part="block")
+    number = F.col("position").bitwiseAND(F.lit((1 << 33) - 1))  # of the line in the task that read it
+    pieces = lines.withColumn("piece", F.struct("block", F.floor(number / piece_lines).alias("n")))
+    rows, rejects = parse_keyvalue_lines(
+        pieces.repartition("file", "piece"), "line", "position", step, keys=["file"], part="piece")
+    named = lambda df: df.select(*[F.col("piece.block").alias("block") if c == "piece" else F.col(c) for c in df.columns])
+    return named(rows), named(rejects)
 
