@@ -1,4 +1,5 @@
 import importlib
+import sys
 
 import pytest
 
@@ -35,3 +36,10 @@ def test_plans_stay_in_the_jvm_and_windows_are_chunked(spark, chunked, name):
     chunked(170)
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_core_queries_stay_without_a_dependency_of_the_others(monkeypatch):
+    for name in [m for m in sys.modules if m.startswith("tidelane.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)  # importing it is an ImportError now
+    assert set(entry.queries()) == set(catalog.QUERIES) and set(entry.oracle_sql()) == set(catalog.ORACLES)
