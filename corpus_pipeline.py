@@ -32,14 +32,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: the one of least ``doc_id``.
+    """One document of each group of copies and near copies: the one of least ``doc_id``, of several texts under that
+    id the one whose hash is least.
 
-    Rows that repeat it, id and text, go too. Rows without an id are in no group and stay.
+    A row is judged by its own text, whatever other texts share its id. Rows that repeat it, id and text, go too.
+    Rows without an id are in no group and stay.
     """
-    other = ngram_join.join_similar(docs).where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
+    marked = ngram_join.join_similar(docs, mark_first=True)
+    other = marked.where(~F.col("is_first")).select(F.col("doc_id").alias("other_id"), F.col("row_name").alias("other_name"))
     path = new_shared_path(spark, "others")
-    other.write.parquet(path)
-    kept = docs.join(spark.read.parquet(path), "doc_id", "left_anti")
+    other.distinct().write.parquet(path)
+    same = (docs["doc_id"] == F.col("other_id")) & (ngram_join.row_name("text") == F.col("other_name"))
+    kept = docs.join(spark.read.parquet(path), same, "left_anti")
     named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
     return named.unionByName(kept.where(F.col("doc_id").isNull())).select(docs.columns)
 
