@@ -53,19 +53,17 @@ LAYOUT = frozenset("sidebar widget".split())
 OWN_HEADER = frozenset("article post entry content story page".split())
 #: What a class or id says: nothing, furniture unless on a content path, furniture, a comment thread.
 PLAIN, WEAK, STRONG, THREAD = range(4)
-#: An opening tag of the second kind ends an open element of the first, unless one of the third is between.
+#: Opening tags of the second kind end an open element of the first.
 ENDS = {
-    "p": (BLOCK - {"option"}, frozenset("button td th object".split())),
-    "li": (frozenset({"li"}), frozenset("ul ol menu".split())),
-    "dt": (frozenset("dt dd".split()), frozenset({"dl"})), "dd": (frozenset("dt dd".split()), frozenset({"dl"})),
-    "td": (frozenset("td th tr tbody tfoot thead".split()), frozenset({"table"})),
-    "th": (frozenset("td th tr tbody tfoot thead".split()), frozenset({"table"})),
-    "tr": (frozenset("tr tbody tfoot thead".split()), frozenset({"table"})),
-    "option": (frozenset("option optgroup".split()), frozenset({"select"})),
-    "head": (frozenset({"body"}), frozenset()),
+    "p": BLOCK - {"option"}, "li": frozenset({"li"}), "dt": frozenset("dt dd".split()), "dd": frozenset("dt dd".split()),
+    "td": frozenset("td th tr tbody tfoot thead".split()), "th": frozenset("td th tr tbody tfoot thead".split()),
+    "tr": frozenset("tr tbody tfoot thead".split()), "option": frozenset("option optgroup".split()), "head": frozenset({"body"}),
 }
+#: A comment, a declaration, a tag, a tag with an unclosed quote (which ends at the next ``>``), a cut-off last tag. A
+#: quote is closed by its like before a blank, a slash or the tag's end; one before a letter opens another value.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/][^>]*$",
+    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|(?:\"[^\"]*\"|'[^']*')(?=[\s/>]))*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[a-zA-Z/][^>]*$",
     re.DOTALL,
 )
 #: One attribute: its whole name, then a quoted or bare value, so that no value is ever read as a name.
@@ -74,37 +72,52 @@ READ = frozenset("class id role hidden aria-hidden".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？、]")
 
 
-class Element(NamedTuple):
-    tag: str
-    number: int
-    dropped: bool
-    evidence: int
+class Element:
+    """An element of a page, numbered as it opens; what lies in it has numbers up to ``last``.
+
+    ``named`` and ``strong`` are the innermost elements, itself included, whose names speak of furniture and do so
+    strongly; ``article`` the innermost article or main of no such name. All are None where there are none. ``path`` numbers
+    the block tags from the root, or all tags where none is a block.
+    """
+
+    __slots__ = ("tag", "number", "parent", "dropped", "evidence", "last", "named", "strong", "article", "path", "in_block")
+
+    def __init__(self, tag: str, number: int, parent: Element | None, dropped: bool, evidence: int):
+        self.tag, self.number, self.parent, self.dropped, self.evidence, self.last = tag, number, parent, dropped, evidence, number
+        self.named = self if evidence else parent and parent.named
+        self.strong = self if evidence > WEAK else parent and parent.strong
+        self.article = self if tag in ("article", "main") and evidence == PLAIN else parent and parent.article
+        self.in_block = tag in BLOCK or bool(parent and parent.in_block)
+        self.path = 0
 
 
 class Piece(NamedTuple):
-    """A run of text, and the elements around it whose names speak of furniture, outermost first."""
+    """A run of text, and the innermost element around it whose name speaks of furniture."""
 
-    named: tuple[int, ...]
+    named: Element | None
     text: str
 
 
 class Block(NamedTuple):
-    path: tuple[str, ...]
-    chain: tuple[int, ...]
+    """A text block: the number of its tag path, that path's last tag, and the innermost element around it."""
+
+    path: int
+    leaf: str
+    inside: Element | None
     text: str
     pieces: tuple[Piece, ...] = ()
 
 
-def is_furniture(tag: str, attributes: str, inside: set[str]) -> bool:
+def is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether the tag, a role or hiding alone makes an element furniture."""
-    if tag in FURNITURE or tag == "header" and not inside & {"article", "main"}:
+    if tag in FURNITURE or tag == "header" and not in_article:
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
     return _attributes(attributes).get("role") in ROLES or _is_hidden(attributes)
 
 
-def named_furniture(tag: str, attributes: str, inside: set[str]) -> int:
+def named_furniture(tag: str, attributes: str, in_article: bool) -> int:
     """What an element's class and id say of it; ``WEAK`` if only loose words do, each with another word behind it."""
     own = _attributes(attributes) if attributes else {}
     tokens = [re.split(r"[^a-z0-9]+", t) for n in ("class", "id") for t in own.get(n, "").split()]
@@ -121,7 +134,7 @@ def named_furniture(tag: str, attributes: str, inside: set[str]) -> int:
                 continue
             last = i + 1 == len(t)
             if w == "header":
-                level = PLAIN if names & OWN_HEADER or inside & {"article", "main"} else STRONG
+                level = PLAIN if names & OWN_HEADER or in_article else STRONG
             elif w in LAYOUT and not last and t[i + 1] in AROUND:
                 level = PLAIN
             elif w in COMMENTS:
@@ -150,29 +163,41 @@ def _plain(pieces: list[Piece] | tuple[Piece, ...]) -> str:
     return " ".join(html.unescape("".join(p.text for p in pieces)).split())
 
 
-def read_blocks(page: str) -> tuple[list[Block], dict[int, Element]]:
+def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
     """Text blocks outside furniture tags, in page order, and all elements by number. Any input is read to its end:
-    unclosed elements end with the page, stray end tags and a cut-off last tag are ignored.
+    unclosed elements end with the page, stray end tags and a cut-off last tag are ignored. The work is in proportion
+    to the page: what a block or tag needs to know of the elements around it is kept while they open and close.
     """
     stack: list[Element] = []
-    elements: dict[int, Element] = {}
+    elements: list[Element] = []
     blocks: list[Block] = []
     pending: list[Piece] = []
+    open_at: dict[str, list[int]] = {}  # depths of the open elements of a tag
+    closers: list[int] = []  # depths of the elements that an opening block tag looks at
+    paths: dict[tuple[int, str], int] = {}
 
     def add(text: str) -> None:
-        pending.append(Piece(tuple(e.number for e in stack if e.evidence), text))
+        pending.append(Piece(stack[-1].named if stack else None, text))
 
     def flush() -> None:
         text = _plain(pending)
         if text:
-            own = [e for e in stack if e.tag in BLOCK] or stack
+            top = stack[-1] if stack else None
+            leaf = top
+            while leaf and leaf.in_block and leaf.tag not in BLOCK:
+                leaf = leaf.parent
             pieces = tuple(pending) if any(p.named for p in pending) else ()
-            blocks.append(Block(tuple(e.tag for e in own), tuple(e.number for e in stack), text, pieces))
+            blocks.append(Block(top.path if top else 0, leaf.tag if leaf else "", top, text, pieces))
         pending.clear()
 
     def close(depth: int) -> None:
         if any(e.tag in BLOCK for e in stack[depth:]):
             flush()
+        for e in reversed(stack[depth:]):
+            e.last = len(elements) - 1
+            open_at[e.tag].pop()
+        while closers and closers[-1] >= depth:
+            closers.pop()
         del stack[depth:]
 
     at = 0
@@ -183,31 +208,40 @@ def read_blocks(page: str) -> tuple[list[Block], dict[int, Element]]:
         if not m:
             break
         at = m.end()
-        tag = (m[2] or "").lower()
+        tag, attributes = (m[2] or m[5] or "").lower(), m[3] or m[6] or ""
         if not tag:
             continue
-        if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            if depth is not None:
-                close(depth)
+        if m[1] or m[4]:
+            if open_at.get(tag):
+                close(open_at[tag][-1])
             continue
         if tag in BLOCK:
-            for i in range(len(stack) - 1, -1, -1):
-                ends, stops = ENDS.get(stack[i].tag, (frozenset(), frozenset()))
-                if tag in ends:
+            for i in reversed(closers):
+                if tag in ENDS.get(stack[i].tag, frozenset()):
                     close(i)
                     break
-                if stack[i].tag in BLOCK and stack[i].tag not in ENDS or stack[i].tag in stops:
+                if stack[i].tag not in ENDS:
                     break
             flush()
         elif tag == "br":
             add(" ")
         if tag in VOID:
             continue
-        inside = {e.tag for e in stack}
-        dropped = bool(stack) and stack[-1].dropped or is_furniture(tag, m[3], inside)
-        element = Element(tag, len(elements), dropped, PLAIN if dropped else named_furniture(tag, m[3], inside))
-        elements[element.number] = element
+        in_article = bool(open_at.get("article") or open_at.get("main"))
+        parent = stack[-1] if stack else None
+        dropped = bool(parent) and parent.dropped or is_furniture(tag, attributes, in_article)
+        element = Element(tag, len(elements), parent, dropped, PLAIN if dropped else named_furniture(tag, attributes, in_article))
+        before = parent.path if parent else 0
+        if tag in BLOCK and not (parent and parent.in_block):
+            before = 0  # tags that are no blocks count only where there are no others
+        if tag in BLOCK or not element.in_block:
+            element.path = paths.setdefault((before, tag), len(paths) + 1)
+        else:
+            element.path = before
+        elements.append(element)
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK or tag in ENDS:
+            closers.append(len(stack))
         stack.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}", re.IGNORECASE).search(page, at)
@@ -215,6 +249,7 @@ def read_blocks(page: str) -> tuple[list[Block], dict[int, Element]]:
                 add(page[at : end.start() if end else len(page)])
             at = end.start() if end else len(page)
     flush()
+    close(0)
     return blocks, elements
 
 
@@ -235,20 +270,34 @@ def content_blocks(blocks: list[Block]) -> list[bool]:
     return [value[p] >= min(cut, best) for p in paths]
 
 
-def _without(blocks: list[Block], gone: set[int]) -> list[Block]:
+def _size(text: str) -> int:
+    return len(" ".join(text.split()))
+
+
+def _outside(e: Element | None, kind: str) -> Element | None:
+    """The next element outwards that speaks of furniture (``named``) or does so strongly (``strong``)."""
+    return getattr(e.parent, kind) if e and e.parent else None
+
+
+def _without(blocks: list[Block], elements: list[Element], gone: set[int]) -> list[Block]:
     """The blocks without the pieces under the elements ``gone``."""
+    if not gone:
+        return blocks
+    under = dict.fromkeys(gone, True)
+    for e in elements:  # outer elements come first
+        if e.evidence and e.number not in under and (outer := _outside(e, "named")) and under.get(outer.number):
+            under[e.number] = True
     out = []
     for b in blocks:
-        if gone.isdisjoint(n for p in b.pieces for n in p.named):
+        pieces = tuple(p for p in b.pieces if not (p.named and p.named.number in under))
+        if len(pieces) == len(b.pieces):
             out.append(b)
-        else:
-            pieces = tuple(p for p in b.pieces if gone.isdisjoint(p.named))
-            if text := _plain(pieces):
-                out.append(b._replace(text=text, pieces=pieces))
+        elif text := _plain(pieces):
+            out.append(b._replace(text=text, pieces=pieces))
     return out
 
 
-def drop_named(blocks: list[Block], elements: dict[int, Element]) -> list[Block]:
+def drop_named(blocks: list[Block], elements: list[Element]) -> list[Block]:
     """The blocks without those of elements that only their names make furniture.
 
     From the outermost inwards, an element is kept if it holds most of the text under article and main, or most of the
@@ -258,42 +307,62 @@ def drop_named(blocks: list[Block], elements: dict[int, Element]) -> list[Block]
     """
     if not any(b.pieces for b in blocks):
         return blocks
-    own = {e.number for e in elements.values() if e.tag in ("article", "main") and e.evidence == PLAIN}
-    runs = []
-    for b in blocks:
-        article = max((e for e in b.chain if e in own), default=-1)  # elements are numbered from the outermost inwards
-        for p in b.pieces or (Piece((), b.text),):
-            runs.append((p.named, len(" ".join(p.text.split())), article))
-    whole = sum(n for _, n, a in runs if a >= 0)
-    strong = [(tuple(e for e in named if elements[e].evidence > WEAK), n, a) for named, n, a in runs]
+    runs = [(p.named, _size(p.text), b.inside and b.inside.article) for b in blocks for p in b.pieces or (Piece(None, b.text),)]
+    whole = sum(n for _, n, article in runs if article)
+    # Text by innermost strong element, and, of that in an article, by the innermost one outside the article.
+    own, inside, held = Counter(), Counter(), Counter()
+    for named, n, article in runs:
+        own[named.strong.number if named and named.strong else -1] += n
+        if article and article.strong:
+            held[article.strong.number] += n
+    strong = [e for e in elements if e.evidence > WEAK]
+    level: dict[int, int] = {}
+    for e in strong:
+        level[e.number] = level[outer.number] + 1 if (outer := _outside(e, "strong")) else 0
+    seen = {e.number for named, *_ in runs for e in ([named.strong] if named and named.strong else [])}
+    for e in reversed(strong):
+        inside[e.number] += own[e.number]
+        if outer := _outside(e, "strong"):
+            inside[outer.number] += inside[e.number]
+            held[outer.number] += held[e.number]
+            if e.number in seen:
+                seen.add(outer.number)
+    by_level: dict[int, list[Element]] = {}
+    for e in strong:
+        if e.number in seen:
+            by_level.setdefault(level[e.number], []).append(e)
     kept: set[int] = set()
     gone: set[int] = set()
-    for depth in range(max(len(named) for named, *_ in strong)):
-        base, inside, held = 0, Counter(), Counter()
-        for named, n, a in strong:
-            if kept.issuperset(named):
-                base += n
-            elif kept.issuperset(named[:depth]):
-                inside[named[depth]] += n
-                held[named[depth]] += n if a > named[depth] else 0
-        times = {e: 9 if whole or elements[e].evidence == THREAD else 1 for e in inside}
-        total = base + inside.total()
-        first = {e for e, n in inside.items() if n > times[e] * (total - n) or 2 * held[e] > whole}
-        base += sum(inside[e] for e in first)
-        kept |= first | {e for e, n in inside.items() if n > times[e] * base}
-        gone |= inside.keys() - kept
-    blocks = _without(blocks, gone)
-    weak, on, held = set(), set(), Counter()
+    base = own[-1]
+    for depth in range(len(by_level)):
+        here = [e for e in by_level[depth] if not (outer := _outside(e, "strong")) or outer.number in kept]
+        total = base + sum(inside[e.number] for e in here)
+        times = {e.number: 9 if whole or e.evidence == THREAD else 1 for e in here}
+        first = {e for e, t in times.items() if inside[e] > t * (total - inside[e]) or 2 * held[e] > whole}
+        outside = base + sum(inside[e] for e in first)
+        now = first | {e for e, t in times.items() if inside[e] > t * outside}
+        gone |= times.keys() - now
+        kept |= now
+        base += sum(own[e] for e in now)
+    blocks = _without(blocks, elements, gone)
+    on, there, held = set(), set(), Counter()
     for b, c in zip(blocks, content_blocks(blocks) if blocks else [], strict=True):
-        article = max((e for e in b.chain if e in own), default=-1)
+        article = b.inside and b.inside.article
         for p in b.pieces:
-            for e in p.named:
-                if elements[e].evidence == WEAK:
-                    weak.add(e)
-                    held[e] += len(" ".join(p.text.split())) if article > e else 0
-                    if c:
-                        on.add(e)
-    return _without(blocks, {e for e in weak - on if 2 * held[e] <= whole})
+            if p.named:
+                there.add(p.named.number)
+                if c:
+                    on.add(p.named.number)
+                if article and article.named:
+                    held[article.named.number] += _size(p.text)
+    for e in reversed(elements):
+        if e.evidence and (outer := _outside(e, "named")):
+            held[outer.number] += held[e.number]
+            for marked in (on, there):
+                if e.number in marked:
+                    marked.add(outer.number)
+    weak = {n for n in there - on if elements[n].evidence == WEAK}
+    return _without(blocks, elements, {n for n in weak if 2 * held[n] <= whole})
 
 
 def main_text(page: str | None) -> str:
@@ -306,31 +375,36 @@ def main_text(page: str | None) -> str:
     if not blocks:
         return ""
     chosen = content_blocks(blocks)
-    held, total = Counter(), Counter()
+    held, total = [0] * len(elements), [0] * len(elements)
     for b, c in zip(blocks, chosen, strict=True):
-        for e in b.chain:
-            total[e] += len(b.text)
-            held[e] += len(b.text) if c else 0
+        if b.inside:
+            total[b.inside.number] += len(b.text)
+            held[b.inside.number] += len(b.text) if c else 0
+    for e in reversed(elements):  # text of an element: its own and that of those inside, which come later
+        if e.parent:
+            total[e.parent.number] += total[e.number]
+            held[e.parent.number] += held[e.number]
     want = 0.9 * sum(len(b.text) for b, c in zip(blocks, chosen, strict=True) if c)
-    around = [e for e in held if held[e] >= want]
-    if not around:
+    around = max((n for n in range(len(elements)) if total[n] and held[n] >= want), default=None)
+    if around is None:
         return "\n\n".join(b.text for b in blocks)
-    chain = next(b.chain for b in blocks if max(around) in b.chain)
-    up = list(chain[: chain.index(max(around)) + 1])
-    article = [e for e in up if elements[e].tag in ("article", "main")]
+    top = elements[around]
+    article = top
+    while article and article.tag not in ("article", "main"):
+        article = article.parent
     if article:
-        top = article[-1]
+        top = article
     else:
-        while len(up) > 1 and elements[up[-2]].tag not in ("html", "body") and total[up[-2]] <= 1.3 * total[up[-1]]:
-            up.pop()
-        top = up[-1]
-        if elements[top].tag in BLOCK and elements[top].tag in ("p", *HEADINGS) and len(up) > 1:
-            top = up[-2]
-    first = start = next(i for i, b in enumerate(blocks) if top in b.chain)
-    while first and blocks[first - 1].path[-1] in HEADINGS:  # a title may stand before the element
+        while top.parent and top.parent.tag not in ("html", "body") and total[top.parent.number] <= 1.3 * total[top.number]:
+            top = top.parent
+        if top.tag in ("p", *HEADINGS) and top.parent:
+            top = top.parent
+    within = [bool(b.inside) and top.number <= b.inside.number <= top.last for b in blocks]
+    first = start = within.index(True)
+    while first and blocks[first - 1].leaf in HEADINGS:  # a title may stand before the element
         first -= 1
     return "\n\n".join(
-        b.text for i, (b, c) in enumerate(zip(blocks, chosen, strict=True)) if c or first <= i < start or top in b.chain)
+        b.text for i, (b, c) in enumerate(zip(blocks, chosen, strict=True)) if c or first <= i < start or within[i])
 
 
 def _extract(page: str):
