@@ -8,10 +8,13 @@ links access identifiers, secrets and endpoints at most ``SCOPE`` code points ap
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -69,16 +72,29 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(kind, start, end) for start, _, kind, end in sorted(found)]
 
 
+class Cover:
+    """Whether a span meets any of a set of spans, found by halving: starts in order, and the greatest end so far."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        ordered = sorted(spans)
+        self.starts = [s for s, _ in ordered]
+        self.ends = list(accumulate((e for _, e in ordered), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
 def parts(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
     """Everything that can be one part of a credential: the strong spans and the weak ones outside them."""
     weak = [(kind, role, *m.span()) for kind, role, pattern in WEAK for m in pattern.finditer(text)]
-    taken = [(s, e) for _, s, e in base] + [(s, e) for *_, s, e in weak]
+    strong = Cover([(s, e) for _, s, e in base])
+    taken = Cover([(s, e) for _, s, e in base] + [(s, e) for *_, s, e in weak])
     for m in TOKEN.finditer(text):
-        token, inside = m.group(), any(s < m.end() and m.start() < e for s, e in taken)
-        if not inside and re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token) and len(set(token)) >= 10:
+        token = m.group()
+        if not taken.meets(*m.span()) and re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token) and len(set(token)) >= 10:
             weak.append(("weak_token", "secret", *m.span()))
-    outside = [w for w in weak if not any(s < w[3] and w[2] < e for _, s, e in base)]
-    return [(k, BASE_ROLE[k], s, e) for k, s, e in base] + outside
+    return [(k, BASE_ROLE[k], s, e) for k, s, e in base] + [w for w in weak if not strong.meets(w[2], w[3])]
 
 
 def _long_runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,18 +216,29 @@ def span_text(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _cut_out(text: str, spans: list[dict], sign: str) -> str:
+    kept, at = [], 0
+    for s in spans:
+        if s["end"] > at:
+            if s["start"] >= at:
+                kept += [text[at : s["start"]], sign]
+            at = s["end"]
+    return "".join([*kept, text[at:]])
+
+
 def redact(scanned: DataFrame, text: str = "text", sign: str = "[secret]") -> DataFrame:
     """``text`` with every span replaced by ``sign``; overlapping spans are one. Rows and columns stay."""
-    plain = F.aggregate(
-        "spans", F.struct(F.lit("").alias("done"), F.lit(0).alias("at")),
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
-            F.when(s["start"] < a["at"], a["done"]).otherwise(F.concat(
-                a["done"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(sign))).alias("done"),
-            s["end"].alias("at"),
-        )),
-    )
-    cut = F.when(F.size("spans") > 0, plain)
-    return scanned.withColumn("__cut", cut).withColumn(
-        text, F.when(F.size("spans") > 0, F.concat("__cut.done", F.substring(
-            F.col(text), F.col("__cut.at") + 1, F.length(text)))).otherwise(F.col(text))
-    ).drop("__cut")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, spans = batch.schema.get_field_index(text), batch.column("spans")
+            found = pc.list_value_length(spans).to_numpy(zero_copy_only=False) > 0
+            if not found.any():
+                yield batch
+                continue
+            column = batch.column(at).to_pylist()
+            for i in np.flatnonzero(found).tolist():
+                column[i] = _cut_out(column[i], spans[i].as_py(), sign)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(column, batch.schema.field(at).type))
+
+    return scanned.mapInArrow(cut, scanned.schema)
