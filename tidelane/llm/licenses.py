@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -34,6 +34,37 @@ TEMPLATES = {
     "cc-by-nc": "licensed under cc by nc 4.0",
     "cc-by-sa": "licensed under cc by sa 4.0",
     "warranty": "the software is provided as is without warranty of any kind express or implied",
+    # Whole notices, as they stand in files.
+    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    "associated documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+    "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+    "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+    "the Software.",
+    "bsd-3-text": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its "
+    "contributors may be used to endorse or promote products derived from this software without specific prior written "
+    "permission.",
+    "apache-2.0-text": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+    "in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+    "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+    "specific language governing permissions and limitations under the License.",
+    "gpl-3-text": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+    "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+    "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+    "General Public License for more details.",
+    "isc-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "disclaimer-text": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+    "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT "
+    "SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+    "THE SOFTWARE.",
 }
 LONG = 4
 MERGE = 3
@@ -99,41 +130,26 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id", phra
 
 
 def _spans(diagonals: DataFrame, share: float) -> DataFrame:
-    """Spans from the diagonals of one text and template, in order: whole ones of a phrase; those of a long template
-    cut where they lie more than ``MERGE`` apart. Each array is folded by itself; none holds more than one text's.
+    """Spans from the diagonals of one text and template: whole ones of a phrase; those of a long template merged in
+    order and cut where they lie more than ``MERGE`` apart, by a running count of the cuts.
     """
-    ordered = diagonals.groupBy("key", "text_hash", "label", "exact", "n", "k").agg(
-        F.array_sort(F.collect_list(F.struct("diagonal", "ats"))).alias("ds")
-    )
-
-    def group(lo, hi, ats):
-        return F.struct(lo.alias("lo"), hi.alias("hi"), ats.alias("ats"))
-
-    whole = F.transform(
-        F.filter("ds", lambda d: F.size(d["ats"]) == F.col("n") - F.col("k") + 1),
-        lambda d: group(d["diagonal"], d["diagonal"], d["ats"]),
-    )
-    opened = F.col("ds").getItem(0)
-    merged = F.aggregate(
-        F.expr("slice(ds, 2, size(ds))"),
-        F.array(group(opened["diagonal"], opened["diagonal"], opened["ats"])),
-        lambda acc, d: F.when(
-            d["diagonal"] - F.element_at(acc, -1)["hi"] <= MERGE,
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(group(
-                F.element_at(acc, -1)["lo"], d["diagonal"], F.array_union(F.element_at(acc, -1)["ats"], d["ats"])
-            ))),
-        ).otherwise(F.concat(acc, F.array(group(d["diagonal"], d["diagonal"], d["ats"])))),
-    )
-    k = F.col("k")
-    covered = F.size(F.array_distinct(F.flatten(F.transform("g.ats", lambda a: F.sequence(a, a + k - 1)))))
+    own, k = ["key", "text_hash", "label", "exact", "n", "k"], F.col("k")
+    whole = diagonals.where(F.col("exact") & (F.size("ats") == F.col("n") - k + 1)).select(
+        *own, F.col("diagonal").alias("lo"), F.col("diagonal").alias("hi"), "ats")
+    order = Window.partitionBy("key", "text_hash", "label").orderBy("diagonal")
+    cut = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > MERGE, F.lit(True)).cast("int")
+    numbered = diagonals.where(~F.col("exact")).withColumn("cut", cut).withColumn(
+        "part", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = numbered.groupBy(*own, "part").agg(
+        F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"), F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + k - 1)))))
     return (
-        ordered.select("key", "text_hash", "label", "exact", "n", "k",
-                       F.explode(F.when(F.col("exact"), whole).otherwise(merged)).alias("g"))
+        whole.unionByName(merged.drop("part"))
         .withColumn("score", covered / F.col("n"))
         .where(F.col("score") >= share)
         .select(
-            "key", "text_hash", "label", "exact", (F.col("g.lo") + F.array_min("g.ats")).cast("long").alias("first_word"),
-            (F.col("g.hi") + F.array_max("g.ats") + k - 1).cast("long").alias("last_word"), "score",
+            "key", "text_hash", "label", "exact", (F.col("lo") + F.array_min("ats")).cast("long").alias("first_word"),
+            (F.col("hi") + F.array_max("ats") + k - 1).cast("long").alias("last_word"), "score",
         )
     )
 
