@@ -29,7 +29,11 @@ UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 #: Stands for a letter of no piece where pairs of pieces are merged.
 UNKNOWN_LETTER = "\ufffe"
-CACHE = 300_000
+#: Bytes of inputs and results that a cache holds, and the longest input it keeps.
+CACHE_BYTES = 64 << 20
+CACHED_LETTERS = 64
+#: What an entry takes besides its own bytes.
+ENTRY_BYTES = 150
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -58,16 +62,21 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class Cache(dict):
-    """Results by input, computed when missing; emptied when it holds ``CACHE`` of them."""
+    """Results by input, computed when missing; emptied when it holds ``CACHE_BYTES``. Long inputs are not kept."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.held = make, 0
 
     def __missing__(self, key):
-        if len(self) >= CACHE:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        letters = len(key) if isinstance(key, str) else 1
+        if letters <= CACHED_LETTERS:
+            if self.held >= CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self[key] = value
+            self.held += ENTRY_BYTES + 4 * letters + (len(value) if isinstance(value, bytes) else 0)
         return value
 
 
