@@ -210,4 +210,4 @@ def test_every_query_is_registered():
 
     names = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))

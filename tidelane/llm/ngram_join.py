@@ -122,11 +122,11 @@ def _named(n: int):
 
 
 def _sketch(n: int, key: str, text: str):
-    names = ["doc_id", "n", "f1", "f2", "bands"]
+    names = ["doc_id", "t", "n", "f1", "f2", "bands"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(key)
+            ids, names_of = batch.column(key), batch.column("t")
             for chunk in chunks(batch.column(text)):
                 grams, first = distinct_grams(*shingles(words(chunk), n))
                 count = np.diff(first)
@@ -137,8 +137,8 @@ def _sketch(n: int, key: str, text: str):
                     bands = band_keys(min_hashes(grams, first[:-1][full]))
                 begin = np.concatenate([[0], np.cumsum(np.where(count > 0, BANDS, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(chunk.lo, chunk.hi - chunk.lo), pa.array(count.astype(np.int64)),
-                    *[pa.array(s) for s in sums],
+                    ids.slice(chunk.lo, chunk.hi - chunk.lo), names_of.slice(chunk.lo, chunk.hi - chunk.lo),
+                    pa.array(count.astype(np.int64)), *[pa.array(s) for s in sums],
                     pa.ListArray.from_arrays(pa.array(begin), pa.array(bands.ravel().view(np.int64))),
                 ], names)
 
@@ -322,8 +322,13 @@ def _name(*columns: str) -> Column:
     return F.concat(*[F.unhex(F.lpad(F.hex(F.col(c).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")) for c in columns])
 
 
+def row_name(text: str) -> Column:
+    """What tells rows of one key apart: a hash of the text."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = N,
-                 threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+                 threshold: tuple[int, int] = THRESHOLD, mark_first: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``key, class_id, rep_id, n_copies, n_links``.
 
     ``rep_id``: the least key among documents with the same set of word n-grams, ``n_copies`` how many those are.
@@ -332,16 +337,21 @@ def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: in
     one n-gram. A text without words, or a row without a key, is in no class: ``class_id`` and ``rep_id`` are its key,
     with one copy and no link. ``key`` must be an integer; rows that share it count as copies of one document if their
     texts are equal. Other columns are ignored.
+
+    ``mark_first`` adds ``row_name`` (:func:`row_name`, which with the key names a row) and ``is_first``: whether the row
+    is the one to keep of its connected documents, that of the least key and then name. A repeated row is marked like
+    the row it repeats; a row in no class is its own first.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                         row_name(text).alias("t"))
     path = new_shared_path(spark, "sketches")
-    source.mapInArrow(_sketch(n, "doc_id", "text"), "doc_id long, n long, f1 long, f2 long, bands array<long>").write.parquet(path)
+    source.mapInArrow(_sketch(n, "doc_id", "text"), "doc_id long, t long, n long, f1 long, f2 long, bands array<long>").write.parquet(path)
     sketch = spark.read.parquet(path)
     path = new_shared_path(spark, "classes")
     sketch.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")
-    ).withColumn("rep", _name("least", "f1", "f2", "n")).write.parquet(path)
+        F.min(F.struct("doc_id", "t")).alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")
+    ).select("f1", "f2", "n", "n_copies", "bands", F.col("least.doc_id").alias("least"), F.col("least.t").alias("least_t")).withColumn("rep", _name("least", "f1", "f2", "n")).write.parquet(path)
     classes = spark.read.parquet(path)
 
     found = classes.select("rep", "n", F.posexplode("bands").alias("band", "bucket"))
@@ -360,7 +370,7 @@ def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: in
     # Always a sorted join: the texts are shuffled once at every size, so that a small run shows what a large one needs.
     # A class has one row there, whatever rows repeat: they are folded before the shuffle and again behind it.
     own = ["doc_id", "f1", "f2", "n"]
-    texts = source.mapInArrow(_named(n), "doc_id long, f1 long, f2 long, n long, text string")
+    texts = source.select("doc_id", "text").mapInArrow(_named(n), "doc_id long, f1 long, f2 long, n long, text string")
     listed = spark.read.parquet(path).join(classes.select("rep", F.col("least").alias("doc_id"), "f1", "f2", "n"), "rep")
     once = texts.join(listed.hint("merge"), own).dropDuplicates(own).select("rep", "text", "buckets")
     units = once.mapInArrow(_members(n), _UNIT)
@@ -375,11 +385,15 @@ def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", n: in
     counted = links.groupBy("rep").agg(F.sum("links").alias("n_links"))
     named = classes.drop("bands").join(counted, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left").select(
         "f1", "f2", "n", least(F.coalesce("group", "rep")).alias("class_id"), F.col("least").alias("rep_id"), "n_copies",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "least_t",
+        (F.coalesce("group", "rep") == F.col("rep")).alias("leads"),
     )
+    columns = ["doc_id", "class_id", "rep_id", "n_copies", "n_links", *(["row_name", "is_first"] if mark_first else [])]
+    none = F.lit(0).cast("long")
     alone = sketch.where("n = 0 or doc_id is null").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(1).cast("long").alias("n_copies"),
-        F.lit(0).cast("long").alias("n_links"))
-    return sketch.where("n > 0 and doc_id is not null").select("doc_id", "f1", "f2", "n").join(
-        named, ["f1", "f2", "n"]).select("doc_id", "class_id", "rep_id", "n_copies", "n_links").unionByName(alone
-    ).withColumnRenamed("doc_id", key)
+        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), (none + 1).alias("n_copies"),
+        none.alias("n_links"), F.col("t").alias("row_name"), F.lit(True).alias("is_first"))
+    first = F.col("leads") & (F.col("doc_id") == F.col("rep_id")) & (F.col("t") == F.col("least_t"))
+    joined = sketch.where("n > 0 and doc_id is not null").select("doc_id", "t", "f1", "f2", "n").join(named, ["f1", "f2", "n"])
+    joined = joined.withColumn("is_first", first).withColumnRenamed("t", "row_name")
+    return joined.select(columns).unionByName(alone.select(columns)).withColumnRenamed("doc_id", key)
