@@ -622,14 +622,14 @@ def irregular_intervals(spark, d):
     return op.irregular_intervals(events(spark, d), TS)
 
 
-def regularity_sql(ts: str, source: str, median: str = "median(s)") -> str:
+def regularity_sql(ts: str, source: str, median: str = "median(s)", digits: int = 6) -> str:
     return f"""with g as (select (epoch_us({ts}) - lag(epoch_us({ts})) over (order by {ts})) / 1000000.0::double as s from {source}),
        m as (select avg(s) as a, stddev_samp(s) as b, count(s) as n from g)
-       select (select count(*) from {source}) as rows, n as intervals, round(a, 6) as mean_s, round(b, 6) as std_s,
+       select (select count(*) from {source}) as rows, n as intervals, round(a, {digits}) as mean_s, round(b, {digits}) as std_s,
          (select {median} from g) as median_s, (select min(s) from g) as min_s, (select max(s) from g) as max_s,
          (select count(*) - count(distinct {ts}) from {source}) as duplicates,
          (select count(*) from g where abs(s - a) > 2 * b) as irregular,
-         round(100.0 * (select count(*) from g where abs(s - a) > 2 * b) / n, 6) as irregular_pct from m"""
+         round(100.0 * (select count(*) from g where abs(s - a) > 2 * b) / n, {digits}) as irregular_pct from m"""
 
 
 @query(regularity_sql("ts", "events"))
@@ -652,12 +652,12 @@ def sampling_interval(spark, d):
     return op.sampling_interval(df, TS)
 
 
-def completeness_sql(ts: str, source: str, median: str = "median(s)") -> str:
+def completeness_sql(ts: str, source: str, median: str = "median(s)", digits: int = 6) -> str:
     return f"""with g as (select (epoch_us({ts}) - lag(epoch_us({ts})) over (order by {ts})) / 1000000.0::double as s from {source}),
        m as (select {median} as med from g),
        t as (select (epoch_us(max({ts})) - epoch_us(min({ts}))) / 1000000.0::double as span, count(*) as n from {source})
-       select span as time_range_s, med as median_s, round(span / med, 6) as expected_points, n as actual_points,
-         round(100.0 * n / (span / med), 6) as completeness_pct, (select count(*) from g, m where s > 5 * med) as large_gaps
+       select span as time_range_s, med as median_s, round(span / med, {digits}) as expected_points, n as actual_points,
+         round(100.0 * n / (span / med), {digits}) as completeness_pct, (select count(*) from g, m where s > 5 * med) as large_gaps
        from t, m where med > 0"""
 
 
@@ -1418,7 +1418,7 @@ def long_sql(check: str, item: str, metrics: dict[str, str], source: str) -> str
     return f"select '{check}' as \"check\", {item} as item, unnest([{entries}]) as e from {source}"
 
 
-def audit_sql(source: str = "events", median: str = "median(s)") -> str:
+def audit_sql(source: str = "events", median: str = "median(s)", digits: int = 6) -> str:
     from tidelane.operators.validate import PRODUCT_RANGES
 
     same = lambda *names: {n: n for n in names}
@@ -1433,7 +1433,7 @@ def audit_sql(source: str = "events", median: str = "median(s)") -> str:
                  "(select datetime_utc as t, lag(datetime_utc) over (order by event_id) as p from audited) where t < p")
     )
     regular = ["rows", "intervals", "mean_s", "median_s", "std_s", "min_s", "max_s", "duplicates", "irregular", "irregular_pct"]
-    parts.append(long_sql("regularity", "null", same(*regular), f"({regularity_sql('datetime_utc', 'audited', median)})"))
+    parts.append(long_sql("regularity", "null", same(*regular), f"({regularity_sql('datetime_utc', 'audited', median, digits)})"))
     for c in AUDIT_COLUMNS:
         if c in PRODUCT_RANGES:
             lo, hi = PRODUCT_RANGES[c]
@@ -1450,7 +1450,7 @@ def audit_sql(source: str = "events", median: str = "median(s)") -> str:
         odd = "count(*) filter (abs(x - m) > 1.5 * nullif(s, 0))"
         parts.append(long_sql("outliers", f"'{c}'", {"outliers": odd, "percent": f"100.0 * {odd} / count(*)"}, rolled))
     complete = ["time_range_s", "median_s", "expected_points", "actual_points", "completeness_pct", "large_gaps"]
-    parts.append(long_sql("completeness", "null", same(*complete), f"({completeness_sql('datetime_utc', 'audited', median)})"))
+    parts.append(long_sql("completeness", "null", same(*complete), f"({completeness_sql('datetime_utc', 'audited', median, digits)})"))
     blanks = " + ".join(f"(count(*) - count({c}))" for c in AUDIT_COLUMNS)
     n = len(AUDIT_COLUMNS)
     distinct = "(select count(*) from (select distinct * from audited))"
@@ -1478,7 +1478,7 @@ def audit_series(spark, d):
     return out.withColumn("value", F.round("value", 5))
 
 
-@query("select * from (" + by_vessel_sql(lambda source: audit_sql(source, EXACT_MEDIAN)) + """) where not ("check" in ('non_monotonic', 'jumps') and value = 0)""")
+@query("select * from (" + by_vessel_sql(lambda source: audit_sql(source, EXACT_MEDIAN, 12)) + """) where not ("check" in ('non_monotonic', 'jumps') and value = 0)""")
 def audit_by_key(spark, d):
     """The audit of each vessel's series; counts of rows found are given where there are some."""
     reports = op.audit_series(audited(vessels(events(spark, d))), TS, arrival="event_id", k=1.5, keys=["vessel"])
