@@ -1,8 +1,9 @@
 """Source divergence audit: how differently the sources of a language use its frequent terms.
 
-Identical texts of a language are folded first, with the number of times each source has them, and each is cut into
-terms once, whatever its copies. Its counts and its presence, times those numbers, are added up by (language, source,
-term); document frequencies are sums of the presences. From there on all work is on counts.
+Identical texts of a language are folded first, in the task that reads them and then in one exchange, with the number
+of times each source has them, and each is cut into terms once, whatever its copies. Its counts and its presence, times
+those numbers, are added up by (language, source, term) in a second exchange by language and term, behind which the
+document frequencies are known too: only kept terms leave it. From there on all work is on their counts.
 
 Two sources are compared through the terms that both have. A term that a source does not have has there the
 probability of a count of zero, the same for all such terms, so the sum over all kept terms follows from sums over the
@@ -78,15 +79,32 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.table(dict(zip(names, columns, strict=True))).combine_chunks().to_batches()
 
 
-def count_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences of a term and documents with it. Null values count as ''."""
+def _fold_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal rows of a batch once, with their number ``m``: however hot a text is, a batch sends it on once a source."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch]).group_by(["lang", "text", "source"]).aggregate([([], "count_all")])
+        yield from table.rename_columns(["lang", "text", "source", "m"]).combine_chunks().to_batches()
+
+
+def count_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
+                min_docs: int = MIN_DOCS) -> DataFrame:
+    """``lang, source, term, n, n_lang``: occurrences in the source and in the language of the terms that at least
+    ``min_docs`` documents of the language have. Null values count as ''.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    copies = docs.select(plain(lang).alias("lang"), plain(text).alias("text"), plain(source).alias("source")).groupBy(
-        "lang", "text", "source").agg(F.count(F.lit(1)).alias("m"))
-    folded = copies.where(F.col("text").rlike(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]")).groupBy("lang", "text").agg(
+    rows = docs.select(plain(lang).alias("lang"), plain(text).alias("text"), plain(source).alias("source"))
+    copies = rows.where(F.col("text").rlike(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]")).mapInArrow(
+        _fold_copies, "lang string, text string, source string, m long")
+    # Both groupings below need no exchange of their own: rows of a text, or of a term, are in one partition by then.
+    folded = copies.repartition(parts, "lang", "text").groupBy("lang", "text").agg(
         F.collect_list(F.struct("source", "m")).alias("sources"))
     counted = folded.mapInArrow(_count_terms, "lang string, source string, term string, n long, docs long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    summed = counted.repartition(parts, "lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    whole = Window.partitionBy("lang", "term")
+    summed = summed.withColumns({"n_lang": F.sum("n").over(whole), "docs_lang": F.sum("docs").over(whole)})
+    return summed.where(F.col("docs_lang") >= min_docs).select("lang", "source", "term", "n", "n_lang")
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -117,11 +135,9 @@ def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", s
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    terms = stored(count_terms(docs, text, lang, source), "terms")
-    kept = stored(terms.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs")).where(
-        F.col("docs") >= min_docs).drop("docs"), "kept")
-    sizes = kept.groupBy("lang").agg(F.sum("n_lang").alias("total_lang"), F.count(F.lit(1)).alias("kept"))
-    used = terms.drop("docs").join(kept, ["lang", "term"])
+    used = stored(count_terms(docs, text, lang, source, min_docs), "terms")
+    sizes = used.groupBy("lang", "term").agg(F.max("n_lang").alias("n_lang")).groupBy("lang").agg(
+        F.sum("n_lang").alias("total_lang"), F.count(F.lit(1)).alias("kept"))
     held = used.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("own"))
     plain = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     groups = docs.select(plain(lang).alias("lang"), plain(source).alias("source")).distinct().join(
