@@ -213,7 +213,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     rows = labelled.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(key, lang).alias("h"))
     share = rows.groupBy("lang").agg((F.lit(4.0 * per_language) / F.count(F.lit(1))).alias("share"))
     spread = F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = rows.join(share, "lang").where(spread < F.col("share")).select("key", "lang", "h").distinct()
+    # One row for each language, as the driver holds their names anyway: broadcast, the thinning comes before any exchange.
+    some = rows.join(F.broadcast(share), "lang").where(spread < F.col("share")).select("key", "lang", "h").distinct()
     first = Window.partitionBy("lang").orderBy("h", "key")
     picked = some.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
     place = F.pmod(F.col("h"), F.greatest(F.length("text") - chars, F.lit(1))).cast("int") + 1
