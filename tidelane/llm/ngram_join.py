@@ -7,7 +7,9 @@ threshold falls below ``TOLERANCE``; the rest are verified on the whole sets.
 
 No pair is ever a row. Buckets with the same members are kept once; a bucket's members meet in a task, large buckets
 as pairs of blocks of bounded size; a pair counts in the first bucket its two share. A task gives each member's number of
-links and the least member it is linked to through others, and these few edges are joined to groups.
+links and the least member it is linked to through others, and these few edges are joined to groups. A member of a
+bucket of m different classes is sent, with its n-grams, to m / ``BLOCK_ROWS`` tasks, since every pair of them may be a link
+that has to be counted: the work of one bucket grows with the square of its classes, in tasks of bounded size.
 """
 
 from __future__ import annotations
