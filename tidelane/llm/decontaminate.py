@@ -15,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelane.llm.words import chunks, code_points, hash_words, words
-from tidelane.session import shared_folder
+from tidelane.session import new_shared_path
 
 WINDOW = 13
-MAX_BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text in one automaton.
+MAX_BLOCK_BYTES = 1 << 20
 _built: dict[str, tuple[np.ndarray, object, int]] = {}
 
 
@@ -78,10 +79,10 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     Columns of these four names in ``docs`` are replaced.
 
     The windows travel to the executors, so the benchmark's size is measured first: above ``max_block_bytes`` of
-    text it is split by hash into blocks of about that size, each with an automaton and a pass of its own whose
-    rows are written before the next.
+    text, which a worker holds as some 140 MB of automaton, it is split by hash into blocks of about that size. Each has a
+    scan of its own that writes only the hits, by a hash of the text, and a last pass joins them to the rows.
     """
-    shared_folder(docs.sparkSession)
+    spark = docs.sparkSession
     benchmark = benchmark.select(F.col(item).alias("item"), F.col(item_text).cast("string").alias("item_text"))
     held = benchmark.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0)).alias("n")).first()["n"]
     blocks = 1 + held // max_block_bytes
@@ -89,36 +90,88 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
         "n_words": F.lit(0).cast("long"), "hit_runs": F.array().cast("array<array<int>>"),
         "hit_items": F.array().cast("array<string>"), "hit_spans": F.array().cast("array<string>"),
     })
+
+    def machine(own: DataFrame):
+        return spark.sparkContext.broadcast(windows([(r["item"], r["item_text"]) for r in own.collect()], size))
+
+    if blocks == 1:
+        return out.mapInArrow(_marker(machine(benchmark), text), out.schema)
+    name = {"t1": F.xxhash64(F.col(text)), "t2": F.xxhash64(F.lit(1), F.col(text))}
+    texts = docs.select(F.col(text).cast("string").alias("text")).where("text is not null").withColumns(
+        {"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text")})
+    paths = []
     for b in range(blocks):
-        own = benchmark.where(F.pmod(F.xxhash64("item_text"), F.lit(blocks)) == b) if blocks > 1 else benchmark
-        patterns = windows([(r["item"], r["item_text"]) for r in own.collect()], size)
-        out = out.mapInArrow(_marker(docs.sparkSession.sparkContext.broadcast(patterns), text, b), out.schema)
-        if b + 1 < blocks:
-            out = out.checkpoint()
-    return out
+        own = benchmark.where(F.pmod(F.xxhash64("item_text"), F.lit(blocks)) == b)
+        paths.append(new_shared_path(spark, "hits"))
+        texts.mapInArrow(_hits(machine(own)), _HITS).distinct().write.parquet(paths[-1])
+    found = spark.read.parquet(*paths).groupBy("t1", "t2").agg(
+        F.flatten(F.collect_list("hit_runs")).alias("__runs"), F.array_distinct(F.flatten(F.collect_list("hit_items"))).alias("__items"))
+    found = found.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "__runs", "__items")
+    joined = out.join(found, (name["t1"] == F.col("__t1")) & (name["t2"] == F.col("__t2")), "left").withColumns(
+        {"hit_runs": F.coalesce("__runs", "hit_runs"), "hit_items": F.coalesce("__items", "hit_items")})
+    marked = joined.select(out.columns)
+    return marked.mapInArrow(_marker(None, text), out.schema)
+
+
+_HITS = "t1 long, t2 long, hit_runs array<array<int>>, hit_items array<string>"
 
 
-def _marker(sent, text: str, block: int):
+def _numbers(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The automaton's numbers of words, 0 for those it does not know."""
+    if not len(vocabulary):
+        return np.zeros(len(hashes), np.int64)
+    at = np.searchsorted(vocabulary, hashes)
+    known = vocabulary[np.minimum(at, len(vocabulary) - 1)] == hashes
+    return np.where(known, at + 1, 0)
+
+
+def _hits(sent):
+    """Runs and items of the texts that one block of the benchmark hits."""
     key = uuid.uuid4().hex
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, machine, shortest = automaton(key, sent.value)
+        for batch in batches:
+            rows, found_runs, found_items = [], [], []
+            for chunk in chunks(batch.column("text")):
+                w = words(chunk)
+                numbers = _numbers(vocabulary, w.hash)
+                for i in range(chunk.hi - chunk.lo):
+                    flags, items = scan(numbers[w.first[i] : w.first[i + 1]], machine, shortest)
+                    if flags.any():
+                        rows.append(chunk.lo + i)
+                        found_runs.append(runs(flags))
+                        found_items.append(sorted(items))
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("t1").take(take), batch.column("t2").take(take),
+                 pa.array(found_runs, pa.list_(pa.list_(pa.int32()))), pa.array(found_items, pa.list_(pa.string()))],
+                ["t1", "t2", "hit_runs", "hit_items"])
+
+    return hits
+
+
+def _marker(sent, text: str):
+    """The four columns, from the one automaton or, without it, from the hits that are there already."""
+    key = uuid.uuid4().hex
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, machine, shortest = automaton(key, sent.value) if sent else (None, None, 0)
         for batch in batches:
             counts, hit_runs, hit_items, spans = [], [], [], []
-            before = [batch.column(c).to_pylist() for c in ("hit_runs", "hit_items")] if block else None
+            before = None if sent else [batch.column(c).to_pylist() for c in ("hit_runs", "hit_items")]
             for chunk in chunks(batch.column(text)):
                 w = words(chunk)
-                at = np.searchsorted(vocabulary, w.hash) if len(vocabulary) else np.zeros(len(w.hash), int)
-                known = vocabulary[np.minimum(at, len(vocabulary) - 1)] == w.hash if len(vocabulary) else at > 0
-                numbers = np.where(known, at + 1, 0)
+                numbers = _numbers(vocabulary, w.hash) if sent else None
                 points = None
                 for i in range(chunk.hi - chunk.lo):
                     a, b = w.first[i], w.first[i + 1]
-                    flags, items = scan(numbers[a:b], machine, shortest)
-                    if before:
+                    if sent:
+                        flags, items = scan(numbers[a:b], machine, shortest)
+                    else:
+                        flags, items = np.zeros(b - a, bool), set(before[1][chunk.lo + i])
                         for x, y in before[0][chunk.lo + i]:
                             flags[x:y] = True
-                        items |= set(before[1][chunk.lo + i])
                     found = runs(flags)
                     if found and points is None:
                         points = code_points(chunk.data)
