@@ -33,8 +33,11 @@ PERIOD = 25
 #: Rows of anchor occurrences that are sorted together, and strings held at once.
 BLOCK_ROWS = 4096
 BLOCK_STRINGS = 1 << 20
-#: Anchors with more different spans than this are counted string by string in Spark instead of in one task.
+#: Anchors with more different spans than this are counted string by string in Spark instead of in one task: a bucket of
+#: so many spans, sorted, takes a worker some 250 MB, and the count gives the same result.
 HOT_SPANS = 20_000
+#: Texts that a task remembers to fold repeats before they are shuffled.
+SEEN = 1 << 18
 PLACE_BITS = 24
 PIECE = 1 << 23
 
@@ -126,6 +129,19 @@ def _contexts(size: int):
     return contexts
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose text the task has not sent on yet (of those it remembers), so that a hot text is shuffled once a task."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        keep = []
+        for i, name in enumerate(zip(batch.column("t1").to_pylist(), batch.column("t2").to_pylist(), strict=True)):
+            if name not in seen:
+                keep.append(i)
+                if len(seen) < SEEN:
+                    seen.add(name)
+        yield batch.take(pa.array(keep, pa.int64()))
+
+
 def _words(table: np.ndarray) -> list[np.ndarray]:
     """Rows of bytes as big-endian numbers, most significant first, padded with zeros."""
     wide = np.zeros((len(table), -(-table.shape[1] // 8) * 8), np.uint8)
@@ -294,6 +310,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
     Texts are bytes in UTF-8 (null: empty); a string never crosses texts. ``size`` must be a multiple of ``PERIOD``,
     over ``GRAM``. ``n_spans``: maximal removed runs. ``kept`` is null where nothing is removed, else the bytes that
     remain, which may begin or end within a character. Repeated rows repeat each other. Other columns are ignored.
+    Anchors with over ``hot`` different spans are counted instead of sorted (see ``HOT_SPANS``); the result is the same.
     """
     if size % PERIOD or size <= GRAM or size < 4 * PERIOD:
         raise ValueError(f"size must be a multiple of {PERIOD} over {GRAM}")
@@ -329,7 +346,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
     listed = repeated.select("t1", "t2").distinct().join(runs, ["t1", "t2"], "left").select(
         "t1", "t2", F.coalesce("runs", F.array().cast(
             "array<struct<h:bigint,a:bigint,dl:int,dr:int,c:bigint,m:bigint,open:boolean>>")).alias("runs"))
-    texts = stored(source.select("t1", "t2", "text").join(listed, ["t1", "t2"]), "texts")
+    once = source.where(F.octet_length("text") >= size).select("t1", "t2", "text").mapInArrow(_once, "t1 long, t2 long, text string")
+    # A sorted join at every size: its rows are in place for folding what several tasks sent.
+    texts = stored(once.join(listed.hint("merge"), ["t1", "t2"]).dropDuplicates(["t1", "t2"]), "texts")
 
     def contexts(which) -> DataFrame:
         chosen = texts.withColumn("runs", F.filter("runs", which)).where(F.size("runs") > 0)
@@ -348,7 +367,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
     per_text = spans.groupBy("t1", "t2").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     cut = texts.select("t1", "t2", "text").join(per_text, ["t1", "t2"]).mapInArrow(
         _cut, "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    cut = (cut if keep_bytes else cut.drop("kept")).dropDuplicates(["t1", "t2"])
+    cut = cut if keep_bytes else cut.drop("kept")
     rows = source.select("doc_id", "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"),
                          F.sha2(F.col("text").cast("binary"), 256).alias("all_sha256"))
     return rows.join(cut, ["t1", "t2"], "left").select(
