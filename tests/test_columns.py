@@ -1,10 +1,11 @@
+import os
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidelane import operators as op
-from tidelane.functions import add_corrected_ph, duration_us, normalize_time, time_shift
+from tidelane.functions import add_corrected_ph, chemistry, duration_us, normalize_time, time_shift
 
 BASE = datetime(2025, 8, 13)
 TS = "datetime_utc"
@@ -128,6 +129,17 @@ def test_ph(spark, volts, ph):
     assert add_corrected_ph(df, -1.3944286, -0.00107).first().ph_corrected == pytest.approx(ph, abs=1e-6)
 
 
+def test_seawater_constants_against_published_values(spark):
+    """Dickson, Sabine and Christian (2007), Guide to best practices for ocean CO2 measurements, chapter 5, at salinity
+    35 and 25 C: chloride and sulfate of standard seawater, ionic strength, ln of the bisulfate constant."""
+    salt, temp = F.lit(35.0), F.lit(25.0)
+    row = spark.range(1).select(
+        chemistry.total_chloride(salt), chemistry.total_sulfate(salt), chemistry.ionic_strength(salt),
+        chemistry.ln_bisulfate_constant(temp, salt),
+    ).first()
+    assert [round(v, n) for v, n in zip(row, (5, 5, 3, 2), strict=True)] == [0.54586, 0.02824, 0.723, -2.30]
+
+
 def test_ph_without_inputs(spark):
     df = spark.createDataFrame([(-0.9, None, 32.0), (-0.9, 20.0, 0.0)], "vrse double, temperature double, salinity double")
     assert [r.ph_corrected for r in add_corrected_ph(df, -1.39, -0.001).collect()] == [None, None]
@@ -145,3 +157,15 @@ def test_grid_blocks(spark, monkeypatch):
     floored = [r[0] for r in op.time_grid(bounds, 30, floored=True).orderBy(TS).collect()]
     assert floored == [at(30 * i) for i in range(5)]
     assert op.time_grid(bounds.where("false"), 3).count() == 0
+
+
+def test_shared_tables_are_cleared(spark):
+    from tidelane.session import clear_shared, new_shared_path, shared_mark
+
+    mark = shared_mark()
+    path = new_shared_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    new_shared_path(spark, "never-written")
+    assert spark.read.parquet(path).count() == 3
+    assert clear_shared(spark, mark) == 1 and shared_mark() == mark
+    assert not os.path.exists(path.removeprefix("file://"))

@@ -11,37 +11,57 @@ FARADAY = 96485.33212
 ZERO_CELSIUS = 273.15
 
 
+def dilution(salt: Column) -> Column:
+    """Kilograms of water in a kilogram of seawater."""
+    return F.lit(1.0) - F.lit(0.001005) * salt
+
+
+def ionic_strength(salt: Column) -> Column:
+    """Moles per kilogram of water."""
+    return F.lit(19.924) * salt / (F.lit(1000.0) - F.lit(1.005) * salt)
+
+
+def total_chloride(salt: Column) -> Column:
+    """Moles per kilogram of seawater."""
+    return F.lit(0.99889 / 35.453 / 1.80655) * salt
+
+
+def total_sulfate(salt: Column) -> Column:
+    """Moles per kilogram of seawater."""
+    return F.lit(0.1400 / 96.062 / 1.80655) * salt
+
+
+def ln_bisulfate_constant(temp: Column, salt: Column) -> Column:
+    """Logarithm of the dissociation constant of bisulfate, in moles per kilogram of seawater."""
+    kelvin, ionic = temp + F.lit(ZERO_CELSIUS), ionic_strength(salt)
+    per_water = (
+        F.lit(-4276.1) / kelvin + F.lit(141.328) - F.lit(23.093) * F.log(kelvin)
+        + (F.lit(-13856.0) / kelvin + F.lit(324.57) - F.lit(47.986) * F.log(kelvin)) * F.sqrt(ionic)
+        + (F.lit(35474.0) / kelvin - F.lit(771.54) + F.lit(114.723) * F.log(kelvin)) * ionic
+        - F.lit(2698.0) / kelvin * ionic * F.sqrt(ionic)
+        + F.lit(1776.0) / kelvin * ionic * ionic
+    )
+    return per_water + F.log(dilution(salt))
+
+
 def isfet_ph(vrse: Column, temp: Column, salt: Column, k0: float, k2: float) -> Column:
     """pH (total scale) from electrode voltage, temperature (C) and salinity; pressure is zero.
 
     Null where an input is null or the salinity is zero, which leaves no chloride; NaN where it is negative.
     """
-    kelvin = temp + F.lit(ZERO_CELSIUS)
-    root = lambda c: F.sqrt(c)
-    dilution = F.lit(1.0) - F.lit(0.001005) * salt
-    ionic = F.lit(19.924) * salt / (F.lit(1000.0) - F.lit(1.005) * salt)
-    chloride = F.lit(0.99889 / 35.453 / 1.80655) * salt / dilution
-    sulfate = F.lit(0.1400 / 96.062 / 1.80655) * salt
+    kelvin, ionic = temp + F.lit(ZERO_CELSIUS), ionic_strength(salt)
     debye = F.lit(3.4286e-6) * temp * temp + F.lit(6.7503e-4) * temp + F.lit(0.49172143)
-    activity = -debye * root(ionic) / (F.lit(1.0) + F.lit(1.394) * root(ionic)) + (
+    activity = -debye * F.sqrt(ionic) / (F.lit(1.0) + F.lit(1.394) * F.sqrt(ionic)) + (
         F.lit(0.08885) - F.lit(0.000111) * temp
     ) * ionic
-    ln_ks = (
-        F.lit(-4276.1) / kelvin + F.lit(141.328) - F.lit(23.093) * F.log(kelvin)
-        + (F.lit(-13856.0) / kelvin + F.lit(324.57) - F.lit(47.986) * F.log(kelvin)) * root(ionic)
-        + (F.lit(35474.0) / kelvin - F.lit(771.54) + F.lit(114.723) * F.log(kelvin)) * ionic
-        - F.lit(2698.0) / kelvin * ionic * root(ionic)
-        + F.lit(1776.0) / kelvin * ionic * ionic
-    )
-    ks = F.exp(ln_ks) * dilution
     nernst = F.lit(GAS_CONSTANT / FARADAY) * kelvin * F.log(F.lit(10.0))
     ph_free = (
         (vrse - (F.lit(k0) + F.lit(k2) * temp)) / nernst
-        + F.log10(chloride)
+        + F.log10(total_chloride(salt) / dilution(salt))
         + F.lit(2.0) * activity
-        - F.log10(dilution)
+        - F.log10(dilution(salt))
     )
-    ph_total = ph_free - F.log10(F.lit(1.0) + sulfate / ks)
+    ph_total = ph_free - F.log10(F.lit(1.0) + total_sulfate(salt) / F.exp(ln_bisulfate_constant(temp, salt)))
     known = vrse.isNotNull() & temp.isNotNull() & salt.isNotNull()
     return F.when(known & (salt > 0), ph_total).when(known & (salt < 0), F.lit(float("nan")))
 

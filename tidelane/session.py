@@ -51,5 +51,28 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+_made: list[str] = []
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. What is written there stays until :func:`clear_shared`: results may read it later."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def shared_mark() -> int:
+    """Where in the list of shared paths this process stands now, for :func:`clear_shared`."""
+    return len(_made)
+
+
+def clear_shared(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables this process wrote to the shared folder (since a :func:`shared_mark`), once the
+    results that read them are written or collected. Returns how many there were."""
+    jvm, gone = spark.sparkContext._jvm, 0
+    for path in _made[since:]:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        gone += bool(files.delete(place, True))
+    del _made[since:]
+    return gone
