@@ -69,6 +69,19 @@ def test_thousands_of_short_and_one_long_interval(spark, chunked, monkeypatch, b
         assert [r[TS] for r in out] == [None if s is None else at(s) for s in seconds]
 
 
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_intervals_of_a_key_flag_its_rows_only(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(intervals, "BROADCAST_SPANS", broadcast)
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randrange(300)]), i) for i in range(400)]
+    periods = [(rnd.choice(["a", "b", None]), s, s + rnd.choice([0, 3, 40])) for s in (rnd.randrange(300) for _ in range(25))]
+    df = spark.createDataFrame([(k, None if s is None else at(s), i, 2) for k, s, i in rows], f"k string, {TS} timestamp_ntz, i int, flag int")
+    iv = spark.createDataFrame([(k, at(a), at(b)) for k, a, b in periods], "k string, start_time timestamp_ntz, end_time timestamp_ntz")
+    out = op.flag_intervals(df, iv, ["flag"], keys=["k"]).orderBy("i").collect()
+    want = [s is not None and any(k == p and a <= s <= b for p, a, b in periods) for k, s, _ in rows]
+    assert [r.flag == 4 for r in out] == want and [r.k for r in out] == [k for k, *_ in rows]
+
+
 @pytest.mark.parametrize("rows_per_chunk", [10**6, 7])
 @pytest.mark.parametrize("closed", ["both", "neither"])
 def test_merged_spans_share_no_instant(spark, chunked, rows_per_chunk, closed):

@@ -259,25 +259,31 @@ def regularize_filled(
     labels: tuple[str, str] = ("primary", "secondary"),
     tie: Sequence[str] = (),
     secondary_tie: Sequence[str] = (),
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """:func:`regularize` and then :func:`fill_from_secondary`, in one pass over both series.
 
-    The grid is that of the primary; each of the two has its own tolerance to it. One job takes the statistics of
-    both, and one exchange and window find the rows of both for every point.
+    The grid is that of the primary (of each key); each of the two has its own tolerance to it. One job takes the
+    statistics of both, and one exchange and window find the rows of both for every point.
     """
-    values = list(value_cols) if value_cols else [c for c in primary.columns if c != ts and c not in tie]
+    values = list(value_cols) if value_cols else [c for c in primary.columns if c not in (ts, *tie, *keys)]
     known = extents(primary.sparkSession, [df.select(order_key(df, ts)) for df in (primary, secondary)])
     kinds = [F.lit(None).cast(primary.schema[c].dataType).alias(c) for c in values]
     if known[0].rows == 0:
-        return primary.limit(0).select(ts, *kinds, F.lit("").alias("source"))
-    lo, hi = known[0].lo, known[0].hi
-    grid, points = range_grid(primary.sparkSession, lo, hi, duration_us(step), ts)
-    spare = secondary.select(F.col(ts), *[F.col(c).alias(f"__tie_{c}") for c in secondary_tie], *[F.col(c).alias(f"__sec_{c}") for c in values])
-    feeds = [Feed(primary.select(ts, *dict.fromkeys([*values, *tie])), tie, tolerance),
+        return primary.limit(0).select(*keys, ts, *kinds, F.lit("").alias("source"))
+    spare = secondary.select(*keys, F.col(ts), *[F.col(c).alias(f"__tie_{c}") for c in secondary_tie], *[F.col(c).alias(f"__sec_{c}") for c in values])
+    feeds = [Feed(primary.select(*keys, ts, *dict.fromkeys([*values, *tie])), tie, tolerance),
              Feed(spare, [f"__tie_{c}" for c in secondary_tie], fill_tolerance)]
-    joined = latest_within(grid, feeds, ts, tolerance, grid=(lo, hi, points), known=known)
+    if keys:
+        grid = time_grid(time_bounds([primary], ts, keys), step, ts, keys)
+        joined = latest_within(grid, feeds, ts, tolerance, keys)
+    else:
+        lo, hi = known[0].lo, known[0].hi
+        grid, points = range_grid(primary.sparkSession, lo, hi, duration_us(step), ts)
+        joined = latest_within(grid, feeds, ts, tolerance, grid=(lo, hi, points), known=known)
     source = F.when(F.col(values[0]).isNull(), F.lit(labels[1])).otherwise(F.lit(labels[0]))
-    return joined.select(ts, *[F.coalesce(F.col(c), F.col(f"__sec_{c}")).alias(c) for c in values], source.alias("source"))
+    return joined.select(
+        *keys, ts, *[F.coalesce(F.col(c), F.col(f"__sec_{c}")).alias(c) for c in values], source.alias("source"))
 
 
 def align_series(

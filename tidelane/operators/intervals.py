@@ -89,16 +89,21 @@ def _holds(closed: str):
     return (at >= F.col(LO)) & (at <= F.col(HI)) if closed == "both" else (at > F.col(LO)) & (at < F.col(HI))
 
 
-def mark_inside(df: DataFrame, ts: str, spans: DataFrame, closed: str, out: str = "__inside") -> DataFrame:
-    """Add ``out``: whether the time is in any of the spans. Every row stays once; a null time is in none."""
-    placed, bands = _in_cells(merged_spans(spans, closed))
+def mark_inside(
+    df: DataFrame, ts: str, spans: DataFrame, closed: str, out: str = "__inside", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``out``: whether the time is in any of the spans (of its key). Every row stays once; a null time is in none."""
+    names = {c: f"__key_{c}" for c in keys}
+    placed, bands = _in_cells(merged_spans(spans, closed, keys).withColumnsRenamed(names))
     rows = df.withColumns({ORDER: order_key(df, ts), out: F.lit(False)})
     for b in bands:
         # Spans share no instant, so a row meets one at most and is never doubled.
         own = placed.where(F.col("__band") == b).drop("__band")
         met = F.expr(f"shiftright({ORDER}, {BAND_BITS * (b + 1)})") == F.col("__cell")
+        for c, n in names.items():
+            met = met & F.col(c).eqNullSafe(F.col(n))
         rows = rows.join(own, met & _holds(closed), "left").withColumn(out, F.col(out) | F.col(LO).isNotNull())
-        rows = rows.drop("__cell", LO, HI)
+        rows = rows.drop("__cell", LO, HI, *names.values())
     return rows.drop(ORDER)
 
 
@@ -111,13 +116,14 @@ def flag_intervals(
     ts: str = "datetime_utc",
     start: str = "start_time",
     end: str = "end_time",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Set every flag column to ``flag`` where the time is in any interval; other flags stay as they are.
 
-    Rows are never duplicated, whatever the number of intervals and their overlaps; rows without a time keep
+    With ``keys``, columns of both tables, an interval counts for the rows of its key only. Rows are never duplicated, whatever the number of intervals and their overlaps; rows without a time keep
     their flags, and a flag kept in the interval table itself is not used.
     """
-    marked = mark_inside(df, ts, _spans(intervals, start, end, closed), closed)
+    marked = mark_inside(df, ts, _spans(intervals, start, end, closed, keep=keys), closed, keys=keys)
     new = {c: F.when(F.col("__inside"), F.lit(flag)).otherwise(F.col(c)).cast("tinyint") for c in flag_cols}
     return marked.withColumns(new).drop("__inside")
 

@@ -407,11 +407,12 @@ def time_normalize(spark, d):
 # Intervals
 
 
-def error_periods(spark: SparkSession, d: str, least: float, minutes: int) -> DataFrame:
-    """Periods around strong errors, some of zero length, many overlapping."""
-    e = events(spark, d).where((F.col("event_type") == "error") & (F.col("value") > least))
+def error_periods(spark: SparkSession, d: str, least: float, minutes: int, keyed: bool = False) -> DataFrame:
+    """Periods around strong errors, some of zero length, many overlapping; ``keyed`` with the vessel they are of."""
+    e = (vessels(events(spark, d)) if keyed else events(spark, d)).where((F.col("event_type") == "error") & (F.col("value") > least))
     length = F.when(F.col("event_id") % 4 == 0, F.lit(0)).otherwise(F.lit(minutes))
     return e.select(
+        *(["vessel"] if keyed else []),
         F.col(TS).alias("start_time"),
         (F.col(TS) + F.make_dt_interval(mins=length)).alias("end_time"),
         F.lit(4).alias("qc_flag"),
@@ -1197,24 +1198,26 @@ def log_rejects(spark, d):
 SCALE = 300
 
 
-def cruise(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    ev = events(spark, d)
+def cruise(spark: SparkSession, d: str, keyed: bool = False) -> dict[str, DataFrame]:
+    """The raw feeds; ``keyed`` tells them apart by vessel."""
+    ev = vessels(events(spark, d)) if keyed else events(spark, d)
+    own = ["vessel"] if keyed else []
     kind = lambda k: ev.where(F.col("event_type") == k)
     v, u = F.col("value"), F.col("user_id")
     return {
-        "gps": kind("view").select(TS, F.when(F.col("event_id") % 11 != 0, v / 10).alias("latitude"), (-u / 10.0).alias("longitude")),
-        "track": kind("click").select(TS, (v / 10).alias("latitude"), (-u / 10.0).alias("longitude")),
+        "gps": kind("view").select(*own, TS, F.when(F.col("event_id") % 11 != 0, v / 10).alias("latitude"), (-u / 10.0).alias("longitude")),
+        "track": kind("click").select(*own, TS, (v / 10).alias("latitude"), (-u / 10.0).alias("longitude")),
         "tsg": kind("purchase").select(
-            TS, (v / 20).alias("temp"), (u / 100.0).alias("cond"), F.when(F.col("event_id") % 7 != 0, F.lit(29) + v / 100).alias("salinity")
+            *own, TS, (v / 20).alias("temp"), (u / 100.0).alias("cond"), F.when(F.col("event_id") % 7 != 0, F.lit(29) + v / 100).alias("salinity")
         ),
-        "log_rows": kind("error").select(F.col(TS).alias("ts"), (v / 20).alias("t1"), (u / 100.0).alias("c1"), (F.lit(30) + v / 100).alias("s")),
+        "log_rows": kind("error").select(*own, F.col(TS).alias("ts"), (v / 20).alias("t1"), (u / 100.0).alias("c1"), (F.lit(30) + v / 100).alias("s")),
         "ph": kind("signup").select(
-            TS, (F.lit(-0.88) - v / 10000).alias("vrse"), (F.lit(7.5) + v / 40).alias("ph_total"), F.lit("raw").alias("timestamp")
+            *own, TS, (F.lit(-0.88) - v / 10000).alias("vrse"), (F.lit(7.5) + v / 40).alias("ph_total"), F.lit("raw").alias("timestamp")
         ),
-        "ph_intervals": error_periods(spark, d, 60, 25),
-        "rho": kind("click").select(TS, v.alias("rho_ppb")),
-        "oxygen": kind("purchase").select(TS, (F.lit(200) + v / 10).alias("oxygen_umol_kg")),
-        "shutdowns": error_periods(spark, d, 120, 30),
+        "ph_intervals": error_periods(spark, d, 60, 25, keyed),
+        "rho": kind("click").select(*own, TS, v.alias("rho_ppb")),
+        "oxygen": kind("purchase").select(*own, TS, (F.lit(200) + v / 10).alias("oxygen_umol_kg")),
+        "shutdowns": error_periods(spark, d, 120, 30, keyed),
     }
 
 
@@ -1300,6 +1303,30 @@ def process_underway(spark, d):
     return rounded(product["combined"], *_PRODUCT_REAL)
 
 
+def cruise_by_vessel_sql(final: str, *more: str) -> str:
+    """A result of the cruise for each vessel by itself, as if there were no others."""
+    whole = with_sql(*CRUISE, *more, final=final)
+    return by_vessel_sql(lambda source: whole.replace("from events", f"from {source}"))
+
+
+@query(
+    cruise_by_vessel_sql("select datetime_utc, round(latitude, 6) as latitude, round(longitude, 6) as longitude, source from gps")
+)
+def patch_gps_by_key(spark, d):
+    c = cruise(spark, d, keyed=True)
+    out = plans.patch_gps(c["gps"], c["track"], SCALE, 46 * SCALE, 1.5 * SCALE, keys=["vessel"])
+    return rounded(out, "latitude", "longitude")
+
+
+@query(cruise_by_vessel_sql(_PRODUCT + "prod", *COMBINE), flags="temperature_flag salinity_flag ph_flag rho_flag")
+def process_underway_by_key(spark, d):
+    """The products of several vessels in one job."""
+    product = plans.process_underway(
+        **cruise(spark, d, keyed=True), interval=2 * SCALE, scale=SCALE, feed_dir=new_shared_path(spark, "feeds"), keys=["vessel"]
+    )
+    return rounded(product["combined"], *_PRODUCT_REAL)
+
+
 def _validation_sql() -> str:
     from tidelane.operators.validate import RULES
 

@@ -49,29 +49,31 @@ FLOW_FLAGS = ["temperature_flag", "salinity_flag", "ph_flag", "rho_flag"]
 def patch_gps(
     gps: DataFrame, track: DataFrame, step: str | int | float = "1s", clock_offset: str | int | float = "46s",
     tolerance: str | int | float = 1.5, tie: Sequence[str] = (), track_tie: Sequence[str] = (),
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """GPS on a regular grid, holes filled from a track whose clock is behind by ``clock_offset``."""
-    shifted = time_shift(track.select(TS, "latitude", "longitude", *track_tie), TS, clock_offset)
+    """GPS on a regular grid (of each key), holes filled from a track whose clock is behind by ``clock_offset``."""
+    shifted = time_shift(track.select(*keys, TS, "latitude", "longitude", *track_tie), TS, clock_offset)
     return regularize_filled(
-        gps, shifted, TS, ["latitude", "longitude"], step, tolerance, tolerance, ("gps", "gpx"), tie, track_tie
+        gps, shifted, TS, ["latitude", "longitude"], step, tolerance, tolerance, ("gps", "gpx"), tie, track_tie, keys
     )
 
 
 def patch_tsg(
     tsg: DataFrame, log_rows: DataFrame, step: str | int | float = "2s", tolerance: str | int | float = 2.5,
-    grid_tolerance: str | int | float = 1.5,
+    grid_tolerance: str | int | float = 1.5, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Underway thermosalinograph on a regular grid, holes filled from the ship's log, flagged."""
-    own = tsg.select(TS, F.col("temp").alias("temperature"), "cond", "salinity")
-    ship = select_as(log_rows, {"ts": TS, "t1": "temperature", "c1": "cond", "s": "salinity"})
+    """Underway thermosalinograph on a regular grid (of each key), holes filled from the ship's log, flagged."""
+    own = tsg.select(*keys, TS, F.col("temp").alias("temperature"), "cond", "salinity")
+    ship = select_as(log_rows, {**{k: k for k in keys}, "ts": TS, "t1": "temperature", "c1": "cond", "s": "salinity"})
     return flag_tsg(regularize_filled(
-        own, ship, TS, ["temperature", "cond", "salinity"], step, grid_tolerance, tolerance, ("uw", "ship")
+        own, ship, TS, ["temperature", "cond", "salinity"], step, grid_tolerance, tolerance, ("uw", "ship"), keys=keys
     ))
 
 
-def flag_ph(ph: DataFrame, intervals: DataFrame, value: str = "ph_total", limit: float = 9.0, flag: str = "ph_flag") -> DataFrame:
-    """Bad above the limit and inside the listed periods (ends included), else acceptable."""
-    return flag_intervals(threshold_flag(ph, value, ">", limit, flag), intervals, [flag], closed="both", ts=TS)
+def flag_ph(ph: DataFrame, intervals: DataFrame, value: str = "ph_total", limit: float = 9.0, flag: str = "ph_flag",
+            keys: Sequence[str] = ()) -> DataFrame:
+    """Bad above the limit and inside the listed periods (ends included; those of the key), else acceptable."""
+    return flag_intervals(threshold_flag(ph, value, ">", limit, flag), intervals, [flag], closed="both", ts=TS, keys=keys)
 
 
 def read_ph_and_flag(spark: SparkSession, path_or_table: str, flag_path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -98,24 +100,25 @@ def store_feeds(feeds: Mapping[str, DataFrame], feed_dir: str) -> dict[str, Data
 
 def combine_underway(
     feeds: Mapping[str, DataFrame], k0: float, k2: float, interval: str | int | float = "2s", tolerance: str | int | float = "2s",
-    ties: Mapping[str, Sequence[str]] | None = None,
+    ties: Mapping[str, Sequence[str]] | None = None, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """All feeds on one grid, with calibrated pH; a pH flag is cleared where the pH is NaN."""
+    """All feeds on one grid (of each key), with calibrated pH; a pH flag is cleared where the pH is NaN."""
     ties = ties or {}
     narrow = [
-        (n, feeds[n].select(TS, *cols, *[F.col(t).alias(f"__{n}_{t}") for t in ties.get(n, ())]))
+        (n, feeds[n].select(*keys, TS, *cols, *[F.col(t).alias(f"__{n}_{t}") for t in ties.get(n, ())]))
         for n, cols in PRODUCT_COLUMNS.items()
     ]
     own_ties = {n: [f"__{n}_{t}" for t in named] for n, named in ties.items()}
-    joined = align_series(narrow, interval, TS, tolerance, ties=own_ties)
+    joined = align_series(narrow, interval, TS, tolerance, keys, own_ties)
     present = [c for cols in PRODUCT_COLUMNS.values() for c in cols if c in joined.columns]
-    out = add_corrected_ph(joined.select(TS, *present), k0, k2)
+    out = add_corrected_ph(joined.select(*keys, TS, *present), k0, k2)
     return null_flag_where_nan(out, "ph_corrected", "ph_flag") if "ph_flag" in present else out
 
 
-def flag_flow(df: DataFrame, shutdowns: DataFrame) -> DataFrame:
-    """Everything bad while the flow was off (ends excluded); no flag where there is no value."""
-    flagged = flag_intervals(df, shutdowns, [f for f in FLOW_FLAGS if f in df.columns], closed="neither", ts=TS)
+def flag_flow(df: DataFrame, shutdowns: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Everything bad while the flow (of the key) was off (ends excluded); no flag where there is no value."""
+    own = [f for f in FLOW_FLAGS if f in df.columns]
+    flagged = flag_intervals(df, shutdowns, own, closed="neither", ts=TS, keys=keys)
     pairs = {v: f for v, f in FLAG_OF.items() if v in df.columns and f in df.columns}
     return null_flag_where_missing(flagged, pairs)
 
@@ -137,20 +140,22 @@ def process_underway(
     feed_dir: str | None = None,
     scale: float = 1.0,
     check: bool = True,
+    keys: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """The whole product: ``combined``, the patched feeds, and the ``validation`` report.
 
     A feed that fails a rule raises unless ``check`` is off. ``scale`` multiplies every step and tolerance
     of the feeds, for series sampled more slowly than by the second. The feeds and the joined product are each
     consumed several times, so they are stored once in ``feed_dir`` (default a new folder in the shared one) and read
-    back. The rules of all feeds are one job, for the checks and the report alike.
+    back. The rules of all feeds are one job, for the checks and the report alike. ``keys`` are columns of every input,
+    intervals too, that tell the series of several vessels apart.
     """
     s = lambda seconds: seconds * scale
     feed_dir = feed_dir or new_shared_path(gps.sparkSession, "feeds")
     makers = {
-        "gps": lambda: patch_gps(gps, track, s(1), s(46), s(1.5)),
-        "tsg": lambda: patch_tsg(tsg, log_rows, s(2), s(2.5), s(1.5)),
-        "ph": lambda: flag_ph(ph, ph_intervals),
+        "gps": lambda: patch_gps(gps, track, s(1), s(46), s(1.5), keys=keys),
+        "tsg": lambda: patch_tsg(tsg, log_rows, s(2), s(2.5), s(1.5), keys),
+        "ph": lambda: flag_ph(ph, ph_intervals, keys=keys),
         "rho": lambda: default_flag(rho, "rho_flag"),
         "oxygen": lambda: oxygen,
     }
@@ -162,8 +167,8 @@ def process_underway(
         if feeds["tsg"].isEmpty():
             raise ValueError("tsg: no rows")
         raise_failed(validation, ("gps", "tsg", "rho", "oxygen"))
-    joined = store_feeds({"joined": combine_underway(feeds, k0, k2, interval, s(2))}, feed_dir)["joined"]
-    combined = flag_flow(joined, shutdowns)
+    joined = store_feeds({"joined": combine_underway(feeds, k0, k2, interval, s(2), keys=keys)}, feed_dir)["joined"]
+    combined = flag_flow(joined, shutdowns, keys)
     if outputs:
         write_products(combined, outputs, TS)
     return {"combined": combined, **feeds, "validation": validation}
