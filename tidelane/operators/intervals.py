@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidelane.functions.time import duration_us
-from tidelane.operators.chunks import extents, order_key, plan_chunks, rows_per_chunk
+from tidelane.operators.chunks import Extent, extents, order_key, plan_chunks, rows_per_chunk
 from tidelane.operators.rolling import with_row_number
 
 CHUNK, ORDER, LO, HI = "__chunk", "__order", "__lo", "__hi"
@@ -36,15 +37,27 @@ def _spans(
     return spans.where("lo <= hi" if closed == "both" else "lo < hi")
 
 
-def merged_spans(spans: DataFrame, closed: str = "both", keys: Sequence[str] = ()) -> DataFrame:
+def _held(rows: DataFrame) -> tuple[DataFrame, pa.Table | None]:
+    """Up to ``BROADCAST_SPANS`` rows as a local table, made once, and their values; more rows as they are."""
+    found = rows.limit(BROADCAST_SPANS + 1).toArrow()
+    if found.num_rows > BROADCAST_SPANS:
+        return rows, None
+    return rows.sparkSession.createDataFrame(found, rows.schema), found
+
+
+def merged_spans(
+    spans: DataFrame, closed: str = "both", keys: Sequence[str] = (), rows: int | None = None
+) -> DataFrame:
     """Spans ``lo, hi`` (of each key) that share no instant and hold the same instants as the given ones.
 
     Gaps and islands in start order: a span begins where every earlier one has ended. The greatest end so far
-    and the start of the open island cross a chunk of starts as one row for each chunk and key.
+    and the start of the open island cross a chunk of starts as one row for each chunk and key. ``rows`` may tell how
+    many spans there are.
     """
     keys = list(keys)
     first = spans.groupBy(*keys, "lo").agg(F.max("hi").alias("hi"))  # no ties, however many start together
-    plan = plan_chunks(spans.sparkSession, [spans.select(F.col("lo").alias("o"))])
+    known = None if rows is None else [Extent(rows, 0, None, None)]
+    plan = plan_chunks(spans.sparkSession, [spans.select(F.col("lo").alias("o"))], known)
     rows = plan.place(first, CHUNK, F.col("lo"))
     inside = Window.partitionBy(*keys, CHUNK).orderBy("lo")
     across = Window.partitionBy(*keys, F.lit(0)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -69,19 +82,15 @@ def merged_spans(spans: DataFrame, closed: str = "both", keys: Sequence[str] = (
 
 
 def _in_cells(spans: DataFrame) -> tuple[DataFrame, list[int]]:
-    """Spans with ``__band`` and ``__cell``, once for each cell they touch, and the bands there are.
-
-    Up to ``BROADCAST_SPANS`` rows are held as a local table, so that they are made once and broadcast.
-    """
+    """Spans with ``__band`` and ``__cell``, once for each cell they touch, and the bands there are; few are broadcast."""
     bits = F.length(F.conv((F.col("hi") - F.col("lo")).cast("string"), 10, 2))  # 0 and 1 have one
     band = F.least(F.floor(bits / BAND_BITS), F.lit(LAST_BAND)).cast("int")
     cells = F.expr(f"sequence(shiftright(lo, {BAND_BITS} * (__band + 1)), shiftright(hi, {BAND_BITS} * (__band + 1)))")
     placed = spans.withColumn("__band", band).withColumn("__cell", F.explode(cells)).withColumnsRenamed({"lo": LO, "hi": HI})
-    found = placed.limit(BROADCAST_SPANS + 1).toArrow()
-    if found.num_rows <= BROADCAST_SPANS:
-        few = spans.sparkSession.createDataFrame(found, placed.schema) if found.num_rows else placed.limit(0)
-        return F.broadcast(few), sorted(set(found.column("__band").to_pylist()))
-    return placed, sorted(r["__band"] for r in placed.select("__band").distinct().collect())  # at most 11 values
+    placed, values = _held(placed)
+    if values is not None:
+        return F.broadcast(placed), sorted(set(values.column("__band").to_pylist()))
+    return placed, sorted(r["__band"] for r in placed.select("__band").distinct().collect())  # ten values at most
 
 
 def _holds(closed: str):
@@ -94,7 +103,9 @@ def mark_inside(
 ) -> DataFrame:
     """Add ``out``: whether the time is in any of the spans (of its key). Every row stays once; a null time is in none."""
     names = {c: f"__key_{c}" for c in keys}
-    placed, bands = _in_cells(merged_spans(spans, closed, keys).withColumnsRenamed(names))
+    spans, values = _held(spans)
+    merged = merged_spans(spans, closed, keys, None if values is None else values.num_rows)
+    placed, bands = _in_cells(merged.withColumnsRenamed(names))
     rows = df.withColumns({ORDER: order_key(df, ts), out: F.lit(False)})
     for b in bands:
         # Spans share no instant, so a row meets one at most and is never doubled.
@@ -150,6 +161,7 @@ def period_extracts(
     """
     spark, at = df.sparkSession, order_key(df, ts)
     spans = _spans(intervals, start, end, "both", duration_us(pad), [*([order_by] if order_by else []), *carry])
+    spans, values = _held(spans)
     whole = extents(spark, [df.select(at)])[0]
     if not whole.rows:
         return df.limit(0).select(*df.columns, F.lit(0).cast("long").alias("period_no"), *[
@@ -163,7 +175,8 @@ def period_extracts(
     pieces = pieces.select("__k", "__cell", F.col("lo").alias(LO), F.col("hi").alias(HI), (F.col("__rn") + 1).alias("__no"), *[
         F.col(c).alias(f"__carry_{c}") for c in carry])
 
-    classes, bands = _in_cells(merged_spans(numbered.select("__k", F.col("__from").alias("lo"), F.col("__to").alias("hi")), keys=["__k"]))
+    near = numbered.select("__k", F.col("__from").alias("lo"), F.col("__to").alias("hi"))
+    classes, bands = _in_cells(merged_spans(near, keys=["__k"], rows=None if values is None else values.num_rows))
     rows = df.withColumn(ORDER, at).where(F.col(ORDER).isNotNull())
     spots = F.array(*[F.struct(F.lit(b).alias("b"), F.expr(f"shiftright({ORDER}, {BAND_BITS * (b + 1)})").alias("c")) for b in bands])
     spot = rows.withColumn("__spot", F.explode(spots if bands else spots.cast("array<struct<b:int,c:bigint>>")))
