@@ -130,22 +130,20 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id", phra
 
 
 def _spans(diagonals: DataFrame, share: float) -> DataFrame:
-    """Spans from the diagonals of one text and template: whole ones of a phrase; those of a long template merged in
-    order and cut where they lie more than ``MERGE`` apart, by a running count of the cuts.
+    """Spans from the diagonals of one text and template: whole ones of a phrase, each by itself; those of a long template
+    merged in order and cut where they lie more than ``MERGE`` apart, by a running count of the cuts.
     """
     own, k = ["key", "text_hash", "label", "exact", "n", "k"], F.col("k")
-    whole = diagonals.where(F.col("exact") & (F.size("ats") == F.col("n") - k + 1)).select(
-        *own, F.col("diagonal").alias("lo"), F.col("diagonal").alias("hi"), "ats")
     order = Window.partitionBy("key", "text_hash", "label").orderBy("diagonal")
-    cut = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > MERGE, F.lit(True)).cast("int")
-    numbered = diagonals.where(~F.col("exact")).withColumn("cut", cut).withColumn(
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > MERGE, F.lit(True))
+    numbered = diagonals.where(~F.col("exact") | (F.size("ats") == F.col("n") - k + 1)).withColumn(
+        "cut", (F.col("exact") | apart).cast("int")).withColumn(
         "part", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     merged = numbered.groupBy(*own, "part").agg(
         F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"), F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + k - 1)))))
     return (
-        whole.unionByName(merged.drop("part"))
-        .withColumn("score", covered / F.col("n"))
+        merged.withColumn("score", covered / F.col("n"))
         .where(F.col("score") >= share)
         .select(
             "key", "text_hash", "label", "exact", (F.col("lo") + F.array_min("ats")).cast("long").alias("first_word"),
