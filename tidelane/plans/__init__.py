@@ -6,6 +6,7 @@ from tidelane.plans.underway import (
     flagged_minute_means,
     patch_gps,
     patch_tsg,
+    prepare_feeds,
     process_underway,
     read_ph_and_flag,
     read_rho,

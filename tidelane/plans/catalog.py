@@ -1375,14 +1375,7 @@ def process_outputs(spark, d):
 @query(with_sql(*CRUISE, *COMBINE, final=_PRODUCT + "comb"), flags="temperature_flag salinity_flag ph_flag rho_flag")
 def combine_underway(spark, d):
     c = cruise(spark, d)
-    feeds = {
-        "gps": plans.patch_gps(c["gps"], c["track"], SCALE, 46 * SCALE, 1.5 * SCALE),
-        "tsg": plans.patch_tsg(c["tsg"], c["log_rows"], 2 * SCALE, 2.5 * SCALE, 1.5 * SCALE),
-        "ph": plans.flag_ph(c["ph"], c["ph_intervals"]),
-        "rho": op.default_flag(c["rho"], "rho_flag"),
-        "oxygen": c["oxygen"],
-    }
-    feeds = plans.store_feeds(feeds, new_shared_path(spark, "feeds"))
+    feeds = plans.prepare_feeds(**{n: df for n, df in c.items() if n != "shutdowns"}, scale=SCALE)
     return rounded(plans.combine_underway(feeds, -1.3944286, -0.0010700, 2 * SCALE, 2 * SCALE), *_PRODUCT_REAL)
 
 

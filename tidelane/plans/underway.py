@@ -98,6 +98,24 @@ def store_feeds(feeds: Mapping[str, DataFrame], feed_dir: str) -> dict[str, Data
         return dict(zip(feeds, pool.map(stored, feeds), strict=True))
 
 
+def prepare_feeds(
+    gps: DataFrame, track: DataFrame, tsg: DataFrame, log_rows: DataFrame, ph: DataFrame, ph_intervals: DataFrame,
+    rho: DataFrame, oxygen: DataFrame, scale: float = 1.0, feed_dir: str | None = None, keys: Sequence[str] = (),
+) -> dict[str, DataFrame]:
+    """The five feeds patched, flagged and stored. They are made side by side, the statistics their plans begin with too."""
+    s = lambda seconds: seconds * scale
+    makers = {
+        "gps": lambda: patch_gps(gps, track, s(1), s(46), s(1.5), keys=keys),
+        "tsg": lambda: patch_tsg(tsg, log_rows, s(2), s(2.5), s(1.5), keys),
+        "ph": lambda: flag_ph(ph, ph_intervals, keys=keys),
+        "rho": lambda: default_flag(rho, "rho_flag"),
+        "oxygen": lambda: oxygen,
+    }
+    with ThreadPoolExecutor(len(makers)) as pool:
+        made = dict(zip(makers, pool.map(lambda make: make(), makers.values()), strict=True))
+    return store_feeds(made, feed_dir or new_shared_path(gps.sparkSession, "feeds"))
+
+
 def combine_underway(
     feeds: Mapping[str, DataFrame], k0: float, k2: float, interval: str | int | float = "2s", tolerance: str | int | float = "2s",
     ties: Mapping[str, Sequence[str]] | None = None, keys: Sequence[str] = (),
@@ -150,24 +168,14 @@ def process_underway(
     back. The rules of all feeds are one job, for the checks and the report alike. ``keys`` are columns of every input,
     intervals too, that tell the series of several vessels apart.
     """
-    s = lambda seconds: seconds * scale
     feed_dir = feed_dir or new_shared_path(gps.sparkSession, "feeds")
-    makers = {
-        "gps": lambda: patch_gps(gps, track, s(1), s(46), s(1.5), keys=keys),
-        "tsg": lambda: patch_tsg(tsg, log_rows, s(2), s(2.5), s(1.5), keys),
-        "ph": lambda: flag_ph(ph, ph_intervals, keys=keys),
-        "rho": lambda: default_flag(rho, "rho_flag"),
-        "oxygen": lambda: oxygen,
-    }
-    with ThreadPoolExecutor(len(makers)) as pool:  # plans are made side by side too: they begin with statistics
-        made = dict(zip(makers, pool.map(lambda make: make(), makers.values()), strict=True))
-    feeds = store_feeds(made, feed_dir)
+    feeds = prepare_feeds(gps, track, tsg, log_rows, ph, ph_intervals, rho, oxygen, scale, feed_dir, keys)
     validation = validate_feeds(feeds)
     if check:
         if feeds["tsg"].isEmpty():
             raise ValueError("tsg: no rows")
         raise_failed(validation, ("gps", "tsg", "rho", "oxygen"))
-    joined = store_feeds({"joined": combine_underway(feeds, k0, k2, interval, s(2), keys=keys)}, feed_dir)["joined"]
+    joined = store_feeds({"joined": combine_underway(feeds, k0, k2, interval, 2 * scale, keys=keys)}, feed_dir)["joined"]
     combined = flag_flow(joined, shutdowns, keys)
     if outputs:
         write_products(combined, outputs, TS)
