@@ -39,13 +39,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows without an id are in no group and stay.
     """
     marked = ngram_join.join_similar(docs, mark_first=True)
-    other = marked.where(~F.col("is_first")).select(F.col("doc_id").alias("other_id"), F.col("row_name").alias("other_name"))
+    other = marked.where(~F.col("is_first")).select("doc_id", F.col("row_name").alias("__name"))
     path = new_shared_path(spark, "others")
     other.distinct().write.parquet(path)
-    same = (docs["doc_id"] == F.col("other_id")) & (ngram_join.row_name("text") == F.col("other_name"))
-    kept = docs.join(spark.read.parquet(path), same, "left_anti")
-    named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
-    return named.unionByName(kept.where(F.col("doc_id").isNull())).select(docs.columns)
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("__name", ngram_join.row_name("text"))
+    # The exchange that folds repeated rows also places them for the join, so texts are shuffled once at every size.
+    once = named.dropDuplicates(["doc_id", "__name"])
+    kept = once.join(spark.read.parquet(path).hint("merge"), ["doc_id", "__name"], "left_anti")
+    return kept.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
