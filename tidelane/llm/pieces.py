@@ -30,7 +30,7 @@ UNKNOWN_PENALTY = 10.0
 #: Stands for a letter of no piece where pairs of pieces are merged.
 UNKNOWN_LETTER = "\ufffe"
 #: Bytes of inputs and results that a cache holds, and the longest input it keeps.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 128 << 20
 CACHED_LETTERS = 64
 #: What an entry takes besides its own bytes.
 ENTRY_BYTES = 150
