@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelane import operators as op
+from tidelane.operators import intervals
 
 BASE = datetime(2025, 8, 13)
 TS = "datetime_utc"
@@ -85,3 +86,17 @@ def test_one_long_period_over_thousands_of_short_ones(spark, chunked):
     out = op.period_extracts(df, iv, 0)
     assert out.count() == 2000 * 2 and out.where("period_no = 1").count() == 2000
     assert op.flag_intervals(df, iv, ["flag"]).where("flag = 4").count() == 2000
+
+
+@pytest.mark.parametrize("held", [10**5, 3])
+def test_extracts_of_a_crowd_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch, held):
+    for name, value in {"PAIRS_PER_TASK": 1000, "PERIODS_PER_BLOCK": 64, "BROADCAST_SPANS": held}.items():
+        monkeypatch.setattr(intervals, name, value, raising=False)
+    df, iv = frames(spark, [*(i % 60 for i in range(200)), 5000, None], [*((i % 50, i % 50 + 30) for i in range(100)), (4990, 5010)])
+    df = df.unionAll(df.where("i < 40")).coalesce(1)  # repeated rows stay as often
+    periods = sorted([*((i % 50, i % 50 + 30) for i in range(100)), (4990, 5010)])
+    want = sorted((i, n) for i in [*range(200), *range(40)] for n, (a, b) in enumerate(periods, 1) if a - 20 <= i % 60 <= b + 20)
+    out = op.period_extracts(df, iv, "20s").withColumn("part", F.spark_partition_id()).collect()
+    assert len(want) > 15_000 and sorted((r.i, r.period_no) for r in out) == sorted([*want, (200, 101)])
+    parts = [r.part for r in out]
+    assert max(parts.count(p) for p in set(parts)) <= 8000

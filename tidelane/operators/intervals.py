@@ -8,6 +8,7 @@ finds its span by an equi-join on the cell. Spans are few as a rule: their numbe
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -23,6 +24,13 @@ BAND_BITS = 6
 LAST_BAND = 9
 #: Rows of spans that are sent to every executor: two or three longs each.
 BROADCAST_SPANS = 100_000
+#: Pairs of a row and a period that are compared in one task on average, and the periods that meet a row there at once.
+PAIRS_PER_TASK = 20_000_000
+PERIODS_PER_BLOCK = 4096
+#: A row that meets fewer periods counts as so many pairs, as it is sorted too.
+LEAST_PAIRS = 16
+#: More tasks than this cost the driver more than they spare; above it they grow.
+MOST_TASKS = 20_000
 
 
 def _spans(
@@ -139,6 +147,45 @@ def flag_intervals(
     return marked.withColumns(new).drop("__inside")
 
 
+def _in_blocks(rows: DataFrame, pieces: DataFrame, cell: Sequence[str], spread: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows and pieces of periods dealt out for their join, and the columns to join by.
+
+    The pairs of a cell are the product of its rows and its pieces, which the bytes that are shuffled do not show. They
+    are counted first. A cell with more of them than a task should compare is cut to blocks of rows times blocks of
+    pieces, every two of which meet in one place, and there are as many tasks as all pairs ask for. Rows are dealt to
+    blocks by a hash of ``spread``, so that a repeated task gives the same; rows equal in all of it stay together.
+    """
+    spark, cell = rows.sparkSession, list(cell)
+    met = rows.groupBy(*cell).agg(F.count("*").alias("__rows")).join(pieces.groupBy(*cell).agg(F.count("*").alias("__periods")), cell)
+    pairs = F.col("__rows").cast("double") * F.greatest(F.col("__periods"), F.lit(LEAST_PAIRS))
+    at_once = F.least(F.greatest(F.col("__periods"), F.lit(LEAST_PAIRS)), F.lit(PERIODS_PER_BLOCK))
+    blocks = {
+        "__row_blocks": F.ceil(F.col("__rows") * at_once / F.lit(PAIRS_PER_TASK)),
+        "__piece_blocks": F.ceil(F.col("__periods") / F.lit(PERIODS_PER_BLOCK)),
+    }
+    met = met.withColumns(blocks).withColumn("__pairs", pairs)
+    # The cells that need no cutting are one row, without a number; it only adds its pairs.
+    cut = (F.col("__row_blocks") > 1) | (F.col("__piece_blocks") > 1)
+    met = met.groupBy(*[F.when(cut, F.col(c)).alias(c) for c in cell]).agg(F.sum("__pairs").alias("__pairs"), *[F.max(c).alias(c) for c in blocks])
+    met, values = _held(met)
+    total = met.agg(F.sum("__pairs").alias("n")).first()["n"] if values is None else sum(values.column("__pairs").to_pylist())
+    tasks = -(-int(total or 0) // PAIRS_PER_TASK)
+    if tasks <= 1:
+        return rows, pieces, cell
+    blocks = met.drop("__pairs") if values is None else F.broadcast(met.drop("__pairs"))
+    rows_in, pieces_in = (F.coalesce(c, F.lit(1).cast("long")) for c in ("__row_blocks", "__piece_blocks"))
+    own = F.pmod(F.xxhash64(*spread), rows_in)
+    rows = rows.join(blocks, cell, "left").withColumn("__row_block", own).withColumn(
+        "__piece_block", F.explode(F.sequence(F.lit(0).cast("long"), pieces_in - 1)))
+    own = F.pmod(F.col("__no"), pieces_in)
+    pieces = pieces.join(blocks, cell, "left").withColumn("__piece_block", own).withColumn(
+        "__row_block", F.explode(F.sequence(F.lit(0).cast("long"), rows_in - 1)))
+    by = [*cell, "__row_block", "__piece_block"]
+    parts = min(MOST_TASKS, max(tasks, spark.sparkContext.defaultParallelism))
+    dealt = [df.drop("__row_blocks", "__piece_blocks").repartition(parts, *by) for df in (rows, pieces)]
+    return dealt[0], dealt[1], by
+
+
 def period_extracts(
     df: DataFrame,
     intervals: DataFrame,
@@ -157,7 +204,8 @@ def period_extracts(
     Intervals of like length (a power of two) share cells of that width, so each fills at most three cells and a row
     meets few intervals that do not hold it. The merged spans of each length class are joined first: rows outside
     every period go there, and a row is copied only for the classes that have a period at its time. Cells are never
-    wider than a chunk of rows is on average; a longer interval fills more of them.
+    wider than a chunk of rows is on average; a longer interval fills more of them. The result may grow with the product
+    of rows and periods: the pairs of each cell are counted and dealt to tasks of bounded work.
     """
     spark, at = df.sparkSession, order_key(df, ts)
     spans = _spans(intervals, start, end, "both", duration_us(pad), [*([order_by] if order_by else []), *carry])
@@ -183,5 +231,7 @@ def period_extracts(
     met = (F.col("__spot.b") == F.col("__band")) & (F.col("__spot.c") == F.col("__cell"))
     held = spot.join(classes, met & _holds("both")).drop("__spot", "__band", "__cell", LO, HI)
     held = held.withColumn("__cell", F.expr(f"shiftright({ORDER}, __k)"))
-    joined = held.join(pieces, ["__k", "__cell"]).where(_holds("both"))
+    spread = [ORDER, *(f.name for f in df.schema if not re.search("map<|variant", f.dataType.simpleString()))]  # no hash of these
+    held, pieces, by = _in_blocks(held, pieces, ["__k", "__cell"], spread)
+    joined = held.join(pieces, by).where(_holds("both"))
     return joined.select(*df.columns, F.col("__no").alias("period_no"), *[F.col(f"__carry_{c}").alias(c) for c in carry])
